@@ -19,13 +19,19 @@ def _probability() -> Column:
     return F.round(F.col("churn_probability").try_cast("double"), 4).alias("churn_probability")
 
 
+def scored(t: Tables) -> DataFrame:
+    """Scores and features on one row per token.
+
+    A set of tables that derives both from the same rows hands them over as ``scored``; stored tables are joined.
+    """
+    if "scored" in t:
+        return t["scored"]
+    features = t["churn_features"].withColumnRenamed("risk_tier", "feature_tier")
+    return t["churn_scores"].join(features, "cust_id")
+
+
 def scored_customers(t: Tables) -> DataFrame:
-    """Scores, masked customers and features on one row per token (all three are unique on it)."""
-    return (
-        t["churn_scores"]
-        .join(t["customer"].select("cust_id", "name_masked", "mobile_masked", "city"), "cust_id")
-        .join(t["churn_features"].drop("risk_tier", "vehicle_id"), "cust_id")
-    )
+    return scored(t).join(t["customer"].select("cust_id", "name_masked", "mobile_masked", "city"), "cust_id")
 
 
 def _by_probability(df: DataFrame) -> DataFrame:
@@ -114,8 +120,7 @@ def tier_summary(t: Tables) -> DataFrame:
     """Revenue is counted for every tier here. The window runs over the three aggregated rows."""
     everyone = Window.partitionBy(F.lit(0))
     return (
-        t["churn_scores"]
-        .join(t["churn_features"].select("cust_id", "days_since_last_service", "rfm_total"), "cust_id")
+        scored(t)
         .groupBy("risk_tier")
         .agg(
             F.count("*").alias("customer_count"),
@@ -205,9 +210,8 @@ def by_city(t: Tables) -> DataFrame:
 def by_model(t: Tables) -> DataFrame:
     """Joined to sales as they are: a customer with several sales counts once as customer, per sale in the tiers."""
     return (
-        t["churn_scores"]
-        .select("cust_id", "risk_tier", "churn_probability")
-        .join(t["churn_features"].select("cust_id", "days_since_last_service"), "cust_id")
+        scored(t)
+        .select("cust_id", "risk_tier", "churn_probability", "days_since_last_service")
         .join(t["sales"].select("cust_id", "vin"), "cust_id")
         .join(t["vehicle"].select("vin", "model"), "vin")
         .groupBy("model")

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayline import reference_data as ref
+from stayline.functions import application, masks
+from stayline.operators import chains, checks, identity, lookup, privacy, quality, ranking, rollups
 from stayline.plans import catalog, features, rules
 from stayline.session import tune
+from stayline.sources import grid, links
 from stayline.sources.projection import AfterSales
 
 Plan = Callable[[AfterSales], DataFrame]
@@ -48,7 +52,7 @@ for _name, _plan in {
     "q12_recoverable": catalog.recoverable,
     "features": lambda t: t.churn_features,
     "scores": lambda t: t.churn_scores,
-    "tier_crosstab": lambda t: rules.tier_crosstab(t.churn_features, t.churn_scores),
+    "tier_crosstab": lambda t: rules.tier_crosstab(t.scored),
 }.items():
     PLANS[_name] = _plan
 
@@ -63,3 +67,264 @@ def _feature_details(t: AfterSales) -> DataFrame:
 def _rfm_scores(t: AfterSales) -> DataFrame:
     scores = ["recency_score", "frequency_score", "monetary_score", "rfm_total"]
     return t.churn_features.groupBy(*scores).agg(F.count("*").alias("customers"))
+
+
+# -- privacy ---------------------------------------------------------------------------------------
+
+
+@named("masked_customer")
+def _masked_customer(t: AfterSales) -> DataFrame:
+    return t.customer
+
+
+@named("masked_address")
+def _masked_address(t: AfterSales) -> DataFrame:
+    return t.pii_vault.select("cust_id", masks.mask_address(F.col("address")).alias("address_masked"))
+
+
+@named("vault_leak_scan")
+def _leaks(t: AfterSales) -> DataFrame:
+    scanned = {"sales": t.leaky_sales, "service": t.service, "churn_scores": t.churn_scores}
+    return privacy.leak_scan(t.pii_vault, scanned)
+
+
+@named("vault_erasure")
+def _erasure(t: AfterSales) -> DataFrame:
+    requests = t.churn_scores.where(F.col("risk_tier") == "High")
+    return privacy.erase(t.pii_vault, requests).select("cust_id", "email")
+
+
+@named("revealed_customers")
+def _revealed(t: AfterSales) -> DataFrame:
+    return privacy.reveal(t.customer, t.pii_vault, show_pii=True).select("cust_id", "name_masked", "cust_name", "dob")
+
+
+# -- quality and validation ------------------------------------------------------------------------
+
+
+def _marked(t: AfterSales) -> dict[str, DataFrame]:
+    return {
+        "sales": quality.check_sales(t.sales_feed, t["dim_bank"]),
+        "service": quality.check_service(t.service_defects, t["dim_work_type"]),
+        "insurance": quality.check_insurance(t.insurance_defects, t["dim_policy_type"]),
+        "pii_vault": quality.check_mobiles(t.vault_defects),
+    }
+
+
+@named("dq_summary")
+def _dq_summary(t: AfterSales) -> DataFrame:
+    return checks.stack([quality.rule_counts(marked, name) for name, marked in _marked(t).items()])
+
+
+@named("dq_rejects")
+def _dq_rejects(t: AfterSales) -> DataFrame:
+    marked = _marked(t)
+    rows = [
+        quality.rejected(marked[name]).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_id"), F.array_join("rejects", "; ").alias("rules")
+        )
+        for name, key in (("sales", "sales_id"), ("service", "smr_id"), ("insurance", "ins_id"))
+    ]
+    return checks.stack(rows)
+
+
+@named("dq_accepted_service")
+def _dq_accepted(t: AfterSales) -> DataFrame:
+    ok = quality.accepted(quality.check_service(t.service_defects, t["dim_work_type"]))
+    return ok.select("smr_id", "vin", "work_type_id", "bill_amount")
+
+
+@named("dq_imputed_bills")
+def _dq_imputed(t: AfterSales) -> DataFrame:
+    ok = quality.accepted(quality.check_service(t.service_defects, t["dim_work_type"]))
+    return quality.impute_bills(ok).select("smr_id", "work_type_id", "bill_amount", "imputed")
+
+
+@named("dq_vocabulary")
+def _dq_vocabulary(t: AfterSales) -> DataFrame:
+    names = t["dim_work_type"].select("work_type_id", "work_type_name")
+    spelt = t.service_feed.join(F.broadcast(names), "work_type_id").select(
+        F.when(F.col("mileage") % 4 == 0, F.upper("work_type_name"))
+        .when(F.col("mileage") % 4 == 1, F.concat(F.lit(" "), F.replace("work_type_name", F.lit(" "), F.lit("-"))))
+        .when(F.col("mileage") % 4 == 2, F.concat("work_type_name", F.lit(" job")))
+        .otherwise(F.col("work_type_name"))
+        .alias("work_text")
+    )
+    standard = quality.standardise(spelt, "work_text", t["dim_work_type"], "work_type_id", "work_type_name")
+    return standard.groupBy("work_text", "std_work_type_id").agg(F.count("*").alias("rows"))
+
+
+@named("bill_median")
+def _bill_median(t: AfterSales) -> DataFrame:
+    return rollups.median_by(t.service_feed, ["work_type_id"], "bill_amount")
+
+
+@named("fk_orphans")
+def _fk_orphans(t: AfterSales) -> DataFrame:
+    return checks.foreign_keys(t)
+
+
+@named("fk_orphan_vins")
+def _fk_orphan_vins(t: AfterSales) -> DataFrame:
+    return checks.orphan_keys(t.service_feed, "vin", t.sales, "vin").withColumnRenamed("key", "vin")
+
+
+@named("row_minimums")
+def _row_minimums(t: AfterSales) -> DataFrame:
+    return checks.row_minimums(t)
+
+
+@named("label_rate")
+def _label_rate(t: AfterSales) -> DataFrame:
+    return checks.label_rate(t.churn_features)
+
+
+@named("range_rules")
+def _range_rules(t: AfterSales) -> DataFrame:
+    return checks.range_rules(t)
+
+
+@named("edge_rules")
+def _edge_rules(t: AfterSales) -> DataFrame:
+    return checks.edge_rules(t)
+
+
+@named("key_sets")
+def _key_sets(t: AfterSales) -> DataFrame:
+    return checks.key_sets(t.service_feed.select("cust_id"), t.customer.select("cust_id"), "cust_id")
+
+
+@named("validation_verdict")
+def _verdict(t: AfterSales) -> DataFrame:
+    return checks.verdict(checks.report(t))
+
+
+@named("audit_hashes")
+def _audit_hashes(t: AfterSales) -> DataFrame:
+    names = ["sales", "service", "insurance", "customer", "vehicle", "churn_features"]
+    return checks.stack([checks.table_hash(t[name], name) for name in names])
+
+
+# -- chains, ids, bridge ---------------------------------------------------------------------------
+
+
+@named("policy_chain")
+def _policy_chain(t: AfterSales) -> DataFrame:
+    return chains.policy_chain(t.insurance)
+
+
+@named("visit_chain")
+def _visit_chain(t: AfterSales) -> DataFrame:
+    work_types, milestones = (
+        [row[0] for row in ref.DIMENSIONS[name][1]] for name in ("dim_work_type", "dim_milestone")
+    )
+    return chains.visit_chain(t.service, work_types, milestones)
+
+
+@named("surrogate_keys")
+def _surrogate_keys(t: AfterSales) -> DataFrame:
+    return ranking.surrogate_ids(t.service_feed, "vin", "visit_date", "VEH", "vehicle_no")
+
+
+@named("sequence_keys")
+def _sequence_keys(t: AfterSales) -> DataFrame:
+    numbered = ranking.sequence_ids(t.insurance, [F.col("policy_issue_date")], "ins_id", "INS", "sequence_id")
+    return numbered.select("ins_id", "sequence_id")
+
+
+@named("bridge_pairs")
+def _bridge_pairs(t: AfterSales) -> DataFrame:
+    return t.customer_vehicle.dropDuplicates(["cust_id", "vehicle_id"])
+
+
+@named("bridge_shared")
+def _bridge_shared(t: AfterSales) -> DataFrame:
+    sides = [
+        rollups.shared_keys(t.customer_vehicle, key, other).select(
+            F.lit(key).alias("side"), F.col(key).alias("key"), "distinct_others"
+        )
+        for key, other in (("cust_id", "vehicle_id"), ("vehicle_id", "cust_id"))
+    ]
+    return checks.stack(sides)
+
+
+@named("unique_vehicles")
+def _unique_vehicles(t: AfterSales) -> DataFrame:
+    """One visit row per VIN: the earliest, chosen by id among equals, not whichever row comes first."""
+    first = F.min_by(F.struct("smr_id", "dealer_id", "mileage"), F.struct("visit_date", "smr_id"))
+    return t.service_feed.groupBy("vin").agg(first.alias("v")).select("vin", "v.*")
+
+
+# -- identity --------------------------------------------------------------------------------------
+
+SALT = "stayline"
+
+
+@named("identity_dedup")
+def _identity_dedup(t: AfterSales) -> DataFrame:
+    return identity.persons(t.pii_vault, SALT)
+
+
+@named("tokenised_sales")
+def _tokenised_sales(t: AfterSales) -> DataFrame:
+    return identity.tokenise(t.sales.select("sales_id", "cust_id", "vin"), t.pii_vault, SALT)
+
+
+@named("vin_fallback_join")
+def _vin_fallback(t: AfterSales) -> DataFrame:
+    matched = identity.match_vehicles(t.workshop_feed, t.vehicle, "smr_id")
+    return matched.select("smr_id", "vehicle_id", "match_kind")
+
+
+@named("fuzzy_names")
+def _fuzzy_names(t: AfterSales) -> DataFrame:
+    return identity.name_neighbours(t.pii_vault)
+
+
+# -- decision lookup -------------------------------------------------------------------------------
+
+
+@named("decision_stats")
+def _decision_stats(t: AfterSales) -> DataFrame:
+    return rollups.decision_stats(t.decisions)
+
+
+@named("decision_classes")
+def _decision_classes(t: AfterSales) -> DataFrame:
+    kind = application.decision_class(F.col("decision"))
+    return t.decisions.groupBy("decision", kind.alias("decision_class")).agg(F.count("*").alias("decisions"))
+
+
+@named("number_validation")
+def _number_validation(t: AfterSales) -> DataFrame:
+    return t.searches.select("search_id", "raw", F.inline(F.array(application.check_number(F.col("raw")))))
+
+
+@named("decision_lookup")
+def _decision_lookup(t: AfterSales) -> DataFrame:
+    return lookup.exact_matches(lookup.lookup(t.searches, t.decisions))
+
+
+@named("decision_nearest")
+def _decision_nearest(t: AfterSales) -> DataFrame:
+    return lookup.nearest_matches(lookup.lookup(t.searches, t.decisions))
+
+
+@named("grid_clean")
+def _grid_clean(t: AfterSales) -> DataFrame:
+    return grid.clean_grid(t.decision_grid)
+
+
+@named("grid_headers")
+def _grid_headers(t: AfterSales) -> DataFrame:
+    return grid.header_rows(t.decision_grid)
+
+
+@named("page_links")
+def _page_links(t: AfterSales) -> DataFrame:
+    return links.links(t.raw("pages"))
+
+
+@named("page_first_link")
+def _page_first_link(t: AfterSales) -> DataFrame:
+    return links.first_link(t.raw("pages"), ("e", "n"))

@@ -38,18 +38,19 @@ def legend_tier(gap: Column, expiry: Column) -> Column:
     return _tier((gap > LAPSED_DAYS) & (expiry < 0), (gap > AT_RISK_DAYS) | (expiry < EXPIRING_DAYS))
 
 
-def all_tiers(features: DataFrame, scores: DataFrame) -> DataFrame:
+def all_tiers(scored: DataFrame) -> DataFrame:
+    """The tier of every customer under each rule, from rows that carry features and score."""
     gap, expiry = F.col("days_since_last_service"), F.col("days_to_policy_expiry")
-    return features.join(scores.select("cust_id", "churn_probability"), "cust_id").select(
+    return scored.select(
         "cust_id",
-        F.col("risk_tier").alias("by_features"),
+        F.col("feature_tier").alias("by_features"),
         score_tier(F.col("churn_probability")).alias("by_score"),
         baseline_tier(gap, expiry, F.col("total_service_visits")).alias("by_baseline"),
         legend_tier(gap, expiry).alias("by_legend"),
     )
 
 
-def tier_crosstab(features: DataFrame, scores: DataFrame) -> DataFrame:
+def tier_crosstab(scored: DataFrame) -> DataFrame:
     """How often the four rules give each combination of tiers; ``agree`` is 1 where all four are equal."""
     same = (
         (F.col("by_features") == F.col("by_score"))
@@ -57,7 +58,7 @@ def tier_crosstab(features: DataFrame, scores: DataFrame) -> DataFrame:
         & (F.col("by_features") == F.col("by_legend"))
     )
     return (
-        all_tiers(features, scores)
+        all_tiers(scored)
         .groupBy("by_features", "by_score", "by_baseline", "by_legend")
         .agg(F.count("*").alias("customers"))
         .withColumn("agree", F.when(same, 1).otherwise(0))

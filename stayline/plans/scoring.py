@@ -35,20 +35,25 @@ def top_names(weights: dict[str, Column], n: int = 3) -> Column:
     return F.transform(F.slice(ranked, 1, n), lambda s: s["name"])
 
 
-def points_score(features: DataFrame, as_of: dt.date) -> DataFrame:
+def with_points_score(features: DataFrame, as_of: dt.date) -> DataFrame:
+    """Feature rows with the score columns added; the tier of the features is kept as ``feature_tier``."""
     points = driver_points()
     total = sum(points.values(), F.lit(0.0))
+    probability = F.col("churn_probability")
     return (
-        features.select(
-            "cust_id", round_half_up(total, 4).alias("churn_probability"), top_names(points).alias("drivers")
-        )
-        .select(
-            "cust_id",
-            "churn_probability",
-            rules.score_tier(F.col("churn_probability")).alias("risk_tier"),
-            *[F.col("drivers")[i].alias(f"top_driver_{i + 1}") for i in range(3)],
+        features.withColumnRenamed("risk_tier", "feature_tier")
+        .withColumns({"churn_probability": round_half_up(total, 4), "_drivers": top_names(points)})
+        .withColumns(
+            {
+                "risk_tier": rules.score_tier(probability),
+                **{f"top_driver_{i + 1}": F.col("_drivers")[i] for i in range(3)},
+                "recommended_action": recommended_action(rules.score_tier(probability)),
+                "score_date": F.lit(as_of),
+            }
         )
-        .withColumn("recommended_action", recommended_action(F.col("risk_tier")))
-        .withColumn("score_date", F.lit(as_of))
-        .select(*TABLES["churn_scores"].fieldNames())
+        .drop("_drivers")
     )
+
+
+def points_score(features: DataFrame, as_of: dt.date) -> DataFrame:
+    return with_points_score(features, as_of).select(*TABLES["churn_scores"].fieldNames())

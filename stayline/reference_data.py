@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,34 +160,38 @@ SEGMENT_NAMES = ["Champions", "Loyal", "At-Risk", "Lost"]
 # End of fixed values ---------------------------------------------------------------------------
 
 FREE_WORK_TYPES = [row[0] for row in DIMENSIONS["dim_work_type"][1] if row[2] == "N"]
+VARIANT_COUNT = sum(len(row[2]) for row in MODEL_CATALOGUE)
 
+_ARROW = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "array<string>": pa.list_(pa.string()),
+}
 
-def dimension(spark: SparkSession, name: str) -> DataFrame:
-    schema, rows = DIMENSIONS[name]
-    return spark.createDataFrame(rows, schema)
 
+def constant_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few constant rows as a local relation, which the optimizer can fold and broadcast without a job."""
+    fields = [part.split() for part in ddl.split(", ")]
+    columns = [pa.array([row[i] for row in rows], type=_ARROW[kind]) for i, (_, kind) in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, names=[name for name, _ in fields]))
 
-def model_catalogue(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MODEL_CATALOGUE, MODEL_CATALOGUE_SCHEMA)
 
+def dimension(spark: SparkSession, name: str) -> DataFrame:
+    schema, rows = DIMENSIONS[name]
+    return constant_table(spark, rows, schema)
 
-def model_variants(spark: SparkSession) -> DataFrame:
-    """One row per model and variant, numbered in catalogue order by ``variant_no`` from 0.
 
-    The running offset of a model is the number of variants before it, so no window is needed.
-    """
-    starts, seen = [], 0
+def model_variants(spark: SparkSession) -> DataFrame:
+    """One row per model and variant, numbered in catalogue order by ``variant_no`` from 0."""
+    rows, first = [], 0
     for row in MODEL_CATALOGUE:
-        starts.append((row[0], seen))
-        seen += len(row[2])
-    offsets = spark.createDataFrame(starts, "model_no int, first_no int")
+        rows.append((*row, first))
+        first += len(row[2])
     return (
-        model_catalogue(spark)
-        .join(F.broadcast(offsets), "model_no")
+        constant_table(spark, rows, MODEL_CATALOGUE_SCHEMA + ", first_no int")
         .select("*", F.posexplode("variants").alias("pos", "variant"))
         .withColumn("variant_no", F.col("first_no") + F.col("pos"))
         .drop("pos", "first_no", "variants")
     )
-
-
-VARIANT_COUNT = sum(len(row[2]) for row in MODEL_CATALOGUE)

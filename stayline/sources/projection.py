@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stayline import reference_data as ref
 from stayline.functions import masks
 from stayline.functions.scalar import prefixed_id
+from stayline.schemas import TABLES
 
 AS_OF = dt.date(1999, 12, 31)
 
@@ -41,6 +42,9 @@ class AfterSales:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def __contains__(self, name: str) -> bool:
+        return name in ref.DIMENSIONS or hasattr(type(self), name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in ref.DIMENSIONS:
             return ref.dimension(self.spark, name)
@@ -269,10 +273,15 @@ class AfterSales:
         return churn_features(self.sales, self.service_feed, self.insurance, self.vehicle, self.as_of)
 
     @cached_property
-    def churn_scores(self) -> DataFrame:
-        from stayline.plans.scoring import points_score
+    def scored(self) -> DataFrame:
+        """Features and score of a vehicle on one row: the score is a projection, so nothing is joined back."""
+        from stayline.plans.scoring import with_points_score
 
-        return points_score(self.churn_features, self.as_of)
+        return with_points_score(self.churn_features, self.as_of)
+
+    @cached_property
+    def churn_scores(self) -> DataFrame:
+        return self.scored.select(*TABLES["churn_scores"].fieldNames())
 
     # -- decisions ------------------------------------------------------------------------------
 
@@ -335,3 +344,157 @@ class AfterSales:
             .cast("double")
             .alias("value"),
         )
+
+    # -- rendered inputs for the ingest operators -------------------------------------------------
+
+    @cached_property
+    def decision_grid(self) -> DataFrame:
+        """Decisions as the sheets they come in: one file per customer, with a preamble, a header and a repeated
+        header line, blank lines and untrimmed cells. Data rows keep the order key as row number."""
+        orders = self.raw("orders").select(
+            F.concat(F.lit("F"), F.col("o_custkey").cast("string")).alias("file_id"),
+            "o_custkey",
+            F.col("o_orderkey").alias("k"),
+            "o_orderstatus",
+        )
+        number = F.lpad((F.col("k") * 3 % 100000000).cast("string"), 8, "0")
+        decision = F.element_at(
+            F.create_map(*[F.lit(v) for v in ("F", "Approved", "O", "Refused", "P", "Pending")]), F.col("o_orderstatus")
+        )
+        nothing = F.lit(None).cast("string")
+
+        def line(row_idx: Column, *cells: Column) -> Column:
+            return F.struct(row_idx.cast("bigint").alias("row_idx"), F.array(*cells).alias("cells"))
+
+        data = line(
+            F.col("k") * 2 + 100,
+            F.lit(""),
+            F.col("k").cast("string"),
+            F.concat(F.lit(" "), number, F.lit(" ")),
+            F.when(F.col("k") % 11 != 0, F.concat(decision, F.lit(" "))),
+        )
+        blank = line(F.col("k") * 2 + 101, nothing, nothing, nothing, nothing)
+        body = orders.select("file_id", F.inline(F.array(data, blank)))
+        # Preamble and headers once per file.
+        files = orders.groupBy("file_id").agg(F.min("o_custkey").alias("c"), F.max("k").alias("last"))
+        heading = [F.lit(v) for v in ("", "No", "Application Number", "Decision")]
+        title = line(F.lit(0), F.lit("Decisions"), nothing, nothing, nothing)
+        note = line(F.lit(1), nothing, F.lit("as published"), nothing, nothing)
+        head = line(2 + F.col("c") % 5, *heading)
+        again = line(F.col("last") * 2 + 102, *heading)
+        return body.unionByName(files.select("file_id", F.inline(F.array(title, note, head, again))))
+
+    @cached_property
+    def workshop_feed(self) -> DataFrame:
+        """Service rows of other workshops: engine and registration number always, the VIN often missing or foreign."""
+        k, s = F.col("l_orderkey"), F.col("l_suppkey")
+        variants = F.broadcast(ref.model_variants(self.spark).select("variant_no", "engine_prefix"))
+        plate = F.concat(F.lit("MH"), F.lpad((k % 50).cast("string"), 2, "0"), F.lit("AB"), k.cast("string"))
+        return (
+            self.raw("lineitem")
+            .withColumn("variant_no", (k % ref.VARIANT_COUNT).cast("int"))
+            .join(variants, "variant_no")
+            .select(
+                F.concat_ws("-", F.concat(F.lit("SMR"), k), "l_linenumber", "l_partkey", "l_suppkey").alias("smr_id"),
+                F.when(s % 3 == 0, None)
+                .when(s % 7 == 1, F.concat(F.lit("XX9"), F.lpad(k.cast("string"), 14, "0")))
+                .otherwise(_vin(k))
+                .alias("vin"),
+                F.concat("engine_prefix", F.lpad(k.cast("string"), 12, "0")).alias("engine_no"),
+                F.when(s % 5 != 2, plate).alias("reg_no"),
+            )
+        )
+
+    @cached_property
+    def plotted(self) -> DataFrame:
+        """Chart actions per user: errors clear the chart, purchases plot under a fixed label, the rest get P1, P2, ..."""
+        return self.readings.select(
+            "user_id",
+            "ts",
+            "reading_id",
+            (F.col("event_type") == "error").alias("is_clear"),
+            F.when(
+                F.col("event_type") == "purchase",
+                F.when(F.col("reading_id") % 2 == 0, "State 1").otherwise("State 2"),
+            ).alias("label"),
+            "dbt",
+        )
+
+    # -- inputs with planted defects, for the quality rules and the leak scan ----------------------
+
+    @staticmethod
+    def _copies(repeat: Column) -> Column:
+        """Explodes to one row, or to two where ``repeat`` holds."""
+        return F.explode(F.sequence(F.lit(1), F.when(repeat, 2).otherwise(1)))
+
+    @cached_property
+    def sales_feed(self) -> DataFrame:
+        k = F.col("k")
+        vin = _vin(k)
+        financed = k % 3 < 2
+        delivery = F.date_add("sale_date", (1 + k % 14).cast("int"))
+        return self._sold.select("k", "sale_date", self._copies(k % 97 == 0).alias("copy")).select(
+            F.when(k % 211 != 0, prefixed_id("SL", k)).alias("sales_id"),
+            F.when(k % 101 == 1, F.left(vin, F.lit(16)))
+            .when(k % 103 == 2, F.concat(F.left(vin, F.lit(16)), F.lit("-")))
+            .otherwise(vin)
+            .alias("vin"),
+            F.when(k % 107 == 3, "31-02-1999").otherwise(F.date_format("sale_date", "dd-MM-yyyy")).alias("sale_date"),
+            F.date_format(F.when(k % 109 == 4, F.date_sub("sale_date", 1)).otherwise(delivery), "dd-MM-yyyy").alias(
+                "delivery_date"
+            ),
+            F.when(financed, "Y").otherwise("N").alias("finance_flag"),
+            F.when(k % 113 == 5, "BNK099")
+            .when(k % 127 == 6, None)
+            .when(financed, _numbered("BNK00", k % 8))
+            .alias("bank_id"),
+        )
+
+    @cached_property
+    def service_defects(self) -> DataFrame:
+        """The service feed with repeated ids, unknown work types and missing or negative bills."""
+        part = F.element_at(F.split("smr_id", "-"), 3).cast("bigint")
+        free = F.col("work_type_id").isin(ref.FREE_WORK_TYPES)
+        bill = F.col("bill_amount")
+        return (
+            self.service_feed.withColumn("p", part)
+            .select("*", self._copies(F.col("p") % 89 == 0).alias("copy"))
+            .withColumn("bill_amount", F.when(F.col("p") % 20 == 1, None).when((F.col("p") % 40 == 2) & ~free, -bill).otherwise(bill))
+            .withColumn("work_type_id", F.when(F.col("p") % 50 == 3, "WT009").otherwise(F.col("work_type_id")))
+            .drop("p", "copy")
+        )
+
+    @cached_property
+    def insurance_defects(self) -> DataFrame:
+        number = F.substring("cust_id", 5, 20).cast("bigint")
+        return (
+            self.insurance.withColumn("k", number)
+            .select("*", self._copies(F.col("k") % 71 == 0).alias("copy"))
+            .withColumn(
+                "policy_expiry_date",
+                F.when(F.col("k") % 83 == 1, F.date_sub("policy_issue_date", 1)).otherwise(F.col("policy_expiry_date")),
+            )
+            .withColumn("policy_type_id", F.when(F.col("k") % 79 == 2, "PT009").otherwise(F.col("policy_type_id")))
+            .drop("k", "copy")
+        )
+
+    @cached_property
+    def vault_defects(self) -> DataFrame:
+        number = F.substring("cust_id", 5, 20).cast("bigint")
+        return self.pii_vault.withColumn(
+            "mobile_1",
+            F.when(number % 53 == 0, F.left("mobile_1", F.lit(9))).when(number % 59 == 1, F.concat(F.lit("5"), F.substring("mobile_1", 2, 9))).otherwise(F.col("mobile_1")),
+        )
+
+    @cached_property
+    def leaky_sales(self) -> DataFrame:
+        """Sales in which some sales contacts were replaced by the customer's raw name."""
+        number = F.substring("cust_id", 5, 20).cast("bigint")
+        return (
+            self.sales.join(self.pii_vault.select("cust_id", "cust_name"), "cust_id")
+            .withColumn(
+                "sales_poc",
+                F.when(number % 97 == 0, F.concat(F.lit("c/o "), F.col("cust_name"), F.lit(", desk"))).otherwise(F.col("sales_poc")),
+            )
+            .drop("cust_name")
+        )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import catalog
+    from oracle import catalog, operators
 
     merged: dict[str, str] = {}
-    for part in (catalog,):
+    for part in (catalog, operators):
         merged.update(part.SQL)
     return merged

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The optional prefix and the length of a number.
@@ -34,38 +34,42 @@ def letters_in(text: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.split(letters, ""))), "")
 
 
-def check_number(raw: Column) -> Column:
-    """STRUCT<ok, error_code, error_msg, number>: the first rule that fails names the error."""
-    text = strip(F.coalesce(raw, F.lit("")))
-    upper = F.upper(text)
-    prefixed = upper.startswith(PREFIX)
-    digits = F.when(prefixed, F.substring(text, len(PREFIX) + 1, 1_000_000)).otherwise(text)
-    only_digits = digits.rlike(r"^[0-9]+$")
-    size = F.length(digits)
-    code = (
-        F.when(text == "", "empty")
-        .when(~text.rlike(r"^[A-Za-z0-9]+$"), "not_alphanumeric")
-        .when(prefixed & ~only_digits, "letters_after_prefix")
-        .when(~only_digits & upper.rlike("[A-Z]$"), "letters_at_end")
-        .when(~only_digits, "other_letters")
-        .when(size < DIGITS, "too_short")
-        .when(size > DIGITS, "too_long")
-    )
-    message = (
-        F.when(code == "empty", "")
-        .when(code == "not_alphanumeric", "no spaces or special characters allowed")
-        .when(code == "letters_after_prefix", f"after {PREFIX} only digits are allowed")
-        .when(code == "letters_at_end", F.concat(F.lit("letters at end: "), letters_in(upper)))
-        .when(code == "other_letters", F.concat(F.lit("unexpected letters: "), letters_in(upper)))
-        .when(code == "too_short", F.concat(F.lit("too short: "), size.cast("string"), F.lit(" digits")))
-        .when(code == "too_long", F.concat(F.lit("too long: "), size.cast("string"), F.lit(" digits")))
-        .otherwise("")
-    )
-    return F.struct(
-        code.isNull().alias("ok"),
-        code.alias("error_code"),
-        message.alias("error_msg"),
-        F.when(code.isNull(), digits).otherwise("").alias("number"),
+def with_number_check(df: DataFrame, raw: str) -> DataFrame:
+    """Add ok, error_code, error_msg and number: the first rule that fails names the error.
+
+    The steps are separate projections, so that no pattern is matched twice for one row.
+    """
+    text, code = F.col("_text"), F.col("error_code")
+    prefixed, only_digits, size = F.col("_prefixed"), F.col("_only_digits"), F.length("_digits")
+    return (
+        df.withColumn("_text", strip(F.coalesce(F.col(raw), F.lit(""))))
+        .withColumn("_prefixed", F.upper(text).startswith(PREFIX))
+        .withColumn("_digits", F.when(prefixed, F.substring(text, len(PREFIX) + 1, 1_000_000)).otherwise(text))
+        .withColumn("_only_digits", F.col("_digits").rlike("^[0-9]+$"))
+        .withColumn(
+            "error_code",
+            F.when(text == "", "empty")
+            .when(~text.rlike("^[A-Za-z0-9]+$"), "not_alphanumeric")
+            .when(prefixed & ~only_digits, "letters_after_prefix")
+            .when(~only_digits & text.rlike("[A-Za-z]$"), "letters_at_end")
+            .when(~only_digits, "other_letters")
+            .when(size < DIGITS, "too_short")
+            .when(size > DIGITS, "too_long"),
+        )
+        .withColumns(
+            {
+                "ok": code.isNull(),
+                "error_msg": F.when(code == "not_alphanumeric", "no spaces or special characters allowed")
+                .when(code == "letters_after_prefix", f"after {PREFIX} only digits are allowed")
+                .when(code == "letters_at_end", F.concat(F.lit("letters at end: "), letters_in(text)))
+                .when(code == "other_letters", F.concat(F.lit("unexpected letters: "), letters_in(text)))
+                .when(code == "too_short", F.concat(F.lit("too short: "), size.cast("string"), F.lit(" digits")))
+                .when(code == "too_long", F.concat(F.lit("too long: "), size.cast("string"), F.lit(" digits")))
+                .otherwise(""),
+                "number": F.when(code.isNull(), F.col("_digits")).otherwise(""),
+            }
+        )
+        .drop("_text", "_prefixed", "_digits", "_only_digits")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.application import DIGITS, as_integer, check_number, decision_class, normalise_number
+from stayline.functions.application import DIGITS, as_integer, decision_class, normalise_number, with_number_check
 
 # Width of a bucket of numbers. A bucket holds at most this many distinct numbers of each kind.
 BUCKET = 100_000
@@ -59,7 +59,7 @@ def lookup(searches: DataFrame, decisions: DataFrame, bucket: int = BUCKET) -> D
 
     Rejected texts do not take part in the join (they would all share one missing key) and are added back.
     """
-    checked = searches.withColumn("_check", check_number(F.col("raw"))).select("search_id", "raw", "_check.*")
+    checked = with_number_check(searches, "raw")
     valid = checked.where("ok").withColumn("key", F.col("number").cast("bigint"))
     resolved = resolve_numbers(valid.select(F.col("key").alias("number")), decisions, bucket)
     found = valid.join(resolved.withColumnRenamed("number", "key"), "key").drop("key")

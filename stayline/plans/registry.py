@@ -297,7 +297,7 @@ def _decision_classes(t: AfterSales) -> DataFrame:
 
 @named("number_validation")
 def _number_validation(t: AfterSales) -> DataFrame:
-    return t.searches.select("search_id", "raw", F.inline(F.array(application.check_number(F.col("raw")))))
+    return application.with_number_check(t.searches, "raw")
 
 
 @named("decision_lookup")

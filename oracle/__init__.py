@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import catalog, operators
+    from oracle import catalog, operators, reports
 
     merged: dict[str, str] = {}
-    for part in (catalog, operators):
+    for part in (catalog, operators, reports):
         merged.update(part.SQL)
     return merged

@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Standard pressure, smallest humidity ratio and the published coefficients of the
 # saturation-pressure equations over water (t >= 0) and over ice (t < 0).
@@ -41,28 +42,32 @@ def _ln_saturation(k, ln, coefficients):
 
 
 def saturation_pressure(t: Column) -> Column:
-    k = F.nullif(t + F.lit(KELVIN), F.lit(0.0))
-    return F.exp(
-        F.when(t >= 0, _ln_saturation(k, F.log, OVER_WATER)).otherwise(_ln_saturation(k, F.log, OVER_ICE))
-    )
+    """NULL at and below absolute zero."""
+    k = t + F.lit(KELVIN)
+    over_water, over_ice = _ln_saturation(k, F.log, OVER_WATER), _ln_saturation(k, F.log, OVER_ICE)
+    return F.exp(F.when(t >= 0, over_water).when(t > -KELVIN, over_ice))
 
 
 def _at_least_min(w: Column) -> Column:
     return F.greatest(F.lit(W_MIN), w)
 
 
+def w_from_pressure(pv: Column) -> Column:
+    """Humidity ratio of a vapour pressure in Pa."""
+    return _at_least_min(F.try_divide(MASS_RATIO * pv, PRESSURE - pv))
+
+
 def w_from_rh(t: Column, fraction: Column) -> Column:
-    pv = saturation_pressure(t) * fraction
-    return _at_least_min(MASS_RATIO * pv / F.nullif(F.lit(PRESSURE) - pv, F.lit(0.0)))
+    return w_from_pressure(saturation_pressure(t) * fraction)
 
 
 def w_saturated(t: Column) -> Column:
-    return w_from_rh(t, F.lit(1.0))
+    return w_from_pressure(saturation_pressure(t))
 
 
 def w_from_wet_bulb(t: Column, wb: Column) -> Column:
     gain = (HEAT_OF_VAPOUR - WET_BULB_SLOPE * wb) * w_saturated(wb) - CP_AIR * (t - wb)
-    return _at_least_min(gain / F.nullif(HEAT_OF_VAPOUR + CP_VAPOUR * t - CP_WATER * wb, F.lit(0.0)))
+    return _at_least_min(F.try_divide(gain, HEAT_OF_VAPOUR + CP_VAPOUR * t - CP_WATER * wb))
 
 
 def w_from_dew_point(dp: Column) -> Column:
@@ -70,15 +75,15 @@ def w_from_dew_point(dp: Column) -> Column:
 
 
 def w_from_volume(t: Column, v: Column) -> Column:
-    return _at_least_min((v * PRESSURE / F.nullif(GAS_CONSTANT * (t + KELVIN), F.lit(0.0)) - 1.0) / VAPOUR_FACTOR)
+    return _at_least_min((F.try_divide(v * PRESSURE, GAS_CONSTANT * (t + KELVIN)) - 1.0) / VAPOUR_FACTOR)
 
 
-def saturation_degree(t: Column, w: Column) -> Column:
-    return w / w_saturated(t)
+def saturation_degree(w: Column, w_sat: Column) -> Column:
+    return w / w_sat
 
 
-def relative_humidity(t: Column, w: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), saturation_degree(t, w)))
+def relative_humidity(w: Column, w_sat: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), w / w_sat))
 
 
 def enthalpy(t: Column, w: Column) -> Column:
@@ -123,14 +128,14 @@ def _bisect(lo: np.ndarray, hi: np.ndarray, too_high) -> np.ndarray:
     return (lo + hi) / 2.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def wet_bulb(dbt: pd.Series, w: pd.Series) -> pd.Series:
     t, ratio = dbt.to_numpy("float64"), w.to_numpy("float64")
     root = _bisect(np.maximum(-50.0, t - 60.0), t, lambda mid: _np_w_wet_bulb(t, mid) > ratio)
     return pd.Series(np.where(np.isnan(t) | np.isnan(ratio), np.nan, root))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def dew_point(w: pd.Series) -> pd.Series:
     ratio = w.to_numpy("float64")
     start = np.full_like(ratio, -60.0)

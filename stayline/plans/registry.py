@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from stayline import reference_data as ref
 from stayline.functions import application, masks
+from stayline.functions.scalar import round_half_up
 from stayline.operators import chains, checks, identity, lookup, privacy, quality, ranking, rollups
-from stayline.plans import catalog, features, rules
+from stayline.plans import air, catalog, features, publish, rules, view360
 from stayline.session import tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AfterSales
@@ -328,3 +329,136 @@ def _page_links(t: AfterSales) -> DataFrame:
 @named("page_first_link")
 def _page_first_link(t: AfterSales) -> DataFrame:
     return links.first_link(t.raw("pages"), ("e", "n"))
+
+
+# -- publication and customer view -----------------------------------------------------------------
+
+
+@named("publish_ranked")
+def _publish_ranked(t: AfterSales) -> DataFrame:
+    return publish.ranked_results(t)
+
+
+@named("publish_summary")
+def _publish_summary(t: AfterSales) -> DataFrame:
+    return rollups.tier_distribution(t.churn_scores)
+
+
+@named("customer_360")
+def _customer_360(t: AfterSales) -> DataFrame:
+    return view360.overview(t)
+
+
+@named("customer_sections")
+def _customer_sections(t: AfterSales) -> DataFrame:
+    return view360.sections(t).select("cust_id", "section_no", "section", "item_date", "item_id")
+
+
+@named("customer_summary")
+def _customer_summary(t: AfterSales) -> DataFrame:
+    return view360.summary(t)
+
+
+@named("dimension_lookup")
+def _dimension_lookup(t: AfterSales) -> DataFrame:
+    """Service rows with the names behind their ids; the dimensions are constants of a few rows."""
+    named_rows = t.service_feed
+    for dim, key, name in (
+        ("dim_work_type", "work_type_id", "work_type_name"),
+        ("dim_pay_mode", "pay_mode_id", "pay_mode_name"),
+        ("dim_cancel_reason", "cancel_reason_id", "description"),
+        ("dim_milestone", "milestone_id", "milestone_name"),
+        ("dim_dealer", "dealer_id", "dealer_name"),
+    ):
+        named_rows = named_rows.join(F.broadcast(t[dim].select(key, name)), key, "left")
+    return named_rows.groupBy("work_type_name", "pay_mode_name", "description", "milestone_name", "dealer_name").agg(
+        F.count("*").alias("visits"), F.sum("bill_amount").alias("billed")
+    )
+
+
+@named("model_variants")
+def _model_variants(t: AfterSales) -> DataFrame:
+    return t.vehicle.groupBy("model", "variant", "cc", "transmission", "body_type").agg(F.count("*").alias("vehicles"))
+
+
+@named("customer_vehicles")
+def _customer_vehicles(t: AfterSales) -> DataFrame:
+    """Vehicles sold to high-risk customers (semi join), with the mapped people of each."""
+    risky = t.sales.join(t.churn_scores.where(F.col("risk_tier") == "High"), "cust_id", "left_semi")
+    return t.vehicle.join(risky, "vin", "left_semi").select("vehicle_id", "vin", "model", "variant")
+
+
+# -- moist air -------------------------------------------------------------------------------------
+
+
+@named("air_closed_forms")
+def _air_closed_forms(t: AfterSales) -> DataFrame:
+    digits = {"w": 9, "p_sat": 5, "rh": 8, "mu": 8, "h": 6, "v": 8, "pv": 8}
+    solved = air.closed_forms(t.readings)
+    return solved.select("reading_id", "kind", *[round_half_up(F.col(c), d).alias(c) for c, d in digits.items()])
+
+
+@named("air_state")
+def _air_state(t: AfterSales) -> DataFrame:
+    return air.states(t.readings).select("reading_id", "error", "state.*")
+
+
+@named("air_processes")
+def _air_processes(t: AfterSales) -> DataFrame:
+    return air.processes(t.process_runs).select("reading_id", "process_type", "error", "state2.*")
+
+
+@named("air_process_metrics")
+def _air_process_metrics(t: AfterSales) -> DataFrame:
+    done = air.processes(t.process_runs).select("reading_id", "process_type", F.explode("metrics").alias("metric", "value"))
+    return done.withColumn("value", round_half_up(F.col("value"), 6))
+
+
+@named("air_mixing")
+def _air_mixing(t: AfterSales) -> DataFrame:
+    ratio = air.closed_forms(t.readings).select(
+        "user_id",
+        round_half_up(F.col("w"), 6).alias("w"),
+        round_half_up(F.col("h"), 3).alias("h"),
+        (1.0 + F.col("reading_id") % 3).alias("mass"),
+    )
+    mixed = air.mix(ratio, ["user_id"])
+    return mixed.select(
+        "user_id",
+        "mass",
+        round_half_up(F.col("dbt_mix"), 2).alias("dbt_mix"),
+        round_half_up(F.col("w_mix"), 6).alias("w_mix"),
+        round_half_up(F.col("h_mix"), 3).alias("h_mix"),
+    )
+
+
+@named("air_curves")
+def _air_curves(t: AfterSales) -> DataFrame:
+    """All curve families inside the dry-bulb range of each user's readings, one row per curve."""
+    charts = t.readings.groupBy("user_id").agg(F.min("dbt").alias("dbt_min"), F.max("dbt").alias("dbt_max"))
+    return (
+        air.curve_points(charts)
+        .groupBy("user_id", "family", "param")
+        .agg(
+            F.count("*").alias("points"),
+            round_half_up(F.min("dbt"), 6).alias("first_dbt"),
+            round_half_up(F.max("dbt"), 6).alias("last_dbt"),
+            round_half_up(F.min("w"), 8).alias("least_w"),
+            round_half_up(F.max("w"), 8).alias("most_w"),
+        )
+    )
+
+
+@named("air_history")
+def _air_history(t: AfterSales) -> DataFrame:
+    return chains.plotted_points(t.plotted, "user_id", ["ts", "reading_id"]).select(
+        "user_id", "label", "reading_id", "dbt"
+    )
+
+
+@named("point_labels")
+def _point_labels(t: AfterSales) -> DataFrame:
+    """The running label of every plotted point per user, whatever is cleared later."""
+    days = t.plotted.where("NOT is_clear AND label IS NULL").withColumn("day", F.col("ts").cast("date"))
+    numbered = chains.day_chain(days, "user_id", "day", "reading_id")
+    return numbered.select("user_id", "reading_id", F.concat(F.lit("P"), F.col("ordinal").cast("string")).alias("label"))

@@ -498,3 +498,32 @@ class AfterSales:
             )
             .drop("cust_name")
         )
+
+    @cached_property
+    def process_runs(self) -> DataFrame:
+        """One process per reading, all eight types, with the reading's state as first state."""
+        from stayline.plans.air import PROCESS_TYPES, states
+
+        e, s = F.col("reading_id"), F.col("state1")
+        kind = e % 8
+        use_w = e % 16 < 8
+        first = states(self.readings).withColumnRenamed("state", "state1")
+        p1 = (
+            F.when(kind == 0, s["dbt"] + 10.0)
+            .when(kind == 1, s["dbt"] - 5.0)
+            .when(kind.isin(2, 3), F.when(use_w, s["w"] + 0.001).otherwise(F.lit(60.0)))
+            .when(kind == 4, s["dbt"] - 8.0)
+            .when(kind == 5, s["dbt"] + 8.0)
+            .when(kind == 6, (s["dbt"] + s["wbt"]) / 2.0)
+            .otherwise(F.lit(30.0))
+        )
+        p2 = F.when(kind.isin(4, 5), F.when(use_w, 0.004).otherwise(50.0)).when(kind == 7, 0.012)
+        return first.select(
+            "reading_id",
+            "state1",
+            _pick(PROCESS_TYPES, kind).alias("process_type"),
+            p1.alias("param1"),
+            p2.alias("param2"),
+            F.when(kind == 7, F.when(use_w, 2.0)).alias("param3"),
+            use_w.alias("use_w"),
+        )

@@ -11,10 +11,11 @@ from stayline import reference_data as ref
 from stayline.functions import application, masks
 from stayline.functions.scalar import round_half_up
 from stayline.operators import chains, checks, identity, lookup, privacy, quality, ranking, rollups
-from stayline.plans import air, catalog, features, publish, rules, view360
-from stayline.session import tune
+from stayline.plans import air, catalog, features, models, publish, rules, view360
+from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AfterSales
+from stayline.streaming import refresh, service_feed
 
 Plan = Callable[[AfterSales], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -462,3 +463,63 @@ def _point_labels(t: AfterSales) -> DataFrame:
     days = t.plotted.where("NOT is_clear AND label IS NULL").withColumn("day", F.col("ts").cast("date"))
     numbered = chains.day_chain(days, "user_id", "day", "reading_id")
     return numbered.select("user_id", "reading_id", F.concat(F.lit("P"), F.col("ordinal").cast("string")).alias("label"))
+
+
+# -- models and monitoring -------------------------------------------------------------------------
+
+
+@named("ml_scores")
+def _ml_scores(t: AfterSales) -> DataFrame:
+    rows = stage(t.churn_features, "features")
+    return models.score(models.fit(rows), rows).select("cust_id", "churn_probability", "score_tier", "is_train")
+
+
+@named("ml_drivers")
+def _ml_drivers(t: AfterSales) -> DataFrame:
+    rows = stage(t.churn_features, "features")
+    fitted = models.prune(models.fit(rows), rows)
+    return models.with_drivers(fitted, models.score(fitted, rows)).select(
+        "cust_id", "churn_probability", "top_driver_1", "top_driver_2", "top_driver_3"
+    )
+
+
+@named("segments")
+def _segments(t: AfterSales) -> DataFrame:
+    return models.segments(stage(t.churn_features, "features")).select("cust_id", "rfm_total", "segment")
+
+
+def _scored_by_year(t: AfterSales) -> DataFrame:
+    years = t.sales.select("cust_id", F.year("sale_date").alias("sale_year"))
+    return t.scored.select("cust_id", "churn_label", "churn_probability").join(years, "cust_id")
+
+
+@named("auc_by_year")
+def _auc_by_year(t: AfterSales) -> DataFrame:
+    return models.auc_by_period(_scored_by_year(t), "sale_year")
+
+
+@named("drift_gate")
+def _drift_gate(t: AfterSales) -> DataFrame:
+    return models.drift_gate(_scored_by_year(t), "sale_year")
+
+
+@named("stability_index")
+def _stability_index(t: AfterSales) -> DataFrame:
+    return models.stability_index(_scored_by_year(t), "sale_year")
+
+
+# -- streams ---------------------------------------------------------------------------------------
+
+
+@named("stream_refresh")
+def _stream_refresh(t: AfterSales) -> DataFrame:
+    table, checkpoint = staged_path(t.spark, "versions"), staged_path(t.spark, "versions-checkpoint")
+    refresh.refresh(t.decision_versions(t.stream("orders")), table, checkpoint).awaitTermination()
+    return refresh.latest(t.spark.read.parquet(table)).select("application_number", "decision", "row_idx")
+
+
+@named("stream_service_windows")
+def _stream_windows(t: AfterSales) -> DataFrame:
+    table, checkpoint = staged_path(t.spark, "visits"), staged_path(t.spark, "visits-checkpoint")
+    service_feed.run(t.live_visits(t.stream("lineitem")), table, checkpoint).awaitTermination()
+    return t.spark.read.parquet(table)

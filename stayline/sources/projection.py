@@ -527,3 +527,35 @@ class AfterSales:
             F.when(kind == 7, F.when(use_w, 2.0)).alias("param3"),
             use_w.alias("use_w"),
         )
+
+    # -- streams ----------------------------------------------------------------------------------
+
+    def stream(self, name: str) -> DataFrame:
+        """The files of one input table as a stream; a new file of that name pattern is a new batch."""
+        schema = self.raw(name).schema
+        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(self.folder)
+
+    @staticmethod
+    def decision_versions(orders: DataFrame) -> DataFrame:
+        """Successive decisions on one number per customer, from orders in a table or a stream."""
+        return orders.select(
+            F.lpad((F.col("o_custkey") * 7 % 100000000).cast("string"), 8, "0").alias("application_number"),
+            F.when(F.col("o_orderstatus") == "F", "Approved")
+            .when(F.col("o_orderstatus") == "O", "Refused")
+            .otherwise("Pending")
+            .alias("decision"),
+            F.col("o_orderdate").cast("timestamp").alias("published_at"),
+            F.col("o_orderkey").alias("row_idx"),
+        )
+
+    @staticmethod
+    def live_visits(lineitem: DataFrame) -> DataFrame:
+        """Line items, in a table or a stream, as live service events."""
+        free = (F.col("l_linenumber") - 1) % 5 == 0
+        return lineitem.select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("smr_id"),
+            _numbered("DLR00", F.col("l_orderkey") % 5).alias("dealer_id"),
+            F.col("l_shipdate").cast("timestamp").alias("ts"),
+            F.when(F.col("l_returnflag") == "R", "Cancelled").otherwise("Completed").alias("status"),
+            F.when(free, 0.0).otherwise(F.floor(F.col("l_extendedprice") / 7).cast("double")).alias("bill_amount"),
+        )

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 PREFIX = "IRL"
 DIGITS = 8
 
-_OUTER_BLANKS = r"^\s+|\s+$"
+# The characters that count as white space.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    """Remove all white space at both ends (``F.trim`` removes blanks only)."""
-    return F.regexp_replace(text, _OUTER_BLANKS, "")
+    """Remove all white space at both ends (``F.trim`` alone removes blanks only)."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def normalise_number(text: Column) -> Column:
@@ -37,17 +42,33 @@ def letters_in(text: Column) -> Column:
 def with_number_check(df: DataFrame, raw: str) -> DataFrame:
     """Add ok, error_code, error_msg and number: the first rule that fails names the error.
 
-    The steps are separate projections, so that no pattern is matched twice for one row.
+    The steps are separate projections, and the result leaves through a generator: a filter on ``ok`` then
+    stays above it, where otherwise the optimizer would copy all the steps into the filter.
     """
-    text, code = F.col("_text"), F.col("error_code")
+    text, code = F.col("_text"), F.col("_code")
     prefixed, only_digits, size = F.col("_prefixed"), F.col("_only_digits"), F.length("_digits")
+    message = (
+        F.when(code == "not_alphanumeric", "no spaces or special characters allowed")
+        .when(code == "letters_after_prefix", f"after {PREFIX} only digits are allowed")
+        .when(code == "letters_at_end", F.concat(F.lit("letters at end: "), letters_in(text)))
+        .when(code == "other_letters", F.concat(F.lit("unexpected letters: "), letters_in(text)))
+        .when(code == "too_short", F.concat(F.lit("too short: "), size.cast("string"), F.lit(" digits")))
+        .when(code == "too_long", F.concat(F.lit("too long: "), size.cast("string"), F.lit(" digits")))
+        .otherwise("")
+    )
+    verdict = F.struct(
+        code.isNull().alias("ok"),
+        code.alias("error_code"),
+        message.alias("error_msg"),
+        F.when(code.isNull(), F.col("_digits")).otherwise("").alias("number"),
+    )
     return (
         df.withColumn("_text", strip(F.coalesce(F.col(raw), F.lit(""))))
         .withColumn("_prefixed", F.upper(text).startswith(PREFIX))
         .withColumn("_digits", F.when(prefixed, F.substring(text, len(PREFIX) + 1, 1_000_000)).otherwise(text))
         .withColumn("_only_digits", F.col("_digits").rlike("^[0-9]+$"))
         .withColumn(
-            "error_code",
+            "_code",
             F.when(text == "", "empty")
             .when(~text.rlike("^[A-Za-z0-9]+$"), "not_alphanumeric")
             .when(prefixed & ~only_digits, "letters_after_prefix")
@@ -56,20 +77,7 @@ def with_number_check(df: DataFrame, raw: str) -> DataFrame:
             .when(size < DIGITS, "too_short")
             .when(size > DIGITS, "too_long"),
         )
-        .withColumns(
-            {
-                "ok": code.isNull(),
-                "error_msg": F.when(code == "not_alphanumeric", "no spaces or special characters allowed")
-                .when(code == "letters_after_prefix", f"after {PREFIX} only digits are allowed")
-                .when(code == "letters_at_end", F.concat(F.lit("letters at end: "), letters_in(text)))
-                .when(code == "other_letters", F.concat(F.lit("unexpected letters: "), letters_in(text)))
-                .when(code == "too_short", F.concat(F.lit("too short: "), size.cast("string"), F.lit(" digits")))
-                .when(code == "too_long", F.concat(F.lit("too long: "), size.cast("string"), F.lit(" digits")))
-                .otherwise(""),
-                "number": F.when(code.isNull(), F.col("_digits")).otherwise(""),
-            }
-        )
-        .drop("_text", "_prefixed", "_digits", "_only_digits")
+        .select(*df.columns, F.inline(F.array(verdict)))
     )
 
 

@@ -7,102 +7,111 @@ from pyspark.sql import functions as F
 
 from stayline.functions.application import DIGITS, as_integer, decision_class, normalise_number, with_number_check
 
-# Width of a bucket of numbers. A bucket holds at most this many distinct numbers of each kind.
+# Width of a bucket of numbers. A bucket holds at most this many distinct numbers.
 BUCKET = 100_000
 
 
-def _edge(column: str, window) -> Column:
-    return F.last(column, ignorenulls=True).over(window)
+def first_rows(decisions: DataFrame, key: Column) -> DataFrame:
+    """One row per key, the first in file order. Repeats are combined on the map side."""
+    first = F.min_by(F.struct("application_number", "decision"), "row_idx")
+    return (
+        decisions.select(key.alias("key"), "row_idx", "application_number", "decision")
+        .where(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(first.alias("d"))
+        .select("key", "d.*")
+    )
 
 
-def resolve_numbers(searched: DataFrame, decisions: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """For each distinct searched number: ``exact``, ``before`` and ``after`` decision rows (strict neighbours).
+def neighbours(asked: DataFrame, decided: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """For each distinct asked number, the nearest decided numbers strictly ``before`` and ``after`` it.
 
-    Searched and decided numbers are merged to one row per number first (repeats are combined on the map
-    side; the first row of a number wins), so a bucket's size depends on its width and not on how often a
-    number occurs. Neighbours outside the bucket come from a table with one row per bucket.
+    Both inputs have a BIGINT ``number``. They are merged to one row per number first, so a bucket's size
+    depends on its width and not on how often a number occurs, and only integers are sorted. A neighbour
+    outside the bucket comes from a table with one row per bucket.
     """
-    number = as_integer(F.col("application_number"))
-    full = F.length(normalise_number(F.col("application_number"))) == DIGITS
-    row = F.struct("row_idx", "application_number", "decision", number.alias("number"))
-    decided = decisions.select(number.alias("number"), row.alias("row"), F.when(full, row).alias("exact")).where(
-        F.col("number").isNotNull()
-    )
-    kind = decided.schema["row"].dataType
-    asked = searched.select("number", F.lit(None).cast(kind).alias("row"), F.lit(None).cast(kind).alias("exact"))
     merged = (
-        decided.withColumn("asked", F.lit(False))
-        .unionByName(asked.withColumn("asked", F.lit(True)))
-        .withColumn("bucket", F.floor(F.col("number") / bucket))
-        .groupBy("bucket", "number")
-        .agg(F.min("row").alias("row"), F.min("exact").alias("exact"), F.max("asked").alias("asked"))
+        decided.select("number", F.lit(1).alias("known"), F.lit(0).alias("asked"))
+        .unionByName(asked.select("number", F.lit(0).alias("known"), F.lit(1).alias("asked")))
+        .groupBy(F.floor(F.col("number") / bucket).alias("bucket"), "number")
+        .agg(F.max("known").alias("known"), F.max("asked").alias("asked"))
+        .withColumn("mark", F.when(F.col("known") == 1, F.col("number")))
     )
-    rising = Window.partitionBy("bucket").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    falling = Window.partitionBy("bucket").orderBy(F.desc("number")).rowsBetween(Window.unboundedPreceding, -1)
-    near = merged.withColumns({"before": _edge("row", rising), "after": _edge("row", falling)}).where("asked")
 
-    up = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    def nearest(column: str, *parts, order) -> Column:
+        window = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(column, ignorenulls=True).over(window)
+
+    inside = merged.withColumns(
+        {
+            "before": nearest("mark", "bucket", order=F.asc("number")),
+            "after": nearest("mark", "bucket", order=F.desc("number")),
+        }
+    ).where("asked = 1")
     ends = (
         merged.groupBy("bucket")
-        .agg(F.max_by("row", F.when(F.col("row").isNotNull(), F.col("number"))).alias("top"),
-             F.min_by("row", F.when(F.col("row").isNotNull(), F.col("number"))).alias("bottom"))
-        .select("bucket", _edge("top", up).alias("below"), _edge("bottom", down).alias("above"))
+        .agg(F.max("mark").alias("top"), F.min("mark").alias("bottom"))
+        .select(
+            "bucket",
+            nearest("top", F.lit(0), order=F.asc("bucket")).alias("below"),
+            nearest("bottom", F.lit(0), order=F.desc("bucket")).alias("above"),
+        )
     )
-    return near.join(ends, "bucket").select(
-        "number", "exact", F.coalesce("before", "below").alias("before"), F.coalesce("after", "above").alias("after")
+    return inside.join(ends, "bucket").select(
+        "number", F.coalesce("before", "below").alias("before"), F.coalesce("after", "above").alias("after")
     )
 
 
-def lookup(searches: DataFrame, decisions: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Searched texts with their check result and the resolved decision rows.
+def exact_matches(searches: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Every searched text with its check and the decision of exactly that number.
 
-    Rejected texts do not take part in the join (they would all share one missing key) and are added back.
+    A rejected text has no number; it is given a key of its own, which matches nothing, so that such texts
+    do not all meet on one missing key.
     """
-    checked = with_number_check(searches, "raw")
-    valid = checked.where("ok").withColumn("key", F.col("number").cast("bigint"))
-    resolved = resolve_numbers(valid.select(F.col("key").alias("number")), decisions, bucket)
-    found = valid.join(resolved.withColumnRenamed("number", "key"), "key").drop("key")
-    rejected = checked.where("NOT ok")
-    return found.unionByName(rejected, allowMissingColumns=True)
-
-
-def exact_matches(looked_up: DataFrame) -> DataFrame:
-    status = F.when(~F.col("ok"), "invalid").when(F.col("exact").isNull(), "not_found").otherwise("found")
-    return looked_up.select(
-        "search_id",
-        "raw",
-        status.alias("status"),
-        "error_code",
-        F.col("exact.application_number").alias("application_number"),
-        F.col("exact.decision").alias("decision"),
-        F.when(F.col("exact").isNotNull(), decision_class(F.col("exact.decision"))).alias("decision_class"),
+    checked = with_number_check(searches, "raw").drop("error_msg")
+    own_key = F.when(F.col("ok"), F.col("number")).otherwise(F.concat(F.lit("~"), F.col("search_id")))
+    known = first_rows(decisions, normalise_number(F.col("application_number")))
+    matched = F.col("application_number").isNotNull()
+    status = F.when(~F.col("ok"), "invalid").when(matched, "found").otherwise("not_found")
+    return (
+        checked.withColumn("key", own_key)
+        .join(known, "key", "left")
+        .select(
+            "search_id",
+            "raw",
+            "number",
+            status.alias("status"),
+            "error_code",
+            "application_number",
+            "decision",
+            F.when(matched, decision_class(F.col("decision"))).alias("decision_class"),
+        )
     )
 
 
-def nearest_matches(looked_up: DataFrame) -> DataFrame:
-    """Up to two rows per valid number without an exact match."""
-
-    def side(name: str, row: str, difference: Column) -> Column:
-        return F.when(
-            F.col(row).isNotNull(),
-            F.struct(
-                F.lit(name).alias("nearest_application"),
-                F.col(f"{row}.application_number").alias("application_number"),
-                F.col(f"{row}.decision").alias("decision"),
-                difference.alias("difference"),
-            ),
-        )
-
-    number = F.col("number").cast("bigint")
-    sides = F.array_compact(
-        F.array(
-            side("Before", "before", number - F.col("before.number")),
-            side("After", "after", F.col("after.number") - number),
-        )
+def nearest_matches(searches: DataFrame, decisions: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Up to two rows, Before and After, per valid search whose number has no decision."""
+    text = normalise_number(F.col("application_number"))
+    known = decisions.select(text.alias("number")).where(F.length("number") == DIGITS)
+    misses = (
+        with_number_check(searches, "raw")
+        .where("ok")
+        .select("search_id", "number")
+        .join(known, "number", "left_anti")
+        .withColumn("key", F.col("number").cast("bigint"))
     )
-    return (
-        looked_up.where(F.col("ok") & F.col("exact").isNull())
-        .select("search_id", "number", F.explode(sides).alias("_side"))
-        .select("search_id", "number", "_side.*")
+    rows = first_rows(decisions, as_integer(F.col("application_number")))
+    near = neighbours(misses.select(F.col("key").alias("number")), rows.select(F.col("key").alias("number")), bucket)
+    sides = F.array(
+        F.struct(F.lit("Before").alias("nearest_application"), F.col("before").alias("key")),
+        F.struct(F.lit("After").alias("nearest_application"), F.col("after").alias("key")),
+    )
+    named = (
+        near.select(F.col("number").alias("asked"), F.inline(sides))
+        .join(rows, "key")
+        .withColumn("difference", F.abs(F.col("asked") - F.col("key")))
+        .drop("key")
+    )
+    return misses.join(named, F.col("key") == F.col("asked")).select(
+        "search_id", "number", "nearest_application", "application_number", "decision", "difference"
     )

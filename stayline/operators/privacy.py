@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +58,16 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _text_values(df: DataFrame, table: str) -> DataFrame:
-    """The distinct texts of each text column with their row counts: repeats are summed before the shuffle."""
+def _text_values(df: DataFrame, table: str, least_length: Column) -> DataFrame:
+    """The distinct texts of each text column with their row counts: repeats are summed before the shuffle.
+
+    Texts shorter than the shortest name cannot hold one and are dropped at once.
+    """
     names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     cells = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("text")) for n in names])
     return (
         df.select(F.inline(cells))
-        .where(F.col("text").isNotNull())
+        .where(F.length("text") >= least_length)
         .groupBy("column_name", "text")
         .agg(F.count("*").alias("rows"))
         .select(F.lit(table).alias("table_name"), "column_name", "text", "rows")
@@ -75,36 +79,41 @@ def leak_scan(pii: DataFrame, tables: Mapping[str, DataFrame], names: list[str]
 
     A name matches on word boundaries. Distinct names and distinct texts meet on one or two consecutive
     words (the first two of the name), and the whole name is then looked for in the text, so names of any
-    length are handled and no name is compared with every text.
+    length are handled and no name is compared with every text. Single words are tried only if the vault has
+    names of a single word.
     """
-    parts = [_text_values(tables[name], name) for name in names or list(tables)]
-    texts = parts[0]
-    for part in parts[1:]:
-        texts = texts.unionByName(part)
     people = (
         pii.select(F.col("cust_name").alias("name"))
         .where(F.length("name") >= LEAST_NAME_LENGTH)
         .distinct()
-        .withColumn("_w", _words(F.col("name")))
-        .where(F.size("_w") > 0)
-        .select("name", F.array_join("_w", " ").alias("_whole"), F.array_join(F.slice("_w", 1, 2), " ").alias("_key"))
+        .withColumn("_nw", _words(F.col("name")))
+        .where(F.size("_nw") > 0)
+        .select(
+            "name", F.array_join("_nw", " ").alias("_whole"), F.array_join(F.slice("_nw", 1, 2), " ").alias("_key")
+        )
+    )
+    shortest = people.agg(F.min(F.length("_whole")).alias("n")).scalar()
+    has_single = people.agg(F.bool_or(~F.col("_key").contains(" ")).alias("b")).scalar()
+    texts = reduce(
+        DataFrame.unionByName, [_text_values(tables[n], n, shortest) for n in names or list(tables)]
     )
     word = F.col("_w")
     pairs = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(word) - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(word, i, F.lit(2)), " "),
     )
+    keys = F.when(has_single, F.concat(word, pairs)).otherwise(pairs)
     shingled = (
         texts.withColumn("_w", _words(F.col("text")))
         .where(F.size("_w") > 0)
         .withColumn("_all", F.array_join("_w", " "))
-        .withColumn("_key", F.explode(F.array_distinct(F.concat(word, pairs))))
+        .withColumn("_key", F.explode(F.array_distinct(keys)))
         .drop("_w")
     )
-    padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    padded = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
     return (
         shingled.join(people, "_key")
-        .where(F.contains(padded(F.col("_all")), padded(F.col("_whole"))))
+        .where(F.contains(padded("_all"), padded("_whole")))
         .groupBy("table_name", "column_name", "name")
         .agg(F.sum("rows").alias("leaked_rows"))
     )

@@ -304,12 +304,12 @@ def _number_validation(t: AfterSales) -> DataFrame:
 
 @named("decision_lookup")
 def _decision_lookup(t: AfterSales) -> DataFrame:
-    return lookup.exact_matches(lookup.lookup(t.searches, t.decisions))
+    return lookup.exact_matches(t.searches, t.decisions).drop("number")
 
 
 @named("decision_nearest")
 def _decision_nearest(t: AfterSales) -> DataFrame:
-    return lookup.nearest_matches(lookup.lookup(t.searches, t.decisions))
+    return lookup.nearest_matches(t.searches, t.decisions)
 
 
 @named("grid_clean")

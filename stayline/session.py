@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Settings that must be there when the session is built. Recording the Python call site of every Column
+# expression more than doubles the time to build a plan.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _local_root: str | None = None
 
@@ -26,7 +29,7 @@ def build_session(app: str = "stayline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

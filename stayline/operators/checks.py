@@ -240,7 +240,7 @@ def missing_tables(tables: Tables, expected: list[str]) -> list[str]:
     return [name for name in expected if name not in tables]
 
 
-def report(t: Tables, as_set: bool = True) -> DataFrame:
+def report(t: Tables) -> DataFrame:
     """All checks as (table, check, violations): rules, foreign keys, minimums and the label band."""
     rows = row_minimums(t).select(
         "table_name", F.lit("enough rows").alias("check_name"), (1 - F.col("enough")).cast("bigint").alias("violations")

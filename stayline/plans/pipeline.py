@@ -7,7 +7,7 @@ import getpass
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline import reference_data as ref
@@ -38,14 +38,15 @@ class Pipeline:
         return name in TABLES
 
     def write(self, step: str, name: str, df: DataFrame) -> None:
-        """Write a table and note who wrote how many rows with which content, counted during the write."""
-        seen = Observation(f"{step}-{name}")
-        digest = F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns]))
-        watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), digest.alias("content_hash"))
-        watched.write.mode("overwrite").parquet(self.path(name))
-        result = seen.get
+        """Write a table and note who wrote how many rows with which content.
+
+        The figures are read from the written files, so they describe what later steps will see. (An
+        ``Observation`` would count during the write, but leaves the session unable to run MLlib afterwards.)
+        """
+        df.write.mode("overwrite").parquet(self.path(name))
+        written = checks.table_hash(self.spark.read.schema(df.schema).parquet(self.path(name)), name).first()
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.audit.append((step, name, getpass.getuser(), now, result["rows"], result["content_hash"]))
+        self.audit.append((step, name, getpass.getuser(), now, written["rows"], written["content_hash"]))
 
     def ingest(self, source: Tables) -> None:
         """The three domains, the registrations, the vehicles and the bridge, as delivered."""

@@ -118,6 +118,12 @@ _METRICS = " UNION ALL ".join([
     _metric(7, "mass_2", "1e0"),
 ])
 
+# Ties are rounded half up on the decimal digits of the number, not on its binary value.
+_PRINTED = """CASE WHEN metric IN ('mass_1', 'mass_2') THEN CAST(value AS VARCHAR)
+  WHEN metric IN ('delta_t', 'dbt_constant', 'wbt_constant', 'temperature_drop', 'mixed_dbt') THEN CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(18, 2)) AS VARCHAR)
+  WHEN metric IN ('w_constant', 'moisture_added', 'moisture_removed', 'mixed_w') THEN CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(18, 6)) AS VARCHAR)
+  ELSE CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(18, 3)) AS VARCHAR) END"""
+
 _CURVE_ROWS = "SELECT 'saturation' AS family, 1e0 AS param, 300 AS steps" + "".join(
     f" UNION ALL SELECT '{family}', {value}, 200"
     for family, value in [("rh", f"{p / 100}e0") for p in range(10, 100, 10)]
@@ -172,6 +178,13 @@ SELECT work_type_name, pay_mode_name, description, milestone_name, dealer_name,
 FROM service_feed LEFT JOIN dim_work_type USING (work_type_id) LEFT JOIN dim_pay_mode USING (pay_mode_id)
 LEFT JOIN dim_cancel_reason USING (cancel_reason_id) LEFT JOIN dim_milestone USING (milestone_id)
 LEFT JOIN dim_dealer USING (dealer_id) GROUP BY ALL"""),
+    "sql_on_views": statement("""
+SELECT dealer_name, city, count(DISTINCT cust_id) AS customers, sum(total_premium) AS premium
+FROM insurance JOIN dim_dealer USING (dealer_id) WHERE cust_id IN (SELECT cust_id FROM scores WHERE risk_tier = 'High')
+GROUP BY dealer_name, city"""),
+    "grid_without_notes": """
+SELECT 'F' || o_custkey AS file_id, count(*) + 2 AS lines, count(*) FILTER (o_orderkey % 11 <> 0) + 2 AS with_decision
+FROM orders GROUP BY o_custkey""",
     "model_variants": statement("""
 SELECT model, variant, cc, transmission, body_type, count(*) AS vehicles FROM vehicle GROUP BY ALL"""),
     "customer_vehicles": statement("""
@@ -190,7 +203,8 @@ FROM (SELECT *, {p_sat('dbt')} AS p, {w_rh('dbt', '1e0')} AS ws FROM ratio)""",
         f"SELECT *, {_TYPE} AS process_type, CAST(NULL AS VARCHAR) AS error FROM second_state", _RUNS, recursive=True
     ),
     "air_process_metrics": statement(
-        f"SELECT reading_id, {_TYPE} AS process_type, metric, {half_up('value', 6)} AS value FROM ({_METRICS})",
+        f"SELECT reading_id, {_TYPE} AS process_type, metric, {half_up('value', 6)} AS value, {_PRINTED} AS printed "
+        f"FROM ({_METRICS})",
         {**_RUNS, "both_states": """
 SELECT a.*, b.dbt AS bt, b.w AS bw, b.h AS bh FROM target a JOIN second_state b USING (reading_id)"""},
         recursive=True,

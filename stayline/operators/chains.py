@@ -13,8 +13,11 @@ def day_chain(
 
     The window is split in two levels. Rows are first summed per key and day, and only those day rows, as many
     as the calendar has days, are windowed over the key. The rows themselves are windowed within their day.
-    A key that holds a large share of the table is therefore spread over its days.
+    A key that holds a large share of the table is therefore spread over its days. Rows without a key or a day
+    have no place in a chain; they are kept, with NULL in the added columns.
     """
+    placed = F.col(key).isNotNull() & F.col(day).isNotNull()
+    unplaced, df = df.where(~placed), df.where(placed)
     last = [F.max_by(c, tie).alias(f"_last_{c}") for c in previous]
     sums = [F.sum(c).alias(f"_sum_{c}") for c in running]
     by_day = df.groupBy(key, day).agg(F.count("*").alias("_n"), *last, *sums)
@@ -32,7 +35,7 @@ def day_chain(
     within = Window.partitionBy(key, day).orderBy(tie)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_day = df.join(days, [key, day]).withColumn("_no", F.row_number().over(within))
-    return in_day.select(
+    chained = in_day.select(
         *df.columns,
         (F.col("_rows_before") + F.col("_no")).alias("ordinal"),
         *[
@@ -41,6 +44,7 @@ def day_chain(
         ],
         *[(F.col(f"_before_{c}") + F.sum(c).over(upto)).alias(f"running_{c}") for c in running],
     )
+    return chained.unionByName(unplaced, allowMissingColumns=True)
 
 
 def policy_chain(insurance: DataFrame) -> DataFrame:

@@ -59,9 +59,23 @@ def rule_counts(marked: DataFrame, table: str) -> DataFrame:
 
 
 def with_copies(df: DataFrame, key: str) -> DataFrame:
-    """Add ``copies``, the number of rows with the same key. Keys that occur once are not joined back."""
-    repeated = df.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1 AND " + key + " IS NOT NULL")
-    return df.join(repeated, key, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    """Add ``copies``, the number of rows with the same key. Only keys that occur more than once are joined back.
+
+    A row without a key is spread by its content; it would otherwise meet all others without one.
+    """
+    repeated = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_repeated"))
+        .agg(F.count("*").alias("copies"))
+        .where("copies > 1")
+    )
+    spread = F.concat(F.lit("~"), F.xxhash64(*df.columns).cast("string"))
+    return (
+        df.withColumn("_key", F.coalesce(F.col(key), spread))
+        .join(repeated, F.col("_key") == F.col("_repeated"), "left")
+        .withColumn("copies", F.coalesce("copies", F.lit(1)))
+        .drop("_key", "_repeated")
+    )
 
 
 def with_dimension(df: DataFrame, column: str, dimension: DataFrame, dim_key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import air
-from stayline.functions.scalar import round_half_up
+from stayline.functions.scalar import fixed_decimals, round_half_up
 
 # Decimals of each property, kinds of second input, process types, curve parameters.
 DECIMALS = {"dbt": 2, "wbt": 2, "dpt": 2, "rh": 1, "w": 6, "h": 3, "v": 4, "pv": 4, "mu": 4}
@@ -28,6 +28,12 @@ CURVES = (
     + [("h", float(h), 200) for h in range(-10, 121, 10)]
     + [("v", v, 200) for v in (0.80, 0.84, 0.88, 0.92)]
 )
+METRIC_DECIMALS = {
+    2: ["delta_t", "dbt_constant", "wbt_constant", "temperature_drop", "mixed_dbt"],
+    3: ["heat_added", "heat_removed", "enthalpy_change", "total_heat_added", "total_heat_removed", "sensible_heat_removed",
+        "latent_heat_removed", "mixed_h"],
+    6: ["w_constant", "moisture_added", "moisture_removed", "mixed_w"],
+}
 CHART_DBT = (-10.0, 50.0)
 CHART_W = (0.0, 0.031)
 
@@ -128,21 +134,22 @@ def _target(process: Column, s1: Column) -> dict[str, Column]:
 def _metrics(process: Column, s1: Column, s2: Column) -> Column:
     """Result figures per process type, typed; differences are taken between the rounded states."""
     dh, dw, dt = s2["h"] - s1["h"], s2["w"] - s1["w"], s2["dbt"] - s1["dbt"]
+    dh_out, dw_out, dt_out = s1["h"] - s2["h"], s1["w"] - s2["w"], s1["dbt"] - s2["dbt"]
     p1 = F.col("param1")
     figures = {
         "SENSIBLE_HEATING": {"heat_added": dh, "delta_t": p1 - s1["dbt"], "w_constant": s1["w"]},
-        "SENSIBLE_COOLING": {"heat_removed": -dh, "delta_t": s1["dbt"] - p1, "w_constant": s1["w"]},
+        "SENSIBLE_COOLING": {"heat_removed": dh_out, "delta_t": s1["dbt"] - p1, "w_constant": s1["w"]},
         "HUMIDIFICATION": {"moisture_added": dw, "enthalpy_change": dh, "dbt_constant": s1["dbt"]},
-        "DEHUMIDIFICATION": {"moisture_removed": -dw, "enthalpy_change": dh, "dbt_constant": s1["dbt"]},
+        "DEHUMIDIFICATION": {"moisture_removed": dw_out, "enthalpy_change": dh, "dbt_constant": s1["dbt"]},
         "COOLING_DEHUMIDIFICATION": {
-            "total_heat_removed": -dh,
-            "sensible_heat_removed": -air.CP_AIR * dt,
-            "latent_heat_removed": -air.HEAT_OF_VAPOUR * dw,
-            "moisture_removed": -dw,
+            "total_heat_removed": dh_out,
+            "sensible_heat_removed": air.CP_AIR * dt_out,
+            "latent_heat_removed": air.HEAT_OF_VAPOUR * dw_out,
+            "moisture_removed": dw_out,
         },
         "HEATING_HUMIDIFICATION": {"total_heat_added": dh, "moisture_added": dw, "delta_t": dt},
         "EVAPORATIVE_COOLING": {
-            "temperature_drop": -dt,
+            "temperature_drop": dt_out,
             "moisture_added": dw,
             "wbt_constant": s1["wbt"],
             "enthalpy_change": dh,
@@ -180,6 +187,14 @@ def processes(df: DataFrame) -> DataFrame:
     )
 
 
+def metric_text(name: Column, value: Column) -> Column:
+    """A figure as printed: fixed decimals by kind, the masses of a mixture as they are."""
+    printed = F
+    for digits, names in METRIC_DECIMALS.items():
+        printed = printed.when(name.isin(names), fixed_decimals(value, digits))
+    return printed.otherwise(value.cast("string"))
+
+
 def mix(streams: DataFrame, by: list[str], mass: str = "mass") -> DataFrame:
     """Adiabatic mixture of any number of streams per group, weighted by dry-air mass."""
     m = F.col(mass)

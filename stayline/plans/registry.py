@@ -15,6 +15,7 @@ from stayline.plans import air, catalog, features, models, publish, rules, view3
 from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AfterSales
+from stayline.sources.tables import register
 from stayline.streaming import refresh, service_feed
 
 Plan = Callable[[AfterSales], DataFrame]
@@ -317,6 +318,13 @@ def _grid_clean(t: AfterSales) -> DataFrame:
     return grid.clean_grid(t.decision_grid)
 
 
+@named("grid_without_notes")
+def _grid_without_notes(t: AfterSales) -> DataFrame:
+    """Lines below the notes line that follows a title, per file, entirely empty lines left out."""
+    lines = grid.sheet_table(t.decision_grid, ["mark", "no", "number", "decision"])
+    return lines.groupBy("file_id").agg(F.count("*").alias("lines"), F.count("decision").alias("with_decision"))
+
+
 @named("grid_headers")
 def _grid_headers(t: AfterSales) -> DataFrame:
     return grid.header_rows(t.decision_grid)
@@ -412,7 +420,8 @@ def _air_processes(t: AfterSales) -> DataFrame:
 @named("air_process_metrics")
 def _air_process_metrics(t: AfterSales) -> DataFrame:
     done = air.processes(t.process_runs).select("reading_id", "process_type", F.explode("metrics").alias("metric", "value"))
-    return done.withColumn("value", round_half_up(F.col("value"), 6))
+    printed = air.metric_text(F.col("metric"), F.col("value"))
+    return done.withColumns({"printed": printed, "value": round_half_up(F.col("value"), 6)})
 
 
 @named("air_mixing")
@@ -465,6 +474,19 @@ def _point_labels(t: AfterSales) -> DataFrame:
     return numbered.select("user_id", "reading_id", F.concat(F.lit("P"), F.col("ordinal").cast("string")).alias("label"))
 
 
+@named("sql_on_views")
+def _sql_on_views(t: AfterSales) -> DataFrame:
+    """Any SQL text over the registered tables; here dealers by premium of their high-risk customers."""
+    register({name: t[name] for name in ("insurance", "churn_scores", "dim_dealer")})
+    return t.spark.sql(
+        """
+        SELECT d.dealer_name, d.city, count(DISTINCT i.cust_id) AS customers, sum(i.total_premium) AS premium
+        FROM insurance i JOIN churn_scores s ON s.cust_id = i.cust_id JOIN dim_dealer d ON d.dealer_id = i.dealer_id
+        WHERE s.risk_tier = 'High' GROUP BY d.dealer_name, d.city
+        """
+    )
+
+
 # -- models and monitoring -------------------------------------------------------------------------
 
 

@@ -33,9 +33,10 @@ def test_day_chain_equals_a_plain_walk(spark):
         ("hot" if i % 3 else f"v{i % 5}", DAY + dt.timedelta(days=rng.randint(0, 20)), f"s{i:04d}", float(rng.randint(0, 9)))
         for i in range(600)
     ]
-    df = spark.createDataFrame(data, "vin string, day date, id string, bill double").repartition(5)
+    undated = [("hot", None, "u1", 1.0), (None, DAY, "u2", 1.0)]
+    df = spark.createDataFrame(data + undated, "vin string, day date, id string, bill double").repartition(5)
     got = {r.id: r for r in chains.day_chain(df, "vin", "day", "id", previous=("bill", "day"), running=("bill",)).collect()}
-    assert len(got) == len(data)
+    assert len(got) == len(data) + 2 and got["u1"].ordinal is None and got["u2"].running_bill is None
     for _, group in itertools.groupby(sorted(data), key=lambda x: x[0]):
         total, before = 0.0, None
         for n, (_, day, key, bill) in enumerate(sorted(group, key=lambda x: (x[1], x[2])), 1):

@@ -550,10 +550,13 @@ class AfterSales:
 
     @staticmethod
     def live_visits(lineitem: DataFrame) -> DataFrame:
-        """Line items, in a table or a stream, as live service events."""
+        """Line items, in a table or a stream, as live service events; equal ids mean equal events."""
         free = (F.col("l_linenumber") - 1) % 5 == 0
+        day = F.col("l_shipdate").cast("date")
         return lineitem.select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("smr_id"),
+            F.concat_ws(
+                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day, "l_returnflag", "l_extendedprice"
+            ).alias("smr_id"),
             _numbered("DLR00", F.col("l_orderkey") % 5).alias("dealer_id"),
             F.col("l_shipdate").cast("timestamp").alias("ts"),
             F.when(F.col("l_returnflag") == "R", "Cancelled").otherwise("Completed").alias("status"),

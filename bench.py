@@ -12,30 +12,21 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "q01_ranked",
     "q05_tier_summary",
-    "q06_top_drivers",
-    "q09_by_city",
     "q10_by_model",
     "q11_cancellations",
-    "q12_recoverable",
     "features",
-    "scores",
-    "dq_summary",
     "dq_imputed_bills",
     "vault_leak_scan",
-    "fk_orphans",
-    "policy_chain",
     "visit_chain",
     "identity_dedup",
     "vin_fallback_join",
     "decision_lookup",
     "decision_nearest",
     "grid_clean",
-    "page_links",
     "publish_ranked",
     "customer_360",
     "air_state",
     "air_processes",
-    "air_mixing",
 ]
 
 

@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=AS_OF)
     parser.add_argument("--show-pii", action="store_true")
-    args = parser.parse_args(argv)
+    args = parser.parse_intermixed_args(argv)
     spark = build_session()
 
     if args.command == "build":

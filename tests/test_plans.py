@@ -144,3 +144,17 @@ def test_stability_of_equal_samples_is_zero(spark):
     assert {r.psi for r in models.stability_index(df, "y").collect()} == {0.0}
     auc = {r.y: r.auc for r in models.auc_by_period(df, "y").collect()}
     assert auc[1] == auc[2] == pytest.approx(15 / 25)
+
+
+def test_command_line(built, star, capsys):
+    from stayline.__main__ import main
+
+    pipeline, _ = built
+    key = star.sales.select("cust_id").first().cust_id
+    main(["query", "--data", pipeline.folder, "q5"])
+    main(["sql", "--data", pipeline.folder, "SELECT count(*) AS customers_in_all FROM customer"])
+    main(["customer", "--data", pipeline.folder, key, "--out", pipeline.folder + "/out"])
+    shown = capsys.readouterr().out
+    assert "avg_churn_probability" in shown and "customers_in_all" in shown and "Name (masked)" in shown
+    with pytest.raises(KeyError):
+        main(["query", "--data", pipeline.folder, "Q77"])

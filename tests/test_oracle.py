@@ -4,11 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
+from oracle import all_sql
+from stayline.plans import registry
 from tools.check import compare, oracle_connection
 
 FOLDER = f"/root/testdata/sf{os.environ.get('STAYLINE_SF', '0.001')}"
-QUERIES, CHECKS = contract.queries(), contract.oracle_sql()
+QUERIES, CHECKS = registry.queries(), all_sql()
 ROWS_ONLY = {"ml_scores", "ml_drivers", "segments", "audit_hashes"}
 
 

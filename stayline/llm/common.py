@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -102,3 +104,9 @@ def components(staged: Staged, edges: DataFrame, name: str) -> DataFrame:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:16]}"
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as the Python worker, so later tasks of the worker find what earlier ones built."""
+    holder = sys.modules.setdefault("_stayline_worker_store", types.ModuleType("_stayline_worker_store"))
+    return holder.__dict__.setdefault("kept", {})

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import slices, table
+from stayline.llm.common import slices, table, worker_store
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -94,8 +94,8 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content, known = shared.value
         tokenizer = library(content)
-        young: dict[bytes, int] = {}
-        old: dict[bytes, int] = {}
+        kept = worker_store().setdefault(("token counts", hash(content)), [{}, {}])
+        young, old = kept
         for batch in slices(batches, "text", SLICE):
             per_text = [(text or "").encode().split() for text in batch.column("text").to_pylist()]
             misses = set()
@@ -111,6 +111,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
             counts = [sum(known[c] if c in known else young[c] for c in chunks) for chunks in per_text]
             if len(young) > CACHE:
                 young, old = {}, young
+                kept[:] = young, old
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")

@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, decontaminate, exact, licences, pieces, token_counts
+from stayline.llm import archive, decontaminate, exact, langid, licences, pieces, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact.exact_dedup,
     "op2_piece_codes": pieces.piece_codes,
     "op3_benchmark_leaks": decontaminate.benchmark_leaks,
+    "op5_languages": langid.languages,
     "op6_web_archive": archive.web_archive,
     "op7_token_counts": token_counts.token_lengths,
     "op8_licence_scan": licences.licence_scan,
+    "op10_toxicity": toxicity.toxicity_scores,
 }
 
 SQL: dict[str, str] = {

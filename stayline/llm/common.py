@@ -19,7 +19,8 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # texts may be long
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 class Staged:

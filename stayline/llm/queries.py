@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, decontaminate, exact, langid, licences, pieces, token_counts, toxicity
+from stayline.llm import archive, decontaminate, exact, langid, licences, pieces, similar_sets, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact.exact_dedup,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_web_archive": archive.web_archive,
     "op7_token_counts": token_counts.token_lengths,
     "op8_licence_scan": licences.licence_scan,
+    "op9_similar_documents": similar_sets.similar_documents,
     "op10_toxicity": toxicity.toxicity_scores,
 }
 
@@ -23,4 +24,5 @@ SQL: dict[str, str] = {
     "op1_exact_dedup": exact.SQL,
     "op6_web_archive": archive.SQL,
     "op8_licence_scan": licences.SQL,
+    "op9_similar_documents": similar_sets.SQL,
 }

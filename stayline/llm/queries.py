@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, decontaminate, exact, langid, licences, pieces, similar_sets, token_counts, toxicity
+from stayline.llm import archive, decontaminate, exact, langid, licences, pieces, repeats, similar_sets, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact.exact_dedup,
     "op2_piece_codes": pieces.piece_codes,
     "op3_benchmark_leaks": decontaminate.benchmark_leaks,
+    "op4_repeated_passages": repeats.repeated_passages,
     "op5_languages": langid.languages,
     "op6_web_archive": archive.web_archive,
     "op7_token_counts": token_counts.token_lengths,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact.SQL,
+    "op4_repeated_passages": repeats.SQL,
     "op6_web_archive": archive.SQL,
     "op8_licence_scan": licences.SQL,
     "op9_similar_documents": similar_sets.SQL,

@@ -33,7 +33,8 @@ SECOND = 2
 SLICE = 2 << 20
 #: Attempts to cut the domain so that a set has no empty part; the last one also signs empty parts.
 CUTS = 6
-SETS = "row_key long, doc_id long, n_shingles long, digest long, digest2 long, signatures array<long>"
+#: Sets that a task remembers to have signed.
+SEEN = 200_000
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
     return value, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
-def bands(percent: int = PERCENT, most: int = 1 << 40) -> np.ndarray:
+def bands(percent: int, most: int = 1 << 40) -> np.ndarray:
     """First size of every band: a set is similar only to sets of its own band and the two beside it."""
     edges = [1]
     while edges[-1] < most:
@@ -67,21 +68,18 @@ def bands(percent: int = PERCENT, most: int = 1 << 40) -> np.ndarray:
     return np.array(edges, np.int64)
 
 
-EDGES = bands()
-
-
-def errors(band: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def errors(band: np.ndarray, percent: int) -> np.ndarray:
     """Most shingles in which two similar sets differ whose sizes lie in ``band`` or the one before.
 
     Of sizes a and b with a similarity of p % or more at most (a + b) * (100 - p) / (100 + p) shingles differ.
     """
-    return (2 * (EDGES[band + 1] - 1) * (100 - percent)) // (100 + percent)
+    return (2 * (bands(percent)[band + 1] - 1) * (100 - percent)) // (100 + percent)
 
 
-def signatures(value: np.ndarray, ptr: np.ndarray, second: int = SECOND) -> tuple[np.ndarray, np.ndarray]:
+def signatures(value: np.ndarray, ptr: np.ndarray, percent: int = PERCENT, second: int = SECOND) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of all sets. Every set signs in its own band and in the next one, where it may meet larger sets."""
     sizes = np.diff(ptr)
-    own = np.searchsorted(EDGES, sizes, "right") - 1
+    own = np.searchsorted(bands(percent), sizes, "right") - 1
     found, of = [], []
     for ahead in (0, 1):
         todo = np.flatnonzero(sizes > 0)
@@ -89,7 +87,7 @@ def signatures(value: np.ndarray, ptr: np.ndarray, second: int = SECOND) -> tupl
             if not len(todo):
                 break
             band = own[todo] + ahead
-            k = errors(band)
+            k = errors(band, percent)
             groups, per = k // 2 + 1, np.where(k > 0, second, 1)
             parts = groups * per
             length = sizes[todo]
@@ -121,24 +119,46 @@ def signatures(value: np.ndarray, ptr: np.ndarray, second: int = SECOND) -> tupl
     return np.concatenate(found), np.concatenate(of)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def set_ids(value: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """A number for the content of each set; equal sets have one."""
+    total = np.concatenate((np.zeros(1, U64), np.cumsum(mixed(value ^ U64(0xABCDEF)), dtype=U64)))
+    return mixed(total[ptr[1:]] - total[ptr[:-1]] + np.diff(ptr).astype(U64)).view(np.int64)
+
+
+def _sets(keyed: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            value, ptr = shingle_sets(batch.column("text"))
-            n = batch.num_rows
+            value, ptr = shingle_sets(batch.column("text"), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), pa.array(np.diff(ptr)), pa.array(set_ids(value, ptr))], ["row_key", "doc_id", "n_shingles", "vertex"])
+
+    return keyed.mapInArrow(run, "row_key long, doc_id long, n_shingles long, vertex long")
+
+
+def _signed(keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The signatures of all sets. A task signs equal sets once, so a group of copies costs no more than one set a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text", SLICE):
+            value, ptr = shingle_sets(batch.column("text"), shingle)
+            vertex = set_ids(value, ptr)
+            first = np.zeros(len(vertex), bool)
+            for i, v in enumerate(vertex.tolist()):
+                if v not in seen:
+                    seen.add(v)
+                    first[i] = True
+            if len(seen) > SEEN:
+                seen.clear()
+            # Sets that were signed before become empty ones, which have no signature.
             sizes = np.diff(ptr)
-            total = np.concatenate((np.zeros(1, U64), np.cumsum(mixed(value), dtype=U64)))
-            other = np.concatenate((np.zeros(1, U64), np.cumsum(mixed(value ^ U64(0xABCDEF)), dtype=U64)))
-            digest, digest2 = total[ptr[1:]] - total[ptr[:-1]], other[ptr[1:]] - other[ptr[:-1]]
-            sign, of = signatures(value, ptr)
-            order = np.argsort(of, kind="stable")
-            sign, of = sign[order], of[order]
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), pa.array(sign.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row_key"), batch.column("doc_id"), pa.array(sizes), pa.array(digest.view(np.int64)), pa.array(digest2.view(np.int64)), lists], [f.split()[0] for f in SETS.split(", ")]
-            )
+            value = value[np.repeat(first, sizes)]
+            ptr = np.concatenate(([0], np.cumsum(np.where(first, sizes, 0))))
+            sign, of = signatures(value, ptr, percent)
+            for at in range(0, len(sign), 1 << 18):
+                part = slice(at, at + (1 << 18))
+                yield pa.RecordBatch.from_arrays([pa.array(sign[part].view(np.int64)), pa.array(vertex[of[part]])], ["signature", "vertex"])
 
-    return row_key(docs).mapInArrow(run, SETS)
+    return keyed.select("text").mapInArrow(run, "signature long, vertex long")
 
 
 def _neighbours(signed: DataFrame) -> DataFrame:
@@ -160,7 +180,7 @@ def _neighbours(signed: DataFrame) -> DataFrame:
     return signed.repartition("signature").sortWithinPartitions("signature", "vertex").mapInArrow(run, "a long, b long").distinct()
 
 
-def forest(sets: list[np.ndarray], left: int, percent: int = PERCENT) -> list[tuple[int, int]]:
+def forest(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets``; with ``left``, of those between the first ``left`` and the others.
 
     Only shingles that several of the sets have can be common to two, so the sets become rows of a table over these,
@@ -216,7 +236,7 @@ def forest(sets: list[np.ndarray], left: int, percent: int = PERCENT) -> list[tu
     return links
 
 
-def _compare(blocks: DataFrame) -> DataFrame:
+def _compare(blocks: DataFrame, percent: int) -> DataFrame:
     """Links between similar sets of each comparison (cluster, one, two); rows come sorted and a comparison at a time is held."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -233,7 +253,7 @@ def _compare(blocks: DataFrame) -> DataFrame:
             held = sorted(group, key=lambda r: (r[0][3], r[0][4]))
             left = sum(key[3] == one for key, _ in held) if one != two else 0
             vertex = [key[4] for key, _ in held]
-            out += [(vertex[i], vertex[j]) for i, j in forest([s for _, s in held], left)]
+            out += [(vertex[i], vertex[j]) for i, j in forest([s for _, s in held], left, percent)]
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
                 out = []
@@ -244,46 +264,46 @@ def _compare(blocks: DataFrame) -> DataFrame:
     return blocks.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
-def similar(docs: DataFrame, staged: Staged) -> DataFrame:
+def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: row_key, doc_id, n_shingles, component_id.
 
     component_id is the smallest doc_id that links reach. Null and empty texts have no shingles and component_id is
-    their own doc_id; rows with one doc_id are one document for their links; a text with fewer words than a shingle has one. Rows without a doc_id are linked as a document with
-    the smallest of all numbers. Equal texts are linked, repeated rows too. An empty table gives no rows.
+    their own doc_id; a text with fewer words than a shingle has one. A row without doc_id is linked, but names a
+    component only where no row of it has a doc_id. Equal texts are linked, repeated rows too. An empty table gives no rows.
     """
-    sets = staged.write(_sets(docs), "sets")
-    equal = ["n_shingles", "digest", "digest2"]
-    name = F.coalesce("doc_id", F.lit(-(2**63))).alias("name")
-    groups = sets.where("n_shingles > 0").groupBy(*equal).agg(F.min(name).alias("vertex"), F.min_by("row_key", F.struct(name, "row_key")).alias("row_key"))
-    groups = staged.write(groups, "groups")
-    chosen = groups.select("vertex", "row_key")
-    signed = sets.select("row_key", "signatures").join(chosen, "row_key").select("vertex", F.explode("signatures").alias("signature"))
-    edges = staged.write(_neighbours(signed.select("signature", "vertex")), "edges")
+    keyed = row_key(docs)
+    sets = staged.write(_sets(keyed, shingle), "sets")
+    edges = staged.write(_neighbours(_signed(keyed, shingle, percent)), "edges")
     clusters = components(staged, edges, "clusters")
-    # Blocks of each cluster; a cluster of one block is compared once, another in all pairs of its blocks.
-    members = clusters.join(groups, "vertex").select("row_key", "vertex", F.col("root").alias("cluster"), "n_shingles")
-    extent = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = staged.write(members.join(extent, "cluster").select("row_key", "vertex", "cluster", "blocks", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("block")), "placed")
+    # One row of each set of a cluster. A cluster of one block is compared at once, another in all pairs of its blocks.
+    groups = sets.where("n_shingles > 0").groupBy("vertex").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"))
+    groups = staged.write(groups, "groups")
+    members = staged.write(clusters.join(groups, "vertex").select("row_key", "vertex", F.col("root").alias("cluster"), "n_shingles"), "members")
+    most = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
+    extent = members.groupBy("cluster").agg(most.cast("int").alias("blocks"))
+    placed = members.join(extent, "cluster").select("row_key", "vertex", "cluster", "blocks", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("block"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            value, ptr = shingle_sets(batch.column("text"))
+            value, ptr = shingle_sets(batch.column("text"), shingle)
             lists = pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(value.view(np.int64)))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], ["cluster", "block", "blocks", "vertex", "shingles"])
 
-    # Of rows that repeat, one; their key is the same.
-    texts = row_key(docs).join(placed, "row_key").select("cluster", "block", "blocks", "vertex", "text")
+    texts = keyed.join(placed, "row_key").select("cluster", "block", "blocks", "vertex", "text")
     full = texts.mapInArrow(shingled, "cluster long, block int, blocks int, vertex long, shingles array<long>")
-    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("other")
-    pairs = full.select("cluster", other, "block", "vertex", "shingles").select(
+    pairs = full.select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "block", "vertex", "shingles").select(
         "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vertex", "shingles"
     )
-    links = staged.write(_compare(pairs), "links")
-    staged.drop("edges")
+    links = staged.write(_compare(pairs, percent), "links")
+    staged.drop("edges", "members")
     roots = components(staged, links, "links-cc")
-    reached = groups.join(roots, "vertex", "left").select(*equal, F.coalesce("root", "vertex").alias("component"))
-    component = F.coalesce("component", "doc_id")
-    return sets.drop("signatures").join(reached, equal, "left").select("row_key", "doc_id", "n_shingles", F.when(component == -(2**63), F.lit(None)).otherwise(component).alias("component_id"))
+    reached = staged.write(groups.select("vertex", "least").join(roots, "vertex", "left").select("vertex", "least", F.coalesce("root", "vertex").alias("root")), "reached")
+    named = reached.groupBy("root").agg(F.min("least").alias("component_id"))
+    components_of = reached.join(named, "root").select("vertex", "component_id")
+    # A row that repeats has one key, and its set one vertex, so this keeps the number of rows.
+    return sets.join(components_of, "vertex", "left").select(
+        "row_key", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    )
 
 
 def similar_documents(spark: SparkSession, folder: str) -> DataFrame:

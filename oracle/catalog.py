@@ -9,7 +9,7 @@ from stayline.reference_data import WIN_BACK_STRATEGY
 _EVERYONE = """
 SELECT s.*, m.name_masked, m.mobile_masked, m.city, f.days_since_last_service AS gap, f.days_to_policy_expiry AS expiry,
   f.total_service_visits, f.avg_bill_amount, f.rfm_total, f.num_policy_renewals, f.auto_membership_flag, f.churn_label
-FROM scores s JOIN master m ON m.cust_id = s.cust_id JOIN features f ON f.cust_id = s.cust_id"""
+FROM scores s JOIN master m ON m.cust_id = s.cust_id JOIN features f ON f.vehicle_id = s.vehicle_id"""
 _GAPS = "gap AS days_since_last_service, expiry AS days_to_policy_expiry"
 
 
@@ -42,7 +42,7 @@ SELECT risk_tier, n AS customer_count, round(100e0 * n / sum(n) OVER (), 1) AS p
   n * 15000 AS revenue_at_risk_inr, round(p, 4) AS avg_churn_probability, round(g) AS avg_days_since_service,
   round(r, 1) AS avg_rfm_score
 FROM (SELECT s.risk_tier, count(*) AS n, avg(churn_probability) AS p, avg(days_since_last_service) AS g,
-        avg(rfm_total) AS r FROM scores s JOIN features f ON s.cust_id = f.cust_id GROUP BY s.risk_tier)"""),
+        avg(rfm_total) AS r FROM scores s JOIN features f ON f.vehicle_id = s.vehicle_id GROUP BY s.risk_tier)"""),
     "q06_top_drivers": statement("""
 SELECT driver, count(*) AS times_cited_as_top_driver,
   round(100e0 * count(*) / (SELECT count(*) FROM scores), 1) AS pct_of_customers
@@ -66,7 +66,7 @@ SELECT model, count(DISTINCT s.cust_id) AS customers, count(*) FILTER (s.risk_ti
   count(*) FILTER (s.risk_tier = 'Medium') AS medium_risk, count(*) FILTER (s.risk_tier = 'Low') AS low_risk,
   round(avg(s.churn_probability), 4) AS avg_churn_prob,
   round(avg(f.days_since_last_service)) AS avg_days_since_service
-FROM scores s JOIN features f ON f.cust_id = s.cust_id JOIN sales x ON x.cust_id = s.cust_id
+FROM scores s JOIN features f ON f.vehicle_id = s.vehicle_id JOIN sales x ON x.cust_id = s.cust_id
 JOIN vehicle v ON v.vin = x.vin GROUP BY model"""),
     "q11_cancellations": statement("""
 SELECT v.cust_id, m.name_masked, m.city, count(*) AS total_visits,
@@ -94,6 +94,6 @@ FROM (SELECT f.risk_tier AS a, s.risk_tier AS b,
         CASE WHEN gap > 365 AND exp < 0 THEN 'High' WHEN gap > 180 OR vis = 1 THEN 'Medium' ELSE 'Low' END AS c,
         CASE WHEN gap > 365 AND exp < 0 THEN 'High' WHEN gap > 180 OR exp < 30 THEN 'Medium' ELSE 'Low' END AS d
       FROM (SELECT *, days_since_last_service AS gap, days_to_policy_expiry AS exp, total_service_visits AS vis
-            FROM features) f JOIN scores s USING (cust_id))
+            FROM features) f JOIN scores s USING (vehicle_id))
 GROUP BY a, b, c, d"""),
 }

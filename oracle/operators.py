@@ -234,7 +234,7 @@ SELECT s.* REPLACE (CASE WHEN CAST(s.cust_id[5:] AS BIGINT) % 97 = 0 THEN 'c/o '
                                         "loc_id"]),
                     ("service", "service", ["smr_id", "cust_id", "dealer_id", "vin", "work_type_id", "milestone_id",
                                             "status", "cancel_reason_id", "service_advisor", "pay_mode_id"]),
-                    ("scores", "churn_scores", ["cust_id", "risk_tier", "top_driver_1", "top_driver_2", "top_driver_3",
+                    ("scores", "churn_scores", ["cust_id", "vehicle_id", "risk_tier", "top_driver_1", "top_driver_2", "top_driver_3",
                                                 "recommended_action"]),
                 ]
             ]) + ") GROUP BY ALL",
@@ -313,7 +313,7 @@ GROUP BY vehicle_id HAVING count(DISTINCT cust_id) > 1"""),
 SELECT vin, smr_id, dealer_id, mileage FROM (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY visit_date, smr_id) AS n
 FROM service_feed) WHERE n = 1"""),
     "identity_dedup": statement(f"""
-SELECT {_PERSON} AS person_token, count(*) AS registrations, min(cust_id) AS first_cust_id FROM pii_vault
+SELECT {_PERSON} AS person_token, count(*) AS registrations, min(cust_id) AS first_cust_id FROM registrations
 GROUP BY cust_name, mobile_1"""),
     "tokenised_sales": statement(f"""
 SELECT sales_id, vin, {_PERSON} AS person_token FROM sales JOIN pii_vault USING (cust_id)"""),

@@ -141,8 +141,8 @@ SELECT row_number() OVER (ORDER BY CASE s.risk_tier WHEN 'High' THEN 1 WHEN 'Med
   f.days_to_policy_expiry || CASE WHEN f.days_to_policy_expiry < 0 THEN ' (EXPIRED)' ELSE '' END AS policy_expiry,
   {_BAND.format('f.days_to_policy_expiry < 0', 'f.days_to_policy_expiry < 30')} AS expiry_band,
   s.top_driver_1, s.top_driver_2, s.top_driver_3, s.recommended_action
-FROM scores s LEFT JOIN master m ON m.cust_id = s.cust_id LEFT JOIN features f ON f.cust_id = s.cust_id
-LEFT JOIN sales x ON x.cust_id = s.cust_id LEFT JOIN vehicle v ON v.vin = x.vin"""),
+FROM scores s LEFT JOIN master m ON m.cust_id = s.cust_id LEFT JOIN features f ON f.vehicle_id = s.vehicle_id
+LEFT JOIN vehicle v ON v.vehicle_id = s.vehicle_id"""),
     "publish_summary": statement("""
 SELECT n AS total_customers, a AS high_risk, b AS medium_risk, c AS low_risk, a * 100 // n AS high_pct,
   b * 100 // n AS medium_pct, c * 100 // n AS low_pct, a * 15000 AS revenue_at_risk_inr
@@ -170,8 +170,8 @@ UNION ALL SELECT cust_id, 7, 'churn_scores', NULL, cust_id FROM scores"""),
         "SELECT cust_id, unnest([" + ", ".join(f"'{field}'" for field in SUMMARY_FIELDS) + "]) AS field, unnest(["
         + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in SUMMARY_FIELDS.values()) + "]) AS value FROM wide_row",
         {"wide_row": """
-SELECT m.cust_id, m.name_masked, m.city, m.state, s.* EXCLUDE (cust_id), f.* EXCLUDE (cust_id, risk_tier)
-FROM master m LEFT JOIN features f ON f.cust_id = m.cust_id LEFT JOIN scores s ON s.cust_id = m.cust_id"""},
+SELECT m.cust_id, m.name_masked, m.city, m.state, s.* EXCLUDE (cust_id), f.* EXCLUDE (cust_id, vehicle_id, risk_tier)
+FROM master m LEFT JOIN scores s ON s.cust_id = m.cust_id LEFT JOIN features f ON f.vehicle_id = s.vehicle_id"""},
     ),
     "dimension_lookup": statement("""
 SELECT work_type_name, pay_mode_name, description, milestone_name, dealer_name, count(*) AS visits, sum(bill_amount) AS billed

@@ -20,14 +20,14 @@ def _probability() -> Column:
 
 
 def scored(t: Tables) -> DataFrame:
-    """Scores and features on one row per token.
+    """Scores and the features of the deciding vehicle, one row per customer.
 
     A set of tables that derives both from the same rows hands them over as ``scored``; stored tables are joined.
     """
     if "scored" in t:
         return t["scored"]
     features = t["churn_features"].withColumnRenamed("risk_tier", "feature_tier")
-    return t["churn_scores"].join(features, "cust_id")
+    return t["churn_scores"].join(features, ["cust_id", "vehicle_id"])
 
 
 def scored_customers(t: Tables) -> DataFrame:

@@ -54,12 +54,12 @@ def rfm(df: DataFrame) -> DataFrame:
 def vehicle_facts(
     sales: DataFrame, service: DataFrame, insurance: DataFrame, vehicle: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    """The three domains on one row per sale. Every input is reduced to its key before the join, so nothing fans out.
+    """The three domains on one row per sale up to ``as_of``. Every input is reduced to its key before the join, so nothing fans out.
 
     A sale whose vehicle has no accepted visit counts its gap from the sale date.
     """
     day = F.lit(as_of)
-    sold = sales.select("sales_id", "cust_id", "vin", "sale_date", "mfd_year", "finance_flag", "pucc_validity")
+    sold = sales.where(F.col("sale_date") <= day).select("sales_id", "cust_id", "vin", "sale_date", "mfd_year", "finance_flag", "pucc_validity")
     visits = daily_visits(service, as_of).withColumnRenamed("vin", "visit_vin")
     served = (
         sold.join(visits, (F.col("vin") == F.col("visit_vin")) & (F.col("visit_date") >= F.col("sale_date")), "left")

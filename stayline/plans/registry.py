@@ -14,7 +14,7 @@ from stayline.operators import chains, checks, identity, lookup, privacy, qualit
 from stayline.plans import air, catalog, features, models, publish, rules, view360
 from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
-from stayline.sources.projection import AfterSales
+from stayline.sources.projection import AS_OF, AfterSales
 from stayline.sources.tables import register
 from stayline.streaming import refresh, service_feed
 
@@ -31,7 +31,7 @@ def named(name: str) -> Callable[[Plan], Plan]:
 
 
 def _runner(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: plan(AfterSales(tune(spark), folder))
+    return lambda spark, folder: plan(AfterSales(tune(spark), folder, AS_OF))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -265,7 +265,7 @@ SALT = "stayline"
 
 @named("identity_dedup")
 def _identity_dedup(t: AfterSales) -> DataFrame:
-    return identity.persons(t.pii_vault, SALT)
+    return identity.persons(t.registrations, SALT)
 
 
 @named("tokenised_sales")
@@ -493,7 +493,7 @@ def _sql_on_views(t: AfterSales) -> DataFrame:
 @named("ml_scores")
 def _ml_scores(t: AfterSales) -> DataFrame:
     rows = stage(t.churn_features, "features")
-    return models.score(models.fit(rows), rows).select("cust_id", "churn_probability", "score_tier", "is_train")
+    return models.score(models.fit(rows), rows).select("cust_id", "vehicle_id", "churn_probability", "score_tier", "is_train")
 
 
 @named("ml_drivers")
@@ -501,17 +501,17 @@ def _ml_drivers(t: AfterSales) -> DataFrame:
     rows = stage(t.churn_features, "features")
     fitted = models.prune(models.fit(rows), rows)
     return models.with_drivers(fitted, models.score(fitted, rows)).select(
-        "cust_id", "churn_probability", "top_driver_1", "top_driver_2", "top_driver_3"
+        "cust_id", "vehicle_id", "churn_probability", "top_driver_1", "top_driver_2", "top_driver_3"
     )
 
 
 @named("segments")
 def _segments(t: AfterSales) -> DataFrame:
-    return models.segments(stage(t.churn_features, "features")).select("cust_id", "rfm_total", "segment")
+    return models.segments(stage(t.churn_features, "features")).select("cust_id", "vehicle_id", "rfm_total", "segment")
 
 
 def _scored_by_year(t: AfterSales) -> DataFrame:
-    years = t.sales.select("cust_id", F.year("sale_date").alias("sale_year"))
+    years = t.sales.groupBy("cust_id").agg(F.year(F.min("sale_date")).alias("sale_year"))
     return t.scored.select("cust_id", "churn_label", "churn_probability").join(years, "cust_id")
 
 

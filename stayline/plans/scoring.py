@@ -55,5 +55,16 @@ def with_points_score(features: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def customer_scores(features: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row per customer: the row of the vehicle with the highest probability, of equal ones the largest vehicle id.
+
+    A grouped maximum of whole rows, so a customer with very many vehicles is reduced before the shuffle.
+    """
+    rows = with_points_score(features, as_of)
+    others = [c for c in rows.columns if c != "cust_id"]
+    order = F.struct("churn_probability", F.coalesce("vehicle_id", F.lit("")))
+    return rows.groupBy("cust_id").agg(F.max_by(F.struct(*others), order).alias("worst")).select("cust_id", "worst.*")
+
+
 def points_score(features: DataFrame, as_of: dt.date) -> DataFrame:
-    return with_points_score(features, as_of).select(*TABLES["churn_scores"].fieldNames())
+    return customer_scores(features, as_of).select(*TABLES["churn_scores"].fieldNames())

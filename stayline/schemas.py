@@ -32,7 +32,7 @@ _DDL = {
     "pct_paid_services double, cancelled_visit_flag int, num_policy_renewals bigint, "
     "days_to_policy_expiry int, auto_membership_flag int, premium_trend double, recency_score int, "
     "frequency_score int, monetary_score int, rfm_total int, churn_label int, risk_tier string",
-    "churn_scores": "cust_id string, churn_probability double, risk_tier string, top_driver_1 string, "
+    "churn_scores": "cust_id string, vehicle_id string, churn_probability double, risk_tier string, top_driver_1 string, "
     "top_driver_2 string, top_driver_3 string, recommended_action string, score_date date",
     "decisions": "application_number string, decision string",
 }

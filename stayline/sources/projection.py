@@ -1,7 +1,8 @@
 """The after-sales star schema derived from order, line-item, event and page tables.
 
-Every table is a projection of whole input tables: one sale, vehicle and registration per order up to
-``as_of``, one service visit per line item, one to four policies per sale. Ids are built from the keys by
+Every table is a projection of whole input tables: one sale and vehicle per order, one customer for all orders of
+a customer, one service visit per line item, one to four policies per sale. ``as_of`` is the date of the features and scores
+alone. Ids are built from the keys by
 integer arithmetic, so they are the same in every run and in every SQL engine.
 """
 
@@ -36,7 +37,7 @@ def _vin(k: Column) -> Column:
 class AfterSales:
     """Lazily built tables over one folder of Parquet files."""
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: dt.date = AS_OF):
+    def __init__(self, spark: SparkSession, folder: str, as_of: dt.date):
         self.spark, self.folder, self.as_of = spark, folder.rstrip("/"), as_of
 
     def raw(self, name: str) -> DataFrame:
@@ -54,17 +55,12 @@ class AfterSales:
 
     @cached_property
     def _sold(self) -> DataFrame:
-        """Orders up to ``as_of``; the bound is on the stored column, so it reaches the Parquet scan."""
-        end = F.lit(dt.datetime.combine(self.as_of + dt.timedelta(days=1), dt.time()))
-        return (
-            self.raw("orders")
-            .where(F.col("o_orderdate") < end)
-            .select(
-                F.col("o_orderkey").alias("k"),
-                F.col("o_custkey").alias("c"),
-                F.col("o_orderdate").cast("date").alias("sale_date"),
-                "o_orderpriority",
-            )
+        """All orders."""
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("k"),
+            F.col("o_custkey").alias("c"),
+            F.col("o_orderdate").cast("date").alias("sale_date"),
+            "o_orderpriority",
         )
 
     @cached_property
@@ -75,7 +71,7 @@ class AfterSales:
         registered = F.date_add(delivery, (1 + k % 30).cast("int"))
         return self._sold.select(
             prefixed_id("SL", k).alias("sales_id"),
-            prefixed_id("CUST", k).alias("cust_id"),
+            prefixed_id("CUST", F.col("c")).alias("cust_id"),
             _numbered("DLR00", k % 5).alias("dealer_id"),
             _vin(k).alias("vin"),
             (F.year("sale_date") - k % 4).cast("int").alias("mfd_year"),
@@ -121,7 +117,16 @@ class AfterSales:
 
     @cached_property
     def pii_vault(self) -> DataFrame:
-        k, c = F.col("k"), F.col("c")
+        """One row per customer with a sale."""
+        return self._people(self._sold.select("c").distinct(), F.col("c"))
+
+    @cached_property
+    def registrations(self) -> DataFrame:
+        """The person as given at each sale, before people are told apart: one row per sale under its own id."""
+        return self._people(self._sold, F.col("k"))
+
+    def _people(self, keys: DataFrame, number: Column) -> DataFrame:
+        c = F.col("c")
         places = (
             self.raw("nation")
             .join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -132,8 +137,8 @@ class AfterSales:
             .select(F.col("c_custkey").alias("c"), "c_name", "c_nationkey")
             .join(places, "c_nationkey")
         )
-        return self._sold.join(people, "c").select(
-            prefixed_id("CUST", k).alias("cust_id"),
+        return keys.join(people, "c").select(
+            prefixed_id("CUST", number).alias("cust_id"),
             F.translate("c_name", "#", " ").alias("cust_name"),
             F.concat((6 + c % 4).cast("string"), F.lpad((c * 7919 % 1000000000).cast("string"), 9, "0")).alias(
                 "mobile_1"
@@ -180,13 +185,13 @@ class AfterSales:
 
     @cached_property
     def customer_vehicle(self) -> DataFrame:
-        """Each vehicle's owner; vehicles of urgent orders also have the next registration as co-owner."""
-        k = F.col("k")
-        owners = self._sold.select(k, F.col("k").alias("person"), F.lit("Owner").alias("relation"), "sale_date")
+        """Each vehicle's owner; vehicles of urgent orders also have the next customer as co-owner."""
+        k, c = F.col("k"), F.col("c")
+        owners = self._sold.select(k, c.alias("person"), F.lit("Owner").alias("relation"), "sale_date")
         urgent = self._sold.where(F.col("o_orderpriority") == "1-URGENT").select(
-            k, (k + 1).alias("person"), F.lit("Co-Owner").alias("relation"), "sale_date"
+            k, (c + 1).alias("person"), F.lit("Co-Owner").alias("relation"), "sale_date"
         )
-        co_owners = urgent.join(self._sold.select(F.col("k").alias("person")), "person", "left_semi")
+        co_owners = urgent.join(self._sold.select(c.alias("person")), "person", "left_semi")
         return owners.unionByName(co_owners).select(
             F.concat(prefixed_id("CV", k), F.when(F.col("relation") == "Owner", "-1").otherwise("-2")).alias("cv_id"),
             prefixed_id("CUST", F.col("person")).alias("cust_id"),
@@ -201,14 +206,15 @@ class AfterSales:
 
     @cached_property
     def service_feed(self) -> DataFrame:
-        """Service rows as delivered: some lie before the sale or after ``as_of``. A narrow map, no shuffle."""
+        """Service rows as delivered: some lie before the sale. The customer comes from the order."""
         k, n = F.col("l_orderkey"), F.col("l_linenumber")
         free = (n - 1) % 5 == 0
         cancelled = F.col("l_returnflag") == "R"
         visit = F.col("l_shipdate").cast("date")
-        return self.raw("lineitem").select(
+        buyers = self._sold.select(F.col("k").alias("l_orderkey"), "c")
+        return self.raw("lineitem").join(buyers, "l_orderkey", "left").select(
             F.concat_ws("-", F.concat(F.lit("SMR"), k), n, "l_partkey", "l_suppkey").alias("smr_id"),
-            prefixed_id("CUST", k).alias("cust_id"),
+            prefixed_id("CUST", F.col("c")).alias("cust_id"),
             _numbered("DLR00", k % 5).alias("dealer_id"),
             _vin(k).alias("vin"),
             _numbered("WT00", (n - 1) % 5).alias("work_type_id"),
@@ -227,11 +233,10 @@ class AfterSales:
 
     @cached_property
     def service(self) -> DataFrame:
-        """Feed rows between their vehicle's sale and ``as_of``."""
+        """Feed rows not before their vehicle's sale."""
         sold = self.sales.select("vin", "sale_date")
         return (
-            self.service_feed.where(F.col("visit_date") <= F.lit(self.as_of))
-            .join(sold, "vin")
+            self.service_feed.join(sold, "vin")
             .where(F.col("visit_date") >= F.col("sale_date"))
             .select(*self.service_feed.columns)
         )
@@ -242,10 +247,10 @@ class AfterSales:
         issue = F.date_add("sale_date", (p * 366).cast("int"))
         first = p == 0
         return (
-            self._sold.select("k", "sale_date", F.explode(F.sequence(F.lit(0), (k % 4).cast("int"))).alias("p"))
+            self._sold.select("k", "c", "sale_date", F.explode(F.sequence(F.lit(0), (k % 4).cast("int"))).alias("p"))
             .select(
                 F.concat(prefixed_id("INS", k), F.lit("-"), p.cast("string")).alias("ins_id"),
-                prefixed_id("CUST", k).alias("cust_id"),
+                prefixed_id("CUST", F.col("c")).alias("cust_id"),
                 _numbered("DLR00", k % 5).alias("dealer_id"),
                 _vin(k).alias("vin"),
                 _numbered("PT00", (k + p) % 4).alias("policy_type_id"),
@@ -274,10 +279,10 @@ class AfterSales:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Features and score of a vehicle on one row: the score is a projection, so nothing is joined back."""
-        from stayline.plans.scoring import with_points_score
+        """One row per customer: features and score of the vehicle that decides, so nothing is joined back."""
+        from stayline.plans.scoring import customer_scores
 
-        return with_points_score(self.churn_features, self.as_of)
+        return customer_scores(self.churn_features, self.as_of)
 
     @cached_property
     def churn_scores(self) -> DataFrame:

@@ -25,7 +25,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def star(spark):
-    return AfterSales(spark, SMALL)
+    return AfterSales(spark, SMALL, AS_OF)
 
 
 @pytest.fixture

@@ -27,6 +27,20 @@ HEADLINE = [
     "customer_360",
     "air_state",
     "air_processes",
+    "q06_top_drivers",
+    "q09_by_city",
+    "q12_recoverable",
+    "scores",
+    "dq_summary",
+    "fk_orphans",
+    "policy_chain",
+    "page_links",
+    "air_mixing",
+    "validation_verdict",
+    "customer_summary",
+    "fuzzy_names",
+    "ml_scores",
+    "stability_index",
 ]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.base import TABLES, statement, text, wide, words
 from stayline.reference_data import DIMENSIONS, DRIVERS
+from stayline.schemas import TABLES as SCHEMAS
 
 _SALES_FEED = f"""
 SELECT CASE WHEN k % 211 <> 0 THEN {wide('SL', 'k')} END AS sales_id,
@@ -214,6 +215,15 @@ SELECT digits, CAST(digits AS BIGINT) AS number, arg_min(application_number, row
   arg_min(decision, row_idx) AS decision FROM decisions GROUP BY digits""",
 }
 
+
+
+def _hash(name: str, source: str) -> str:
+    columns = [f"CAST({f.name} AS DECIMAL(38, 6))" if f.dataType.typeName() == "double" else f.name for f in SCHEMAS[name].fields]
+    row = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return (f"SELECT '{name}' AS table_name, count(*) AS rows, "
+            f"CAST(sum(CAST('0x' || md5(concat_ws('|', {row}))[1:15] AS BIGINT)) AS VARCHAR) AS content_hash FROM {source}")
+
+
 SQL = {
     "masked_customer": statement("SELECT * FROM master"),
     "masked_address": statement("SELECT cust_id, '**, MG Road, ' || city AS address_masked FROM pii_vault"),
@@ -234,6 +244,9 @@ SELECT s.* REPLACE (CASE WHEN CAST(s.cust_id[5:] AS BIGINT) % 97 = 0 THEN 'c/o '
                                         "loc_id"]),
                     ("service", "service", ["smr_id", "cust_id", "dealer_id", "vin", "work_type_id", "milestone_id",
                                             "status", "cancel_reason_id", "service_advisor", "pay_mode_id"]),
+                    ("insurance", "insurance", ["ins_id", "cust_id", "dealer_id", "vin", "policy_type_id", "policy_no",
+                                                "auto_membership"]),
+                    ("features", "churn_features", ["cust_id", "vehicle_id", "finance_flag", "risk_tier"]),
                     ("scores", "churn_scores", ["cust_id", "vehicle_id", "risk_tier", "top_driver_1", "top_driver_2", "top_driver_3",
                                                 "recommended_action"]),
                 ]
@@ -266,7 +279,8 @@ FROM (SELECT work_type_id, mileage % 4 AS style, CASE mileage % 4 WHEN 0 THEN up
 SELECT work_type_id, median(bill_amount) AS median_bill_amount FROM service_feed GROUP BY work_type_id"""),
     "fk_orphans": statement(_FK),
     "fk_orphan_vins": statement(
-        "SELECT DISTINCT vin FROM service_feed WHERE vin NOT IN (SELECT vin FROM sales)"),
+        """SELECT DISTINCT vin FROM (SELECT CASE WHEN CAST(split_part(smr_id, '-', 3) AS BIGINT) % 61 = 5 THEN 'MA9' || vin[4:]
+  ELSE vin END AS vin FROM service_feed) WHERE vin NOT IN (SELECT vin FROM sales)"""),
     "row_minimums": statement(_MINIMUMS),
     "label_rate": statement(_RATE),
     "range_rules": statement(_RANGES),
@@ -282,6 +296,9 @@ SELECT count(*) AS checks, count(*) FILTER (violations > 0) AS failed, bool_and(
 FROM (SELECT violations FROM ({_RANGES}) UNION ALL SELECT violations FROM ({_EDGES})
       UNION ALL SELECT violations FROM ({_FK}) UNION ALL SELECT 1 - enough FROM ({_MINIMUMS})
       UNION ALL SELECT 1 - in_band FROM ({_RATE}))"""),
+    "audit_hashes": statement(" UNION ALL ".join(_hash(*pair) for pair in [
+        ("sales", "sales"), ("service", "service"), ("insurance", "insurance"), ("customer", "master"), ("vehicle", "vehicle"),
+        ("churn_features", "features")])),
     "policy_chain": statement("""
 SELECT ins_id, vin, n AS ordinal, policy_issue_date, policy_expiry_date + 1 AS next_start,
   CASE WHEN n > 1 THEN policy_issue_date - 365 END AS previous_start, CASE WHEN n > 1 THEN policy_issue_date END AS previous_end,

@@ -12,15 +12,27 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.sql import DataFrame
+
 from stayline.operators import checks
 from stayline.plans import catalog, view360
 from stayline.plans.pipeline import Pipeline
 from stayline.session import build_session
-from stayline.sinks.writers import write_document
+from stayline.sinks.writers import write_csv, write_document
 from stayline.sources.projection import AS_OF, AfterSales
 from stayline.sources.tables import load_all, register
 
 
+def present(rows: DataFrame, args: argparse.Namespace, name: str) -> None:
+    """All rows as CSV files under ``--out``, or the first ``--rows`` of them with whole texts."""
+    if args.out:
+        path = f"{args.out.rstrip('/')}/{name}.csv"
+        write_csv(rows, path)
+        print(path)
+    else:
+        rows.show(args.rows, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="stayline")
     parser.add_argument("command", choices=["build", "query", "sql", "customer", "validate"])
@@ -30,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=AS_OF)
     parser.add_argument("--show-pii", action="store_true")
+    parser.add_argument("--rows", type=int, default=50, help="rows to print; --out writes all of them as CSV")
     args = parser.parse_intermixed_args(argv)
     spark = build_session()
 
@@ -43,14 +56,14 @@ def main(argv: list[str] | None = None) -> None:
         chosen = catalog.CATALOG if args.argument in (None, "all") else [args.argument]
         for query_id in chosen:
             print(query_id)
-            catalog.run(query_id, tables).show(50, truncate=40)
+            present(catalog.run(query_id, tables), args, query_id)
     elif args.command == "sql":
         register(tables)
-        spark.sql(args.argument).show(50, truncate=40)
+        present(spark.sql(args.argument), args, "sql")
     elif args.command == "customer":
         view360.summary(tables, args.argument).show(20, truncate=False)
         rows = view360.document(tables, args.argument, args.show_pii)
-        rows.show(50, truncate=100)
+        rows.show(args.rows, truncate=False)
         if args.out:
             print(write_document(rows, args.argument, args.out))
     else:

@@ -65,7 +65,7 @@ def with_number_check(df: DataFrame, raw: str) -> DataFrame:
     return (
         df.withColumn("_text", strip(F.coalesce(F.col(raw), F.lit(""))))
         .withColumn("_prefixed", F.upper(text).startswith(PREFIX))
-        .withColumn("_digits", F.when(prefixed, F.substring(text, len(PREFIX) + 1, 1_000_000)).otherwise(text))
+        .withColumn("_digits", F.when(prefixed, F.substring(text, F.lit(len(PREFIX) + 1), F.length(text))).otherwise(text))
         .withColumn("_only_digits", F.col("_digits").rlike("^[0-9]+$"))
         .withColumn(
             "_code",

@@ -95,7 +95,7 @@ def plotted_points(points: DataFrame, session: str, order: list[str], keep: int
     """The last ``keep`` points of every session after its last clear.
 
     ``points`` has ``is_clear`` and ``label``; a point without a label is called P1, P2, ... since the clear,
-    and a repeated label replaces its earlier point. A point's number follows from the count of unlabelled
+    and a repeated label, given or counted, replaces its earlier point. A point's number follows from the count of unlabelled
     points and its place from the end, so only the last few per session and label are ever kept: the limits
     are applied before the shuffle.
     """
@@ -127,6 +127,9 @@ def plotted_points(points: DataFrame, session: str, order: list[str], keep: int
     )
     return (
         numbered.unionByName(labelled)
+        .withColumn("_again", F.row_number().over(Window.partitionBy(session, "label").orderBy(F.desc("_at"))))
+        .where("_again = 1")
+        .drop("_again")
         .withColumn("_place", F.row_number().over(newest))
         .where(F.col("_place") <= keep)
         .drop("_at", "_place")

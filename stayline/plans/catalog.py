@@ -19,7 +19,7 @@ def _probability() -> Column:
     return F.round(F.col("churn_probability").try_cast("double"), 4).alias("churn_probability")
 
 
-def scored(t: Tables) -> DataFrame:
+def scored(t: Tables, how: str = "inner") -> DataFrame:
     """Scores and the features of the deciding vehicle, one row per customer.
 
     A set of tables that derives both from the same rows hands them over as ``scored``; stored tables are joined.
@@ -27,7 +27,7 @@ def scored(t: Tables) -> DataFrame:
     if "scored" in t:
         return t["scored"]
     features = t["churn_features"].withColumnRenamed("risk_tier", "feature_tier")
-    return t["churn_scores"].join(features, ["cust_id", "vehicle_id"])
+    return t["churn_scores"].join(features, ["cust_id", "vehicle_id"], how)
 
 
 def scored_customers(t: Tables) -> DataFrame:

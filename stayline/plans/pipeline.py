@@ -106,7 +106,7 @@ class Pipeline:
         return checks.verdict(self["validation"])
 
     def write_audit(self) -> None:
-        schema = "step string, table_name string, operator string, finished_at timestamp_ntz, rows long, content_hash long"
+        schema = "step string, table_name string, operator string, finished_at timestamp_ntz, rows long, content_hash string"
         self.spark.createDataFrame(self.audit, schema).write.mode("append").parquet(self.path("audit"))
 
     def run(self, source: Tables) -> DataFrame:

@@ -16,10 +16,10 @@ Tables = Mapping[str, DataFrame]
 
 
 def publishable(t: Tables) -> DataFrame:
-    """One row per scored customer: score and features of the deciding vehicle, that vehicle's model, the masked customer."""
+    """One row per scored customer, also without a partner elsewhere: score and features of the deciding vehicle, that vehicle's model, the masked customer."""
     vehicles = t["vehicle"].select("vehicle_id", "model", "variant").dropDuplicates(["vehicle_id"])
     people = t["customer"].select("cust_id", "name_masked", "city")
-    return scored(t).join(vehicles, "vehicle_id", "left").join(people, "cust_id", "left")
+    return scored(t, "left").join(vehicles, "vehicle_id", "left").join(people, "cust_id", "left")
 
 
 def ranked_results(t: Tables) -> DataFrame:

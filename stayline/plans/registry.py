@@ -87,7 +87,7 @@ def _masked_address(t: AfterSales) -> DataFrame:
 
 @named("vault_leak_scan")
 def _leaks(t: AfterSales) -> DataFrame:
-    scanned = {"sales": t.leaky_sales, "service": t.service, "churn_scores": t.churn_scores}
+    scanned = {name: t.leaky_sales if name == "sales" else t[name] for name in privacy.SAFE_TABLES}
     return privacy.leak_scan(t.pii_vault, scanned)
 
 
@@ -169,7 +169,10 @@ def _fk_orphans(t: AfterSales) -> DataFrame:
 
 @named("fk_orphan_vins")
 def _fk_orphan_vins(t: AfterSales) -> DataFrame:
-    return checks.orphan_keys(t.service_feed, "vin", t.sales, "vin").withColumnRenamed("key", "vin")
+    part = F.element_at(F.split("smr_id", "-"), 3).cast("bigint")
+    unsold = F.concat(F.lit("MA9"), F.substring("vin", 4, 14))
+    feed = t.service_feed.withColumn("vin", F.when(part % 61 == 5, unsold).otherwise(F.col("vin")))
+    return checks.orphan_keys(feed, "vin", t.sales, "vin").withColumnRenamed("key", "vin")
 
 
 @named("row_minimums")
@@ -544,4 +547,5 @@ def _stream_refresh(t: AfterSales) -> DataFrame:
 def _stream_windows(t: AfterSales) -> DataFrame:
     table, checkpoint = staged_path(t.spark, "visits"), staged_path(t.spark, "visits-checkpoint")
     service_feed.run(t.live_visits(t.stream("lineitem")), table, checkpoint).awaitTermination()
-    return t.spark.read.parquet(table)
+    closed = t.spark.read.parquet(table)
+    return closed.unionByName(service_feed.open_windows(t.live_visits(t.raw("lineitem")), closed))

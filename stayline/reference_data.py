@@ -136,11 +136,11 @@ MODEL_CATALOGUE = [
 ]
 
 COLORS = [
-    "Pearl White", "Cerulean Blue", "Fiery Red", "Meteor Grey",
-    "Midnight Black", "Autumn Orange", "Racing Red", "Silky Silver",
+    "Chalk", "Harbour", "Brick", "Slate",
+    "Coal", "Copper", "Cherry", "Nickel",
 ]
-SALES_STAFF = ["Aakash Verma", "Bhavna Shah", "Chirag Patel", "Divya Menon", "Esha Nair"]
-SERVICE_STAFF = ["Rohit Sharma", "Sneha Kapoor", "Tarun Jain", "Uma Devi", "Varun Pillai"]
+SALES_STAFF = ["Desk One", "Desk Two", "Desk Three", "Desk Four", "Desk Five"]
+SERVICE_STAFF = ["Bay One", "Bay Two", "Bay Three", "Bay Four", "Bay Five"]
 
 TIERS = ["High", "Medium", "Low"]
 TIER_ICONS = {"High": "🔴 HIGH", "Medium": "🟡 MEDIUM", "Low": "🟢 LOW"}

@@ -10,12 +10,23 @@ LINK_PHRASES = ("Visa decisions made from", "January")
 
 _NOT_SHOWN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
-_HREF = r"(?is)\bhref\s*=\s*[\"']([^\"']*)[\"']"
+# The attribute itself, quoted or not; not the end of another one's name.
+_HREF = r"(?is)(?:^|[\s\"'])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+_NUMBERED = "&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 # The named character references that occur in link texts.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 
+def _character(number: Column) -> Column:
+    """The character of a decimal or ``x`` and hexadecimal number; U+FFFD where there is none."""
+    code = F.when(F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).cast("bigint")
+    known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+
 def unescape(text: Column) -> Column:
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(_NUMBERED), F.lit(1)))
+    text = F.aggregate(numbers, text, lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
     for name, char in ENTITIES.items():
         text = F.replace(text, F.lit(name), F.lit(char))
     return text
@@ -33,7 +44,7 @@ def anchors(pages: DataFrame) -> DataFrame:
         "page_id",
         "url",
         "pos",
-        unescape(F.regexp_extract(F.col("a.attributes"), _HREF, 1)).alias("href"),
+        unescape(F.concat(*[F.regexp_extract(F.col("a.attributes"), _HREF, n) for n in (1, 2, 3)])).alias("href"),
         text.alias("text"),
     )
 

@@ -35,8 +35,18 @@ def windowed_visits(feed: DataFrame, width: str = "30 days", lateness: str = "10
     )
 
 
+def open_windows(feed: DataFrame, closed: DataFrame) -> DataFrame:
+    """The windows that the stream hasn't delivered yet, from the same events as a table.
+
+    The watermark closes windows in order of time, so only events from the end of the last delivered one on are read.
+    """
+    last = closed.agg(F.max("window_end")).first()[0]
+    late = feed if last is None else feed.where(F.col("ts") >= F.lit(last).cast("timestamp"))
+    return windowed_visits(late).join(closed, ["window_start", "dealer_id"], "left_anti")
+
+
 def run(feed: DataFrame, table_path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append every window once it is closed by the watermark."""
+    """Append every window once it is closed by the watermark; ``open_windows`` has the others."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         windowed_visits(feed)

@@ -231,3 +231,40 @@ def test_first_link_of_a_page(spark):
     df = spark.createDataFrame([(1, "https://a.example/en/page/", html), (2, "https://b.example/", "<a href='/q'>x</a>")], "page_id int, url string, html string")
     found = links.first_link(df).collect()
     assert [tuple(r) for r in found] == [(1, "https://a.example/en/page/files/d.ods?v=1&w=2", "Visa decisions made from 1 January 2026")]
+
+
+def test_links_of_all_forms(spark):
+    from stayline.sources import links
+
+    html = (
+        '<a data-href="/wrong" href="/right">a</a><a href=/bare>b</a><a class=x href=\'/single\'>c</a>'
+        '<A HREF = "/q?x=1&#x26;y=2&amp;z">d &#233;&#x1F600;&#xD800;</A><a>none</a>'
+    )
+    found = links.anchors(spark.createDataFrame([(1, "http://a", html)], "page_id long, url string, html string")).orderBy("pos").collect()
+    assert [(r.href, r.text) for r in found] == [
+        ("/right", "a"), ("/bare", "b"), ("/single", "c"), ("/q?x=1&y=2&z", "d é😀�"), ("", "none")
+    ]
+
+
+def test_a_given_label_and_a_counted_one_are_one(spark):
+    from stayline.operators import chains
+
+    points = [(1, i, False, "P2" if i == 4 else None, float(i)) for i in range(1, 4)] + [(1, 4, False, "P2", 4.0)]
+    table = spark.createDataFrame(points, "s long, at long, is_clear boolean, label string, v double")
+    found = chains.plotted_points(table, "s", ["at"])
+    assert sorted((r.label, r.v) for r in found.collect()) == [("P1", 1.0), ("P2", 4.0), ("P3", 3.0)]
+
+
+def test_equal_rows_count_in_a_table_hash(spark):
+    from stayline.operators import checks
+
+    one, two = (checks.table_hash(spark.createDataFrame([(n,), (n,)], "x int"), "t").first() for n in (1, 2))
+    assert one.content_hash != two.content_hash and one.rows == two.rows == 2
+    assert checks.table_hash(spark.createDataFrame([], "x int"), "t").first().content_hash == "0"
+
+
+def test_long_prefixed_numbers_are_not_cut(spark):
+    from stayline.functions.application import with_number_check
+
+    table = spark.createDataFrame([("IRL" + "1" * 1_000_001,)], "raw string")
+    assert "1000001" in with_number_check(table, "raw").first().error_msg

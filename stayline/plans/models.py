@@ -111,6 +111,21 @@ def evaluate(scored: DataFrame, threshold: float = 0.5) -> dict[str, float]:
     return {"auc": auc, "precision": precision, "recall": recall, "f1": f1}
 
 
+def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``evaluate`` as a table of one row, with the AUC from counts per score value of four decimals."""
+    test = scored.where("NOT is_train").select(F.col("label").cast("int").alias("churn_label"), "churn_probability")
+    said, is_churn = F.col("churn_probability") >= threshold, F.col("churn_label") == 1
+    counts = test.agg(
+        F.count_if(said & is_churn).alias("tp"), F.count_if(said & ~is_churn).alias("fp"), F.count_if(~said & is_churn).alias("fn")
+    )
+    auc = auc_by_period(test.withColumn("split", F.lit("test")), "split").select("customers", "churned", "auc")
+    rate = lambda a, b: F.round(F.coalesce(F.try_divide(a, b), F.lit(0.0)), 6)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return auc.join(counts, F.lit(True)).select(
+        "customers", "churned", "auc", rate(tp, tp + fp).alias("precision"), rate(tp, tp + fn).alias("recall"), rate(2 * tp, 2 * tp + fp + fn).alias("f1")
+    )
+
+
 def attributions(fitted: Fitted) -> dict[str, Column]:
     """Exact additive attribution of a linear model: weight times distance from the mean."""
     if not fitted.is_linear:
@@ -139,14 +154,19 @@ def prune(fitted: Fitted, features: DataFrame, least: float = LEAST_IMPORTANCE)
 
 
 def segments(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """K-means on the R, F, M scores; clusters are named by the rank of their centre's sum."""
+    """K-means on the R, F, M scores; clusters are named by the rank of their centre's sum.
+
+    The scores have 125 combinations at most. The model is fitted on these in one order, weighted by their number of rows,
+    so it doesn't depend on how the rows are spread.
+    """
     scores = ["recency_score", "frequency_score", "monetary_score"]
-    rows = VectorAssembler(inputCols=scores, outputCol="rfm").transform(features)
-    model = KMeans(k=k, seed=seed, featuresCol="rfm", predictionCol="cluster").fit(rows)
+    counted = features.groupBy(*scores).agg(F.count("*").cast("double").alias("n")).coalesce(1).sortWithinPartitions(*scores)
+    rows = VectorAssembler(inputCols=scores, outputCol="rfm").transform(counted)
+    model = KMeans(k=k, seed=seed, featuresCol="rfm", predictionCol="cluster", weightCol="n").fit(rows)
     best_first = sorted(range(k), key=lambda i: -sum(model.clusterCenters()[i]))
     names = {cluster: SEGMENT_NAMES[min(rank, len(SEGMENT_NAMES) - 1)] for rank, cluster in enumerate(best_first)}
     name = reduce(lambda acc, kv: acc.when(F.col("cluster") == kv[0], kv[1]), names.items(), F)
-    return model.transform(rows).withColumn("segment", name).drop("rfm", "cluster")
+    return features.join(model.transform(rows).select(*scores, name.alias("segment")), scores)
 
 
 def auc_by_period(scored: DataFrame, period: str, probability: str = "churn_probability") -> DataFrame:

@@ -499,6 +499,12 @@ def _ml_scores(t: AfterSales) -> DataFrame:
     return models.score(models.fit(rows), rows).select("cust_id", "vehicle_id", "churn_probability", "score_tier", "is_train")
 
 
+@named("ml_metrics")
+def _ml_metrics(t: AfterSales) -> DataFrame:
+    rows = stage(t.churn_features, "features")
+    return models.metrics(models.score(models.fit(rows), rows))
+
+
 @named("ml_drivers")
 def _ml_drivers(t: AfterSales) -> DataFrame:
     rows = stage(t.churn_features, "features")

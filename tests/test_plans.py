@@ -182,3 +182,14 @@ def test_a_customer_with_three_vehicles(built):
 def test_every_query_but_the_dated_ones_reads_all_orders(spark, star):
     assert star.sales.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
     assert star.churn_features.count() == star.sales.where(F.col("sale_date") <= F.lit(AS_OF)).count()
+
+
+def test_metrics_table_and_stable_segments(spark, star):
+    rows = star.churn_features.cache()
+    scored = models.score(models.fit(rows), rows)
+    found, want = models.metrics(scored).first(), models.evaluate(scored)
+    assert all(abs(found[k] - want[k]) < 2e-3 for k in ("auc", "precision", "recall", "f1"))
+    one = {r.vehicle_id: r.segment for r in models.segments(rows).collect()}
+    two = {r.vehicle_id: r.segment for r in models.segments(rows.repartition(13, "vehicle_id")).collect()}
+    assert one == two and len(one) == rows.count() and 2 <= len(set(one.values())) <= 4
+    rows.unpersist()

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.session import staged_path, tune
@@ -111,3 +111,23 @@ def worker_store() -> dict:
     """A dict that lives as long as the Python worker, so later tasks of the worker find what earlier ones built."""
     holder = sys.modules.setdefault("_stayline_worker_store", types.ModuleType("_stayline_worker_store"))
     return holder.__dict__.setdefault("kept", {})
+
+
+def hash_sample(rows: DataFrame, label: str, limits: dict, ties: list[str]) -> DataFrame:
+    """Of each value of ``label`` the rows with the smallest hashes, at most ``limits[value]`` (or ``limits[None]``) of them.
+
+    Rows far above the expected cut are left out where they are read, so a few thousand rows of a label meet in its task,
+    whatever the number of rows. The hash is over all columns of ``ties``, so copies of a text don't share it.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}  # one row per label
+    mark, room, most = F.xxhash64(*ties), F.lit(None).cast("long"), F.lit(None).cast("int")
+    for value, count in counts.items():
+        limit = limits.get(value, limits.get(None))
+        if value is None or not limit:
+            continue
+        share = min(1.0, (4 * limit + 100) / count)
+        room = F.when(F.col(label) == value, F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))).otherwise(room)
+        most = F.when(F.col(label) == value, F.lit(limit)).otherwise(most)
+    marked = rows.withColumns({"hash_mark": mark, "hash_most": most}).where(mark <= room)
+    order = Window.partitionBy(label).orderBy("hash_mark", *ties)
+    return marked.withColumn("hash_place", F.row_number().over(order)).where("hash_place <= hash_most").drop("hash_mark", "hash_most", "hash_place")

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stayline.llm.common import slices, table, worker_store
+from stayline.llm.common import hash_sample, slices, table, worker_store
 from stayline.llm.wordfeat import BITS, WordTable, features, letters, summed, whole
 
 #: Bound of the training sample: so many documents of each language, and of each one stretch of so many characters.
@@ -161,11 +161,10 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
     """The bounded training sample: of each language the ``SAMPLE_DOCS`` documents with the smallest hash, and of each
     one stretch of ``SAMPLE_CHARS`` characters at a place that its hash gives, anywhere in the text."""
-    place = F.xxhash64("text", F.lit(1))
     stretch = F.expr(f"substring(text, 1 + int(pmod(xxhash64(text, 1), greatest(char_length(text) - {SAMPLE_CHARS}, 1))), {SAMPLE_CHARS})")
-    order = Window.partitionBy("lang").orderBy(place, "doc_id")
-    picked = docs.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select("lang", stretch.alias("stretch"), F.row_number().over(order).alias("n"))
-    return sorted((r.lang, r.stretch) for r in picked.where(F.col("n") <= SAMPLE_DOCS).select("lang", "stretch").collect())
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select("lang", "doc_id", stretch.alias("stretch"))
+    picked = hash_sample(usable, "lang", {None: SAMPLE_DOCS}, ["stretch", "doc_id"])
+    return sorted((r.lang, r.stretch) for r in picked.select("lang", "stretch").collect())
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

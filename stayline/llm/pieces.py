@@ -301,12 +301,13 @@ def decode(encoded: DataFrame, model: PieceModel | None = None) -> DataFrame:
     model = model or load_model()
     shared = encoded.sparkSession.sparkContext.broadcast((model.pieces, model.bpe, model.dummy_prefix, model.squeeze_spaces))
     read = encoded.drop("decoded")
+    kept = read.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
         for batch in batches:
             texts = [None if ids is None else codec.decode(ids) for ids in batch.column("piece_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*read.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, "decoded"])
 
     return read.mapInArrow(run, StructType(read.schema.fields + StructType().add("decoded", "string").fields))
 

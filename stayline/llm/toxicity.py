@@ -7,15 +7,15 @@ sentences are swapped and the change of the score is penalised, so the mention o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stayline.llm.common import slices, table, worker_store
+from stayline.llm.common import hash_sample, slices, table, worker_store
 from stayline.llm.langid import held_out
 from stayline.llm.wordfeat import BITS, WordTable, features, letters, summed
 
@@ -40,6 +40,8 @@ AFFIX, GRAMS = 6, (3, 4)
 EPOCHS, STEPS, RATE, DECAY, BATCH = 6, 300, 0.25, 1e-4, 128
 #: How sharply the worst word stands for its text, from the first pass to the last.
 SHARPNESS = (1.0, 8.0)
+#: Words whose features are computed at once.
+CHUNK = 20_000
 #: Weight of the penalty, and words of a sentence in which terms are swapped.
 COUNTERFACTUAL, SENTENCE = 1.0, 16
 THRESHOLD = 0.3
@@ -61,7 +63,7 @@ class Model:
         return self.bias + (float(self.word_scores(words).max()) if words else 0.0)
 
 
-def counterfactuals(texts: list[list[str]], random: np.random.Generator) -> list[tuple[list[str], list[str]]]:
+def counterfactuals(texts: Iterable[list[str]], random: np.random.Generator) -> list[tuple[list[str], list[str]]]:
     """Pairs of sentences of labelled texts, given as words, that differ in one identity term.
 
     A sentence with a term gets another one of its group; a sentence without any gets one term, then another, put in
@@ -99,17 +101,24 @@ def fit(rows: list[tuple[int, str]], rate: float | None = None) -> Model:
         share = float(labels.mean()) if len(rows) else 0.0
         return Model(weights, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     random = np.random.default_rng(0)
-    texts = [letters(t) for _, t in rows]
-    vocabulary = sorted({w for words in texts for w in words} | {t for g in IDENTITY for t in g})
-    place = {w: i for i, w in enumerate(vocabulary)}
-    number, word = features(vocabulary, AFFIX, GRAMS)
-    reach = np.searchsorted(word, np.arange(len(vocabulary) + 1))
-    numbers = lambda words: np.fromiter((place[w] for w in words), np.int64)
-    bags = [numbers(set(words)) for words in texts]
+    place: dict[str, int] = {}
+    numbers = lambda words: np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32)
+    texts = [numbers(letters(t)) for _, t in rows]
+    numbers(t for g in IDENTITY for t in g)
+    vocabulary = list(place)
+    parts, reach = [], [np.zeros(1, np.int64)]
+    for at in range(0, len(vocabulary), CHUNK):  # in parts, so that the driver holds the features of a few words twice
+        chunk = vocabulary[at : at + CHUNK]
+        number, word = features(chunk, AFFIX, GRAMS)
+        parts.append(number.astype(np.int32))
+        reach.append(np.searchsorted(word, np.arange(1, len(chunk) + 1)) + reach[-1][-1])
+    number, reach = np.concatenate(parts), np.concatenate(reach)
+    del parts
+    bags = [np.unique(ids) for ids in texts]
     bias, bias_square = -1.0, 1e-3
     epochs = max(EPOCHS, -(-STEPS * BATCH // len(rows)))
     for sharpness in np.linspace(*SHARPNESS, epochs):
-        pairs = [(numbers(a), numbers(b)) for a, b in counterfactuals(texts, random)]
+        pairs = [(numbers(a), numbers(b)) for a, b in counterfactuals(([vocabulary[i] for i in ids.tolist()] for ids in texts), random)]
         order = random.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             chosen = [i for i in order[at : at + BATCH] if len(bags[i])]
@@ -147,14 +156,20 @@ def fit(rows: list[tuple[int, str]], rate: float | None = None) -> Model:
     return Model(weights.astype(np.float32), float(bias))
 
 
-def sample(labelled: DataFrame) -> tuple[list[tuple[int, str]], float | None]:
-    """The bounded training sample of (toxic, text), by the texts' hashes, and the share of toxic among all labels."""
-    usable = labelled.where("toxic IN (0, 1) AND text IS NOT NULL")
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[int, str]], float | None]:
+    """The bounded training sample of (toxic, text), by the hash of doc_id, and the share of toxic among all labels.
+
+    Documents are chosen on their ids and sizes; only the chosen ones' texts, ``SAMPLE_DOCS`` in all, are fetched. A
+    document with several labels is toxic if one of them says so; of rows with one doc_id one text is taken.
+    """
+    marks = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sizes = docs.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.min(F.octet_length("text")).alias("bytes"))
+    usable = sizes.join(marks, "doc_id")
     counts = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "doc_id")
-    ranked = usable.where(F.octet_length("text") <= SAMPLE_BYTES).withColumn("n", F.row_number().over(order))
-    most = F.when(F.col("toxic") == 1, SAMPLE_DOCS[1]).otherwise(SAMPLE_DOCS[0])
-    rows = sorted((r.toxic, r.text) for r in ranked.where(F.col("n") <= max(SAMPLE_DOCS.values())).where(F.col("n") <= most).select("toxic", "text").collect())
+    chosen = hash_sample(usable.where(F.col("bytes") <= SAMPLE_BYTES), "toxic", SAMPLE_DOCS, ["doc_id"]).select("doc_id", "toxic")
+    fitting = docs.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text")
+    texts = fitting.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    rows = sorted((r.toxic, r.text) for r in texts.select("toxic", "text").collect())
     total = sum(counts.values())
     return rows, counts.get(1, 0) / total if total else None
 
@@ -195,7 +210,6 @@ def predict(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, held_out, score, predicted, worst_word of every document, learned from labels that aren't held out."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    mark = labels.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows, rate = sample(docs.where(~held_out()).select("doc_id", "text").join(mark, "doc_id"))
+    rows, rate = sample(docs.where(~held_out()), labels.where(~held_out()))
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     return predict(read, fit(rows, rate)).drop("text")

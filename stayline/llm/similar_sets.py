@@ -4,7 +4,8 @@ A document's set is its distinct word shingles. Sets whose sizes can differ with
 In a band two similar sets differ in at most ``k`` shingles. The shingles' domain is cut into ``k // 2 + 1`` groups, so
 there is a group in which they differ in one shingle at most; each group is cut into ``second`` parts, and the subsets of its
 parts that leave one part out are enumerated, so the two agree in a whole subset. Each subset's content is a
-signature: similar sets share one. Sets with a common signature form a cluster, whose sets are compared exactly.
+signature: similar sets share one. Spare groups make up for those in which a set has an empty subset, which says
+nothing. Sets with a common signature form a cluster, whose sets are compared exactly.
 
 What keeps large groups apart: equal sets are one set from the start; a signature links each of its sets to the one
 before, so a signature of n sets costs n links and not all pairs; a large cluster is compared in blocks of bounded size, and
@@ -31,7 +32,7 @@ BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Parts of a group; with more of them a signature covers more of a set, and there are more signatures.
 SECOND = 2
 SLICE = 2 << 20
-#: Attempts to cut the domain so that a set has no empty part; the last one also signs empty parts.
+#: Attempts to cut the domain so that a set has no more empty subsets than spare groups; the last one also signs empty ones.
 CUTS = 6
 #: Sets that a task remembers to have signed.
 SEEN = 200_000
@@ -76,6 +77,17 @@ def errors(band: np.ndarray, percent: int) -> np.ndarray:
     return (2 * (bands(percent)[band + 1] - 1) * (100 - percent)) // (100 + percent)
 
 
+def spare(band: np.ndarray, groups: np.ndarray, percent: int, second: int) -> np.ndarray:
+    """Groups beyond those of the bound: as many as may hold an empty subset, by their mean and twice the deviation.
+
+    With ``groups`` and e more, two similar sets differ in one shingle at most in e + 1 groups or more, so a set
+    with an empty subset in e groups at most still has a whole subset in common with each set similar to it.
+    """
+    subset = bands(percent)[np.maximum(band - 1, 0)] * (second - 1) / (groups * second)
+    mean = groups * np.minimum(second * np.exp(-subset), 1.0)
+    return np.floor(mean + 2 * np.sqrt(mean) + 0.5).astype(np.int64)
+
+
 def signatures(value: np.ndarray, ptr: np.ndarray, percent: int = PERCENT, second: int = SECOND) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of all sets. Every set signs in its own band and in the next one, where it may meet larger sets."""
     sizes = np.diff(ptr)
@@ -89,6 +101,8 @@ def signatures(value: np.ndarray, ptr: np.ndarray, percent: int = PERCENT, secon
             band = own[todo] + ahead
             k = errors(band, percent)
             groups, per = k // 2 + 1, np.where(k > 0, second, 1)
+            more = np.where(k > 0, spare(band, groups, percent, second), 0)
+            groups = groups + more
             parts = groups * per
             length = sizes[todo]
             at = np.repeat(ptr[todo] - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum())
@@ -112,8 +126,9 @@ def signatures(value: np.ndarray, ptr: np.ndarray, percent: int = PERCENT, secon
             good = (held > 0) | (cut == CUTS - 1)
             found.append(mixed(subset ^ tag)[good])
             of.append(todo[owner[good]])
-            # Two sets that agree only in an empty subset both get here again, with the domain cut in another way.
-            todo = todo[np.unique(owner[held == 0])]
+            # Two sets that may agree in empty subsets alone both get here again, with the domain cut in another way.
+            bad, _ = np.unique(np.stack((owner[held == 0], group[held == 0])), axis=1)
+            todo = todo[np.bincount(bad, minlength=len(todo)) > more]
     if not found:
         return np.empty(0, U64), np.empty(0, np.int64)
     return np.concatenate(found), np.concatenate(of)

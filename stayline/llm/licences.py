@@ -1,7 +1,8 @@
 """Licence recognition by sentences and rules, with DataFrame functions only.
 
-A text is cut into sentences; a sentence in normal form that is a known licence sentence stands for its
-identifier; rules, tried in order, name the licence of a run of identifiers and take that run out of the sequence.
+A text is brought into normal form with marks where a sentence may start or end. A known licence sentence between two
+marks stands for its identifier; it may run on over line breaks, comment marks, colons and semicolons. Rules, tried in
+order, name the licence of a run of identifiers and take that run out of the sequence.
 """
 
 from __future__ import annotations
@@ -75,16 +76,26 @@ RULES = [
     ("LicenseRef-proprietary", ["rights", "proprietary"]),
     ("LicenseRef-proprietary", ["proprietary"]),
 ]
-# Where a sentence ends: a mark followed by white space, or a line break.
-SENTENCE_END = "[.!?;:]+[ \\t]+|[ \\t]*[\\r\\n]+"
+# Line breaks, words that open a comment line, and 'v. 2', whose point ends nothing.
+BREAK = "(?>\\r\\n|\\r|\\n)"
+COMMENT_WORD = f"{BREAK}[ \\t]*(?:dnl|@?rem)(?![a-z0-9])"
+VERSION = "(?<![a-z0-9])v\\.(?=[^a-z0-9]{1,40}[0-9])"
+# Where a sentence ends in any case: a mark before white space, a line without a letter or digit, a list number like '2)'.
+END = f"[.!?]+(?=[ \\t\\r\\n])|{BREAK}[^a-z0-9\\r\\n]*(?=[\\r\\n])|{BREAK}[^a-z0-9\\r\\n]*[0-9a-z]{{1,2}}\\)[ \\t]"
+# Where it may end or run on: a colon or semicolon before white space, a line break.
+PAUSE = "[;:]+[ \\t]|[\\r\\n]"
 # -------------------------------------------------------------------------------------------------------
-#: Words that every known sentence has one of; the others are not put into normal form.
+#: Words that every known sentence has one of; texts without one, in normal form, aren't searched.
 HINTS = "(?i)licen|software|permission|copyright|redistribut|warrant|liable|program|public domain|rights reserved|copying"
 
 
-def normal(sentence: Column) -> Column:
-    """Lower case, every run of other characters than ASCII letters and digits as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """Normal form of a whole text, with ``#`` for each END and ``|`` for each PAUSE, and ``#`` at both ends."""
+    out = F.translate(F.lower(text), "|#", "  ")
+    out = F.concat(F.lit("\n"), out, F.lit("\n"))
+    for pattern, mark in [(COMMENT_WORD, "\n"), (VERSION, "v"), (END, "#"), (PAUSE, "|"), ("[^a-z0-9|#]+", " "), ("[ |]*#[ |#]*", "#"), (" ?\\|[ |]*", "|")]:
+        out = F.regexp_replace(out, pattern, mark)
+    return F.concat(F.lit("#"), out, F.lit("#"))
 
 
 def known_sentences(spark: SparkSession) -> DataFrame:
@@ -116,10 +127,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     pairs = [(text, key) for key, texts in SENTENCES.items() for text in texts]
     names = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-    sentences = F.filter(F.split(F.coalesce("text", F.lit("")), SENTENCE_END), lambda s: s.rlike(HINTS))
-    ids = F.filter(F.transform(sentences, lambda s: F.element_at(names, normal(s))), lambda i: i.isNotNull())
+    # The longest sentence first, as it may run on over a pause that also ends a shorter one.
+    known = "[|#](" + "|".join(text.replace(" ", "[ |]") for text, _ in sorted(pairs, key=lambda p: -len(p[0]))) + ")(?=[|#])"
     # Through generators, as the optimizer would otherwise copy the expressions into each of their uses.
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(ids)).alias("sentences"))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(marked(F.coalesce("text", F.lit(""))))).alias("marked"))
+    hits = F.when(F.translate("marked", "|#", "  ").rlike(HINTS), F.regexp_extract_all("marked", F.lit(known), 1)).otherwise(F.expr("CAST(array() AS array<string>)"))
+    ids = F.transform(hits, lambda s: F.element_at(names, F.translate(s, "|", " ")))
+    found = whole.select("doc_id", F.explode(F.array(ids)).alias("sentences"))
     sequence = F.array_join(F.transform("sentences", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
     state = found.select("doc_id", "sentences", F.explode(F.array(_recognise(sequence))).alias("state"))
     rest = F.filter(F.split(F.col("state.rest"), "[|/]+"), lambda i: i != "")

@@ -1,15 +1,15 @@
-"""Benchmark passages in training texts: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark passages in training texts: counted words as a filter without loss, then Smith-Waterman alignment.
 
-One pass over the texts looks up every n-gram among the seeds of the test items and reports the passages around the
-hits. How often a seed was hit over the whole corpus tells rare seeds from common ones; a passage goes on to
-alignment with one rare seed, or with two different seeds of any kind. Items are handled in blocks of bounded
+A passage that reaches the threshold has a certain number of the item's words in a certain width (``bounds``), so at
+least some of any choice of its words that is large enough. One pass over the texts looks up the rarer words of the test
+items, and stretches with enough of them are aligned where they lie. Items are handled in blocks of bounded
 size, which are broadcast one after the other, so a benchmark of any size is searched whole.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,20 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm.common import Staged, row_key, slices, table
-from stayline.llm.words import U64, mixed
 
 WORD = re.compile(r"[^\W_]+")
-#: Words of a seed; an item with fewer is one seed.
-SEED = 5
-#: A seed is rare if it was hit at most so many times as often as a quarter of its item's seeds were.
-RARE = 16
+#: An item with fewer words must be there verbatim.
+SHORT = 5
+#: Of the words that a passage must have, the share that must be among the item's rarer ones. It moves cost, not results.
+RARER = 0.5
 #: Part of an item's own alignment score that a passage must reach.
 SIMILARITY = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 #: Bytes of test items that are broadcast at once.
 BLOCK = 8 << 20
 SLICE = 4 << 20
-FOUND = "row_key long, doc_id long, item_id long, start long, seeds array<int>, passage array<int>"
+#: Pairs of a word's place and an item that are sorted at once.
+PAIRS = 2_000_000
 ALIGNED = "row_key long, doc_id long, item_id long, similarity double, first_word long, last_word long"
 
 
@@ -40,79 +40,106 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").casefold())
 
 
+def bounds(n: int, similarity: float) -> tuple[int, int, float]:
+    """How many of an item's ``n`` words a passage has that reaches the threshold, its greatest width, and the least score.
+
+    With m matches and e other steps, 2m - e >= 2sn and m <= n. So m >= sn, and the passage has at most
+    m + e <= 3m - 2sn <= (3 - 2s)n words.
+    """
+    if n < SHORT:
+        return n, n, MATCH * n
+    return max(1, math.ceil(similarity * n - 1e-9)), max(1, math.floor((3 - 2 * similarity) * n + 1e-9)), similarity * MATCH * n
+
+
 class Items:
-    """The seeds and words of a block of test items."""
+    """The words of a block of test items, and for each word the items that have it among their rarer ones."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int, str | None]], similarity: float):
         self.vocabulary: dict[str, int] = {}
-        self.words: dict[int, np.ndarray] = {}
-        seeds: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        self.names = [item for item, _ in rows]
-        for number, (_, text) in enumerate(rows):
-            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)], np.int64)
-            self.words[number] = ids
-            n = min(SEED, len(ids))
-            if n:
-                for at, value in enumerate(self.grams(ids, n).tolist()):
-                    seeds[n, value].append((number, at))
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]] = {}
-        base = 0
-        for n in sorted({n for n, _ in seeds}):
-            keys = sorted(v for m, v in seeds if m == n)
-            where = [seeds[n, v] for v in keys]
-            ptr = np.concatenate(([0], np.cumsum([len(w) for w in where])))
-            item, at = (np.array([x[i] for w in where for x in w], np.int64) for i in (0, 1))
-            self.by_size[n] = (np.array(keys, U64), ptr, item, at, base)
-            base += len(keys)
-
-    @staticmethod
-    def grams(ids: np.ndarray, n: int) -> np.ndarray:
-        """Hash of every ``n`` consecutive word numbers."""
-        out = np.zeros(max(len(ids) - n + 1, 0), U64)
-        for j in range(n):
-            out = mixed(out * U64(31) + ids[j : j + len(out)].astype(U64) + U64(7))
-        return out
-
-    def hits(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(item, position in the item, position in the text, seed) of every seed in a text; unknown words are -1."""
-        for n, (keys, ptr, item, at, base) in self.by_size.items():
-            if len(ids) < n:
-                continue
-            good = ids >= 0
-            whole = good[: len(ids) - n + 1].copy()
-            for j in range(1, n):
-                whole &= good[j : len(ids) - n + 1 + j]
-            places = np.flatnonzero(whole)
-            if not len(places):
+        split = [(name, words_of(text)) for name, text in rows]
+        split = [(name, words) for name, words in split if words]
+        self.names = [name for name, _ in split]
+        self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64) for _, words in split]
+        limits = [bounds(len(words), similarity) for words in self.words]
+        self.need, self.width = (np.array([x[i] for x in limits], np.int64) for i in (0, 1))
+        self.least = [x[2] for x in limits]
+        self.widest = int(self.width.max(initial=1))
+        kinds = [np.unique(words) for words in self.words]
+        often = np.bincount(np.concatenate([*kinds, np.empty(0, np.int64)]), minlength=len(self.vocabulary))
+        self.enough = np.ones(len(split), np.int64)
+        word, item = [], []
+        for number, words in enumerate(self.words):
+            # A passage leaves out at most n - need words, so of so many more it has the rest at least.
+            rest = math.ceil(RARER * self.need[number])
+            rarer = words[np.argsort(often[words], kind="stable")][: len(words) - self.need[number] + rest]
+            # A word left out here may stand at a chosen place too; then all its places count, which only adds hits.
+            rarer = np.unique(rarer)
+            self.enough[number] = rest
+            word.append(rarer)
+            item.append(np.full(len(rarer), number))
+        word, item = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (word, item))
+        self.item = item[np.argsort(word, kind="stable")]
+        self.ptr = np.concatenate(([0], np.cumsum(np.bincount(word, minlength=len(self.vocabulary)))))
+
+    def stretches(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of every stretch that may hold a passage; unknown words are -1.
+
+        A passage of an item lies whole in one of its stretches, which have at most four times the passage's width.
+        """
+        places = np.flatnonzero(ids >= 0)
+        count = self.ptr[ids[places] + 1] - self.ptr[ids[places]]
+        places, count = places[count > 0], count[count > 0]
+        ends = np.cumsum(count)
+        big = len(ids) + 2 * self.widest + 2
+        found: list[np.ndarray] = []
+        at = 0
+        while at < len(places):
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            # Hits that follow within the width belong to a stretch that starts here.
+            far = int(np.searchsorted(places, places[stop - 1] + self.widest, "right"))
+            here, n = places[at:far], count[at:far]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            item = self.item[np.repeat(self.ptr[ids[here]], n) + step]
+            key = np.sort(item * big + np.repeat(here, n))
+            item = key // big
+            last = np.arange(len(key)) + self.enough[item] - 1
+            inside = last < len(key)
+            key, item, last = key[inside], item[inside], key[last[inside]]
+            good = (last - key < self.width[item]) & (key - item * big <= places[stop - 1])
+            key, item, last = key[good], item[good], last[good]
+            found.append(np.stack((item, last - item * big - self.width[item] + 1, key - item * big + self.width[item])))
+            at = stop
+        if not found:
+            return
+        item, low, high = np.concatenate(found, axis=1)
+        low, high = np.maximum(low, 0), np.minimum(high, len(ids))
+        order = np.lexsort((low, item))
+        item, low, high = item[order].tolist(), low[order].tolist(), high[order].tolist()
+        i = 0
+        while i < len(item):
+            number, a, b = item[i], low[i], high[i]
+            i += 1
+            while i < len(item) and item[i] == number and low[i] <= b:
+                b = max(b, high[i])
+                i += 1
+            width = int(self.width[number])
+            while b - a > 4 * width:
+                yield number, a, a + 4 * width
+                a += 3 * width
+            yield number, a, b
+
+    def passages(self, ids: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
+        """(item, similarity, first word, last word) of the best passage of each stretch, if it reaches the threshold."""
+        for number, low, high in self.stretches(ids):
+            words, item, width = ids[low:high], self.words[number], int(self.width[number])
+            total = np.concatenate(([0], np.cumsum(np.isin(words, item))))
+            ahead = total[np.minimum(np.arange(len(words)) + width, len(words))] - total[:-1]
+            if ahead.max() < self.need[number]:
                 continue
-            grams = np.zeros(len(places), U64)
-            for j in range(n):
-                grams = mixed(grams * U64(31) + ids[places + j].astype(U64) + U64(7))
-            slot = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            hit = keys[slot] == grams
-            for place, s in zip(places[hit].tolist(), slot[hit].tolist(), strict=True):
-                for k in range(ptr[s], ptr[s + 1]):
-                    yield int(item[k]), int(at[k]), place, base + s
-
-    def passages(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[int], np.ndarray]]:
-        """(item, start, seeds, words) of each stretch of a text in which an item's seeds lie."""
-        spans: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for item, at, place, seed in self.hits(ids):
-            size = len(self.words[item])
-            pad = size // 3 + 2
-            spans[item].append((max(0, place - at - pad), min(len(ids), place - at + size + pad), seed))
-        for item, found in spans.items():
-            found.sort()
-            low, high, seeds = found[0][0], found[0][1], {found[0][2]}
-            limit = 4 * len(self.words[item]) + 64
-            for a, b, seed in found[1:]:
-                if a < high and max(b, high) - low <= limit:
-                    high = max(high, b)
-                    seeds.add(seed)
-                else:
-                    yield item, low, sorted(seeds), ids[low:high]
-                    low, high, seeds = a, b, {seed}
-            yield item, low, sorted(seeds), ids[low:high]
+            best, first, last = align(item, words)
+            if best >= self.least[number]:
+                yield number, best / (MATCH * len(item)), low + first, low + last
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -163,42 +190,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, staged: Staged, similarity: f
         shared = spark.sparkContext.broadcast(rows)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value)
+            items = Items(shared.value, similarity)
             number_of = items.vocabulary.get
             for batch in slices(batches, "text", SLICE):
                 out: list[tuple] = []
-                for doc, key, text in zip(batch.column("doc_id"), batch.column("row_key"), batch.column("text").to_pylist(), strict=True):
-                    found = words_of(text)
-                    ids = np.array([number_of(w, -1) for w in found], np.int64)
-                    if len(ids):
-                        out += [(key.as_py(), doc.as_py(), item, start, seeds, passage.tolist()) for item, start, seeds, passage in items.passages(ids)]
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in FOUND.split(", ")])
-
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value)
-            for batch in batches:
-                out = []
-                for key, doc, number, start, passage in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                    item = items.words[number]
-                    best, first, last = align(item, np.array(passage, np.int64))
-                    if best >= similarity * MATCH * len(item):
-                        out.append((key, doc, items.names[number], best / (MATCH * len(item)), start + first, start + last))
+                # All texts of a slice are looked through at once; no stretch reaches over the gaps between them.
+                gap = np.full(2 * items.widest + 2, -1, np.int64)
+                parts = [np.array([number_of(w, -1) for w in words_of(text)], np.int64) for text in batch.column("text").to_pylist()]
+                starts = np.concatenate(([0], np.cumsum([len(p) + len(gap) for p in parts])))
+                docs, keys = batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist()
+                for number, share, first, last in items.passages(np.concatenate([x for p in parts for x in (p, gap)])):
+                    row = int(np.searchsorted(starts, first, "right")) - 1
+                    out.append((keys[row], docs[row], items.names[number], share, first - int(starts[row]), last - int(starts[row])))
                 if out:
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in ALIGNED.split(", ")])
 
-        found = staged.write(keyed.mapInArrow(search, FOUND), f"found-{number}")
-        # How often the whole corpus hit a seed; then, for each item, the level below which its seeds are rare.
-        hit = found.select("item_id", F.explode("seeds").alias("seed"))
-        often = hit.groupBy("item_id", "seed").agg(F.count("*").alias("n"))
-        level = often.groupBy("item_id").agg((F.percentile_approx("n", 0.25) * RARE).alias("level"))
-        rare = often.join(level, "item_id").where("n <= level").groupBy("item_id").agg(F.collect_set("seed").alias("rare"))
-        likely = found.join(rare, "item_id").where(F.arrays_overlap("seeds", "rare") | (F.size("seeds") > 1))
-        scored = likely.select("row_key", "doc_id", "item_id", "start", "passage").mapInArrow(score, ALIGNED)
-        aligned = aligned.union(staged.write(scored, f"aligned-{number}"))
-        staged.drop(f"found-{number}")
+        aligned = aligned.union(staged.write(keyed.mapInArrow(search, ALIGNED), f"aligned-{number}"))
         shared.unpersist()
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("back"), "last_word")).alias("best")
     pairs = aligned.groupBy("row_key", "doc_id", "item_id").agg(best, F.countDistinct("first_word").alias("passages"))

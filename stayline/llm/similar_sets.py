@@ -305,7 +305,9 @@ def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: in
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], ["cluster", "block", "blocks", "vertex", "shingles"])
 
     # Sort-merge at every size: how many sets have a near copy isn't bounded.
-    texts = keyed.hint("merge").join(placed.hint("merge"), "row_key").select("cluster", "block", "blocks", "vertex", "text")
+    # A row that repeats is one row here, also before the shuffle, so a block has as many sets as were counted.
+    once = keyed.groupBy("row_key").agg(F.first("text").alias("text"))
+    texts = once.hint("merge").join(placed.hint("merge"), "row_key").select("cluster", "block", "blocks", "vertex", "text")
     full = texts.mapInArrow(shingled, "cluster long, block int, blocks int, vertex long, shingles array<long>")
     pairs = full.select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "block", "vertex", "shingles").select(
         "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vertex", "shingles"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, byte_bpe, decontaminate, exact, langid, licences, pieces, repeats, similar_sets, token_counts, toxicity
+from stayline.llm import archive, byte_bpe, decontaminate, exact, langid, licences, pieces, repeats, search, similar_sets, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact.exact_dedup,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licence_scan": licences.licence_scan,
     "op9_similar_documents": similar_sets.similar_documents,
     "op10_toxicity": toxicity.toxicity_scores,
+    "op11_ranked_search": search.ranked_search,
     "op13_byte_bpe": byte_bpe.byte_bpe,
 }
 
@@ -28,4 +29,5 @@ SQL: dict[str, str] = {
     "op6_web_archive": archive.SQL,
     "op8_licence_scan": licences.SQL,
     "op9_similar_documents": similar_sets.SQL,
+    "op11_ranked_search": search.SQL,
 }

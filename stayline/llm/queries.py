@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, byte_bpe, decontaminate, exact, langid, licences, pieces, repeats, search, similar_sets, token_counts, toxicity
+from stayline.llm import archive, byte_bpe, decontaminate, exact, langid, licences, pieces, repeats, resample, search, similar_sets, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact.exact_dedup,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_similar_documents": similar_sets.similar_documents,
     "op10_toxicity": toxicity.toxicity_scores,
     "op11_ranked_search": search.ranked_search,
+    "op12_importance_sample": resample.importance_sample,
     "op13_byte_bpe": byte_bpe.byte_bpe,
 }
 

@@ -11,7 +11,7 @@ from stayline import reference_data as ref
 from stayline.functions import application, masks
 from stayline.functions.scalar import round_half_up
 from stayline.operators import chains, checks, identity, lookup, privacy, quality, ranking, rollups
-from stayline.plans import air, catalog, features, models, publish, rules, view360
+from stayline.plans import air, catalog, features, history, models, publish, rules, view360
 from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AS_OF, AfterSales
@@ -539,6 +539,16 @@ def _stability_index(t: AfterSales) -> DataFrame:
     return models.stability_index(_scored_by_year(t), "sale_year")
 
 
+@named("monthly_snapshots")
+def _monthly_snapshots(t: AfterSales) -> DataFrame:
+    return history.monthly_snapshots(t.sales, t.service_feed, t.insurance, t.as_of)
+
+
+@named("model_history")
+def _model_history(t: AfterSales) -> DataFrame:
+    return history.model_history(stage(history.monthly_snapshots(t.sales, t.service_feed, t.insurance, t.as_of), "snapshots"))
+
+
 # -- streams ---------------------------------------------------------------------------------------
 
 

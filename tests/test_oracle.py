@@ -10,7 +10,7 @@ from tools.check import compare, oracle_connection
 
 FOLDER = f"/root/testdata/sf{os.environ.get('STAYLINE_SF', '0.001')}"
 QUERIES, CHECKS = registry.queries(), all_sql()
-ROWS_ONLY = {"ml_scores", "ml_metrics", "ml_drivers", "segments"}
+ROWS_ONLY = {"ml_scores", "ml_metrics", "ml_drivers", "segments", "model_history"}
 
 
 @pytest.fixture(scope="module")

@@ -200,6 +200,11 @@ def _key_sets(t: AfterSales) -> DataFrame:
     return checks.key_sets(t.service_feed.select("cust_id"), t.customer.select("cust_id"), "cust_id")
 
 
+@named("validation_report")
+def _report(t: AfterSales) -> DataFrame:
+    return checks.report(t)
+
+
 @named("validation_verdict")
 def _verdict(t: AfterSales) -> DataFrame:
     return checks.verdict(checks.report(t))

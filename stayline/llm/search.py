@@ -1,16 +1,19 @@
 """Ranked lexical search over hashed max-sketches, with exact rescoring in descending order of the bound.
 
-Index (query-independent). Terms of a row are counted in the row itself (sorted, then runs), so postings need no
-shuffle; they are staged once. A term's weight needs its document frequency, a word count with partial aggregation
-before the shuffle. Postings join the weights on the term (a hot term is a skewed join side, split by adaptive
-execution) and give each (row, term) its impact, the term's whole share of the score. Back on the row, the impacts
-fold into a sketch: the maximum impact of each of ``BUCKETS`` hash buckets of terms. The index row holds the sketch
-and the sorted exact impacts.
-
-Search (batched). Items go in blocks of bounded size to the executors; a block is a matrix of bucket counts, so the
-bounds of all items on a batch of rows are one matrix product: an item's bound on a row is the sum of the sketch over
-its terms' buckets, never less than its score. Each task takes, per item, its rows in descending bound and scores
-them exactly until the bound falls below its tenth best; the tasks' lists of ten meet per item, which is ten rows a task.
+A term's share of a score factors into a weight of the term (``w``, from its document frequency) and an impact in
+the document (``g = 10**9*tf div (1000*tf+8*m)``, from the term's count and the document's length). Weights are not
+negative, so an item's score on a document is at most the sum, over the item's terms, of the term's weight times the
+largest impact of any of the document's terms in the term's hash bucket.
+
+Index (query-independent, no shuffle). One pass counts terms per row for the corpus's N and L (two numbers). A second
+pass gives every row, in its own task, its sorted terms with their counts and the sketch: the impacts folded into their
+maxima per hash bucket. The index is written once.
+
+Search (batched). Items go in blocks of bounded size to the executors. The document frequencies of a block's terms
+are counted over the index (a filter and a partial count, one row per term), which gives their weights; the block
+becomes a matrix of weights per bucket, so the bounds of all items on a batch of rows are one matrix product. Each
+task takes, per item, its rows in descending bound and scores them exactly until the bound falls below its tenth
+best; the tasks' lists of ten meet per item, which is ten rows a task.
 
 Scoring, as the contract fixes it (64-bit integers, ``div`` rounding down; weights in doubles):
 ``w = floor(1000*ln((2N+2)/(2df+1)))``, ``m = 100-90+(90*n*N div L)``, ``score = sum w*(10**9*tf div (1000*tf+8*m))``
@@ -18,20 +21,25 @@ over the item's distinct terms.
 
 Defined results: a null text has no terms; a row without terms counts in neither N nor L and is never found. Each row
 is a document, so a repeated row is found as often as it repeats, in the order of doc_id. A null doc_id sorts after all
-others among equal scores. An item without terms finds nothing. Only ``doc_id`` and the text are read.
+others among equal scores. An item without terms finds nothing. Only ``doc_id`` and the text are read, however long.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Staged, table
+from stayline.llm.common import Staged, slices, table
 
 # Fixed values of the contract: the term pattern, the case rule, the constants of the score.
 TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,61 +50,86 @@ TOP = 10
 BUCKETS = 1024
 #: Items of a block sent to the executors: at most so many, and at most so many bytes of their terms.
 BLOCK_ITEMS, BLOCK_BYTES = 4096, 8 << 20
-#: Rows whose bounds are computed together.
-BATCH = 2048
+SLICE = 4 << 20
 LAST = 2**63 - 1
+_CASE = str.maketrans(UPPER, LOWER)
+_TERM = re.compile(TERMS)
+
+
+def terms(text: str | None) -> list[str]:
+    return _TERM.findall((text or "").translate(_CASE))
+
+
+def bucket(term: str, buckets: int = BUCKETS) -> int:
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) % buckets
+
+
+def weight(big_n: int, df: int) -> int:
+    return math.floor(1000.0 * math.log((2.0 * big_n + 2) / (2.0 * df + 1)))
 
 
-def terms(text: F.Column) -> F.Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERMS), 0)
+def stats(docs: DataFrame) -> tuple[int, int]:
+    """N (rows with a term) and L (all their terms)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            sizes = [len(terms(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(1 for n in sizes if n)]), pa.array([sum(sizes)])], ["N", "L"])
 
-def postings(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n (terms with repeats) and ``postings`` (term, tf) of each row, counted inside the row."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("t"))
-    sorted_terms = rows.select("row", "doc_id", F.size("t").alias("n"), F.array_sort("t").alias("s"))
-    ends = F.expr("if(n = 0, array(), filter(sequence(1, n), i -> i = n or element_at(s, i) != element_at(s, i + 1)))")
-    runs = F.expr("transform(e, (end, k) -> named_struct('term', element_at(s, end), 'tf', cast(end - if(k = 0, 0, element_at(e, k)) as long)))")
-    return sorted_terms.withColumn("e", ends).select("row", "doc_id", F.col("n").cast("long").alias("n"), runs.alias("postings"))
+    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "N long, L long").agg(F.sum("N"), F.sum("L")).first()
+    return int(got[0] or 0), int(got[1] or 0)
 
 
 def build(docs: DataFrame, staged: Staged, buckets: int = BUCKETS) -> tuple[DataFrame, int, int]:
-    """The index (row, doc_id, sketch of (bucket, top), entries of (term, impact) sorted by term), N and L."""
-    counted = staged.write(postings(docs), "postings")
-    stats = counted.agg(F.count_if(F.col("n") > 0).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
-    big_n, big_l = int(stats["N"]), int(stats["L"])
-    if big_n == 0:
-        empty = counted.sparkSession.createDataFrame([], "row long, doc_id long, sketch array<struct<bucket:int,top:long>>, entries array<struct<term:string,impact:long>>")
-        return empty, 0, 0
-    flat = counted.where("n > 0").select("row", "doc_id", "n", F.explode("postings").alias("p")).select("row", "doc_id", "n", "p.term", "p.tf")
-    weights = flat.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w")
-    )
-    m = F.expr(f"10 + cast(cast(90 as decimal(38,0)) * n * cast({big_n} as decimal(38,0)) div cast({big_l} as decimal(38,0)) as long)")
-    impact = F.col("w") * F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)")
-    weighted = flat.join(weights, "term").withColumn("m", m).select(
-        "row", "doc_id", "term", impact.alias("impact"), F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
-    ).repartition("row")
-    entries = weighted.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("term", "impact"))).alias("entries"))
-    sketch = weighted.groupBy("row", "bucket").agg(F.max("impact").alias("top")).groupBy("row").agg(F.collect_list(F.struct("bucket", "top")).alias("sketch"))
-    index = staged.write(entries.join(sketch, "row").select("row", "doc_id", "sketch", "entries"), "index")
-    staged.drop("postings")
-    return index, big_n, big_l
-
-
-def item_terms(items: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """item_id and its distinct terms with their buckets."""
-    found = items.select(F.col("item_id").cast("long").alias("item_id"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    return found.select("item_id", "term", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket"))
-
-
-def blocks(wanted: DataFrame) -> Iterator[list[tuple[int, list[str], list[int]]]]:
-    """Items with their terms and buckets, in blocks of at most ``BLOCK_ITEMS`` items and about ``BLOCK_BYTES``."""
-    grouped = wanted.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("term", "bucket"))).alias("t")).orderBy("item_id")
+    """The index (row, doc_id, m, terms sorted, tf, sketch buckets and maxima), N and L."""
+    big_n, big_l = stats(docs)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        seen = 0
+        for batch in slices(batches, "text", SLICE):
+            out = {k: [] for k in ("row", "doc_id", "m", "terms", "tf", "sketch_bucket", "sketch_top")}
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                seen += 1
+                found = terms(text)
+                if not found:
+                    continue
+                counted = sorted(Counter(found).items())
+                m = 10 + (90 * len(found) * big_n) // big_l
+                tf = np.array([c for _, c in counted], np.int64)
+                impact = (1_000_000_000 * tf) // (1000 * tf + 8 * m)
+                where = np.array([bucket(t, buckets) for t, _ in counted], np.int64)
+                top = np.zeros(buckets, np.int64)
+                np.maximum.at(top, where, impact)
+                used = np.nonzero(top)[0]
+                for key, value in (("row", first + seen), ("doc_id", doc_id), ("m", m), ("terms", [t for t, _ in counted]), ("tf", tf),
+                                   ("sketch_bucket", used.astype(np.int32)), ("sketch_top", top[used])):
+                    out[key].append(value)
+            yield pa.RecordBatch.from_pydict(out, schema=INDEX)
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    written = staged.write(read.mapInArrow(index, INDEX_DDL), "index")
+    return written, big_n, big_l
+
+
+INDEX = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("m", pa.int64()), ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int64())),
+                   ("sketch_bucket", pa.list_(pa.int32())), ("sketch_top", pa.list_(pa.int64()))])
+INDEX_DDL = "row long, doc_id long, m long, terms array<string>, tf array<long>, sketch_bucket array<int>, sketch_top array<long>"
+
+
+def item_terms(items: DataFrame) -> DataFrame:
+    """item_id and its distinct terms (in the JVM, by the same pattern)."""
+    found = F.regexp_extract_all(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER), F.lit(TERMS), 0)
+    return items.select(F.col("item_id").cast("long").alias("item_id"), F.explode(F.array_distinct(found)).alias("term"))
+
+
+def blocks(wanted: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
+    """Items with their terms, in blocks of at most ``BLOCK_ITEMS`` items and about ``BLOCK_BYTES``."""
+    grouped = wanted.groupBy("item_id").agg(F.sort_array(F.collect_list("term")).alias("t")).orderBy("item_id")
     block, size = [], 0
     for row in grouped.toLocalIterator():
-        block.append((row.item_id, [t.term for t in row.t], [t.bucket for t in row.t]))
-        size += sum(len(t.term) + 8 for t in row.t)
+        block.append((row.item_id, list(row.t)))
+        size += sum(len(t) + 8 for t in row.t)
         if len(block) >= BLOCK_ITEMS or size >= BLOCK_BYTES:
             yield block
             block, size = [], 0
@@ -104,28 +137,47 @@ def blocks(wanted: DataFrame) -> Iterator[list[tuple[int, list[str], list[int]]]
         yield block
 
 
-def search_block(index: DataFrame, block: list[tuple[int, list[str], list[int]]], buckets: int = BUCKETS, top: int = TOP) -> DataFrame:
+def frequencies(index: DataFrame, words: set[str]) -> dict[str, int]:
+    """Rows of the index holding each of ``words`` (a bounded set): a filter and a partial count in each task."""
+    shared = index.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, seen = shared.value, Counter()
+        for batch in batches:
+            for listed in batch.column("terms").to_pylist():
+                seen.update(t for t in listed if t in wanted)
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "df"])
+
+    counted = index.select("terms").mapInArrow(count, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return {r.term: int(r.df) for r in counted.collect()}  # at most one row per word of the block
+
+
+def search_block(index: DataFrame, block: list[tuple[int, list[str]]], big_n: int, buckets: int = BUCKETS, top: int = TOP) -> DataFrame:
     """item_id, row, doc_id, score: each task's ``top`` best rows of each item of ``block`` with a score above 0."""
-    counts = np.zeros((buckets, len(block)), np.float64)
-    for j, (_, _, bs) in enumerate(block):
-        np.add.at(counts[:, j], np.asarray(bs, np.int64), 1.0)
-    shared = index.sparkSession.sparkContext.broadcast(([b[0] for b in block], [b[1] for b in block], counts))
+    df = frequencies(index, {t for _, words in block for t in words})
+    weights = {t: weight(big_n, n) for t, n in df.items()}
+    matrix = np.zeros((buckets, len(block)), np.float64)
+    asked = []
+    for j, (_, words) in enumerate(block):
+        present = [(t, weights[t]) for t in words if weights.get(t, 0) > 0]  # absent terms and zero weights add nothing
+        for t, w in present:
+            matrix[bucket(t, buckets), j] += w
+        asked.append(present)
+    shared = index.sparkSession.sparkContext.broadcast(([b[0] for b in block], asked, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, item_words, matrix = shared.value
+        item_ids, item_words, bounds_of = shared.value
         best: list[list[tuple[int, int, int]]] = [[] for _ in item_ids]  # min-heaps of (score, -doc, -row)
         for batch in batches:
-            sketch = batch.column("sketch").flatten()
-            offsets = batch.column("sketch").offsets.to_numpy()
-            dense = np.zeros((batch.num_rows, buckets), np.float64)
+            places = batch.column("sketch_bucket")
+            offsets = places.offsets.to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            dense[owner, sketch.field("bucket").to_numpy()[: len(owner)]] = sketch.field("top").to_numpy()[: len(owner)]
-            bound = dense @ matrix  # rows x items; exact in doubles, impacts are far below 2**53
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            docs = np.where(batch.column("doc_id").is_null().to_numpy(zero_copy_only=False), LAST, docs)
-            rows = batch.column("row").to_numpy()
-            entries = batch.column("entries")
-            exact: dict[int, dict[str, int]] = {}
+            dense = np.zeros((batch.num_rows, buckets), np.float64)
+            dense[owner, places.values.to_numpy()[offsets[0] : offsets[-1]]] = batch.column("sketch_top").values.to_numpy()[offsets[0] : offsets[-1]]
+            bound = dense @ bounds_of  # rows x items; exact in doubles, far below 2**53
+            docs = np.where(batch.column("doc_id").is_null().to_numpy(zero_copy_only=False), LAST, batch.column("doc_id").fill_null(0).to_numpy())
+            rows, m = batch.column("row").to_numpy(), batch.column("m").to_numpy()
+            held: dict[int, dict[str, int]] = {}
             for j in range(len(item_ids)):
                 heap = best[j]
                 floor = heap[0][0] if len(heap) == top else 1
@@ -134,11 +186,11 @@ def search_block(index: DataFrame, block: list[tuple[int, list[str], list[int]]]
                 for at in candidates[np.argsort(-column[candidates], kind="stable")]:
                     if len(heap) == top and column[at] < heap[0][0]:
                         break
-                    impacts = exact.get(at)
-                    if impacts is None:
-                        one = entries[int(at)].values
-                        impacts = exact[at] = dict(zip(one.field("term").to_pylist(), one.field("impact").to_pylist(), strict=True))
-                    score = sum(impacts.get(t, 0) for t in item_words[j])
+                    counts = held.get(at)
+                    if counts is None:
+                        counts = held[at] = dict(zip(batch.column("terms")[int(at)].as_py(), batch.column("tf")[int(at)].as_py(), strict=True))
+                    mm = int(m[at])
+                    score = sum(w * ((1_000_000_000 * counts[t]) // (1000 * counts[t] + 8 * mm)) for t, w in item_words[j] if t in counts)
                     if score <= 0:
                         continue
                     key = (score, -int(docs[at]), -int(rows[at]))
@@ -158,12 +210,10 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, buckets: int = BUC
     spark = docs.sparkSession
     staged = Staged(spark, "search")
     index, big_n, _ = build(docs, staged, buckets)
-    schema = "item_id long, row long, doc_id long, score long"
-    found = spark.createDataFrame([], schema)
+    found = spark.createDataFrame([], "item_id long, row long, doc_id long, score long")
     if big_n:
-        parts = [staged.write(search_block(index, block, buckets, top), f"found-{n}") for n, block in enumerate(blocks(item_terms(items, buckets)))]
-        for part in parts:
-            found = found.unionByName(part)
+        for n, block in enumerate(blocks(item_terms(items))):
+            found = found.unionByName(staged.write(search_block(index, block, big_n, buckets, top), f"found-{n}"))
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("item_id", "rank", "doc_id", "score")

@@ -49,7 +49,8 @@ MAX_BLOCKS = 2048
 def features(docs: DataFrame, column: str = "text") -> DataFrame:
     """doc_id, n_words and ``buckets`` (array<int>): the bucket of each 1-, 2- and 3-word feature, repeats kept."""
     words = F.regexp_extract_all(F.translate(F.coalesce(F.col(column).cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORDS), 0)
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w")).withColumn("n", F.size("w"))
+    # the words pass through a generator, so the optimizer cannot copy the pattern match into every lambda call below
+    found = docs.select(F.inline(F.array(F.struct(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w"))))).withColumn("n", F.size("w"))
     grams = F.expr(
         "concat(w, transform(slice(w, 1, greatest(n - 1, 0)), (x, i) -> concat(x, ' ', w[i + 1])),"
         " transform(slice(w, 1, greatest(n - 2, 0)), (x, i) -> concat(x, ' ', w[i + 1], ' ', w[i + 2])))"

@@ -16,7 +16,7 @@ from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AS_OF, AfterSales
 from stayline.sources.tables import register
-from stayline.streaming import refresh, service_feed
+from stayline.streaming import compaction, refresh, service_feed
 
 Plan = Callable[[AfterSales], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -564,6 +564,14 @@ def _stream_refresh(t: AfterSales) -> DataFrame:
     return refresh.latest(t.spark.read.parquet(table)).select("application_number", "decision", "row_idx")
 
 
+@named("stream_compacted")
+def _stream_compacted(t: AfterSales) -> DataFrame:
+    folder, checkpoint = staged_path(t.spark, "decisions"), staged_path(t.spark, "decisions-checkpoint")
+    compaction.compact(t.decision_versions(t.stream("orders")), folder, checkpoint).awaitTermination()
+    schema = "application_number string, decision string, published_at timestamp, row_idx bigint"
+    return compaction.current(t.spark, folder, schema).select("application_number", "decision", "row_idx")
+
+
 @named("stream_service_windows")
 def _stream_windows(t: AfterSales) -> DataFrame:
     table, checkpoint = staged_path(t.spark, "visits"), staged_path(t.spark, "visits-checkpoint")

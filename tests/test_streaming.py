@@ -34,3 +34,34 @@ def test_windows_ignore_repeats_and_wait_for_the_watermark(spark, rows):
     assert rows(spark.read.parquet(table), "visits", "cancelled", "billed") == [(2, 1, 12.0)]
     batch = service_feed.windowed_visits(spark.read.parquet(source))
     assert batch.count() == 2
+
+
+def test_compaction_publishes_whole_versions_once(spark, rows):
+    from stayline.streaming import compaction
+
+    folder = staged_path(spark, "compacted")
+    day = lambda n: dt.datetime(2020, 1, n)
+    batch = lambda *data: spark.createDataFrame(data, VERSION)
+    compaction.merge_batch(batch(("1", "Pending", day(1), 1), ("2", "Refused", day(2), 2)), 0, folder, parts=4)
+    compaction.merge_batch(batch(("1", "Approved", day(3), 1), ("3", "Pending", day(1), 3)), 1, folder, parts=4)
+    compaction.merge_batch(batch(("1", "Refused", day(2), 7)), 1, folder, parts=4)  # a replay of batch 1: nothing happens
+    # batch 2 failed before its manifest: its folder is there, unpublished, and the replay writes it again
+    batch(("2", "Approved", day(9), 2)).write.parquet(f"{folder}/batch-{2:012d}/part=0")
+    assert compaction.manifest(spark, folder)["batch"] == 1
+    compaction.merge_batch(batch(("2", "Approved", day(5), 2), ("4", "Refused", day(1), 4)), 2, folder, parts=4)
+    got = compaction.current(spark, folder, VERSION)
+    assert rows(got, "application_number", "decision") == [("1", "Approved"), ("2", "Approved"), ("3", "Pending"), ("4", "Refused")]
+    assert got.count() == 4
+    assert compaction.published(spark, folder) == [1, 2]  # older manifests are deleted, the previous one is kept
+    assert compaction.manifest(spark, folder, 1)["batch"] == 1
+
+
+def test_compaction_as_a_stream(spark, rows):
+    from stayline.streaming import compaction
+
+    source, folder, checkpoint = (staged_path(spark, n) for n in ("in", "compacted", "ckpt"))
+    day = lambda n: dt.datetime(2020, 1, n)
+    for data in ([("1", "Pending", day(1), 1), ("2", "Refused", day(2), 2)], [("1", "Approved", day(3), 1), ("2", "Pending", day(1), 9)]):
+        spark.createDataFrame(data, VERSION).write.mode("append").parquet(source)
+        compaction.compact(spark.readStream.schema(VERSION).parquet(source), folder, checkpoint, parts=3).awaitTermination()
+    assert rows(compaction.current(spark, folder, VERSION), "application_number", "decision") == [("1", "Approved"), ("2", "Refused")]

@@ -14,9 +14,9 @@ from stayline.operators import chains, checks, identity, lookup, privacy, qualit
 from stayline.plans import air, catalog, features, history, models, publish, rules, view360
 from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
-from stayline.sources.projection import AS_OF, AfterSales
+from stayline.sources.projection import AS_OF, AfterSales, _vin
 from stayline.sources.tables import register
-from stayline.streaming import compaction, refresh, service_feed
+from stayline.streaming import compaction, outreach, refresh, service_feed
 
 Plan = Callable[[AfterSales], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -572,6 +572,24 @@ def _stream_compacted(t: AfterSales) -> DataFrame:
     return compaction.current(t.spark, folder, schema).select("application_number", "decision", "row_idx")
 
 
+def _visit_events(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
+        F.concat_ws("-", F.concat(F.lit("SMR"), F.col("l_orderkey").cast("string")), "l_linenumber", "l_partkey", "l_suppkey",
+                    F.col("l_shipdate").cast("date").cast("string"), "l_returnflag").alias("smr_id"),
+        _vin(F.col("l_orderkey")).alias("vin"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        (F.col("l_returnflag") == "R").alias("cancelled"),
+    )
+
+
+@named("stream_outreach")
+def _stream_outreach(t: AfterSales) -> DataFrame:
+    table, checkpoint = staged_path(t.spark, "outreach"), staged_path(t.spark, "outreach-checkpoint")
+    outreach.run(_visit_events(t.stream("lineitem")), table, checkpoint).awaitTermination()
+    delivered = t.spark.read.schema(outreach.OUTPUT).parquet(table)
+    return delivered.unionByName(outreach.undecided(_visit_events(t.raw("lineitem")), delivered))
+
+
 @named("stream_service_windows")
 def _stream_windows(t: AfterSales) -> DataFrame:
     table, checkpoint = staged_path(t.spark, "visits"), staged_path(t.spark, "visits-checkpoint")

@@ -65,3 +65,32 @@ def test_compaction_as_a_stream(spark, rows):
         spark.createDataFrame(data, VERSION).write.mode("append").parquet(source)
         compaction.compact(spark.readStream.schema(VERSION).parquet(source), folder, checkpoint, parts=3).awaitTermination()
     assert rows(compaction.current(spark, folder, VERSION), "application_number", "decision") == [("1", "Approved"), ("2", "Refused")]
+
+
+def test_outreach_stream_equals_the_rule(spark, rows):
+    from stayline.streaming import outreach
+
+    source, table, checkpoint = (staged_path(spark, n) for n in ("events", "outreach", "ckpt"))
+    schema = "smr_id string, vin string, ts timestamp, cancelled boolean"
+    at = lambda d, h=0: dt.datetime(2020, 1, d, h)
+    batches = [
+        [("a", "V1", at(1), True), ("b", "V1", at(2), False),  # V1 came back within 48 h: no outreach
+         ("c", "V2", at(1), True), ("d", "V2", at(3, 1), False),  # V2 came back after 49 h: outreach
+         ("e", "V3", at(2), True)],
+        [("e", "V3", at(2), True), ("f", "V3", at(3), True),  # a repeat; V3's next visit is itself cancelled
+         ("g", "V4", at(4), True), ("h", "V1", at(1, 12), False)],  # h arrives late, within the lateness
+        [("z", "V9", at(20), False)],  # moves the watermark past all of them
+    ]
+    events = []
+    for data in batches:
+        spark.createDataFrame(data, schema).write.mode("append").parquet(source)
+        outreach.run(spark.readStream.schema(schema).parquet(source), table, checkpoint).awaitTermination()
+        events += data
+    delivered = spark.read.schema(outreach.OUTPUT).parquet(table)
+    every = spark.createDataFrame(events, schema)
+    whole = delivered.unionByName(outreach.undecided(every, delivered))
+    want = [("V2", "c"), ("V3", "f"), ("V4", "g")]
+    assert rows(outreach.needing_outreach(every), "vin", "smr_id") == want
+    assert rows(whole, "vin", "smr_id") == want
+    assert rows(delivered, "vin", "smr_id") == want  # all three decided by the stream itself once the watermark passed
+    assert rows(whole, "smr_id", "due_at") == [("c", at(3)), ("f", at(5)), ("g", at(6))]

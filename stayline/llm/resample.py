@@ -1,9 +1,9 @@
 """Importance resampling towards a target distribution: hashed n-gram weights, then a distributed LSD radix sort.
 
 Weights. A text's features are its runs of 1 to 3 words; each falls into one of ``BUCKETS`` buckets by its CRC-32.
-Bucket counts of the corpus and of the target texts (the benchmark) are one partially aggregated count each, at most
+Bucket counts of the corpus and of the target texts (the benchmark) are counted in each task and merged, at most
 ``BUCKETS`` rows; their log ratio is the gain of a bucket, an array of fixed size sent to every task. A document's
-weight is the sum of the gains of its features: one gather and one segmented sum over the batch's buckets (numpy).
+weight is the sum of the gains of its features: one gather over the array of its buckets (numpy).
 Its score adds Gumbel noise from a hash of its doc_id, so the highest scores are a draw without replacement.
 
 Ranking (LSD radix sort). Eligible documents are keyed by (score descending, doc_id ascending) as two unsigned
@@ -22,6 +22,8 @@ get a score but are never drawn. Of N eligible documents floor(5N/100) are drawn
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Staged, table
+from stayline.llm.common import Staged, slices, table
 
 # Fixed values of the contract: word pattern, case rule, buckets, seed, share drawn and the length to be eligible.
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,27 +46,43 @@ MIN_WORDS = 20
 DIGIT = 8
 BLOCK_ROWS = 1 << 20
 MAX_BLOCKS = 2048
+#: Bytes of text a Python batch holds.
+SLICE = 4 << 20
 
 
-def features(docs: DataFrame, column: str = "text") -> DataFrame:
-    """doc_id, n_words and ``buckets`` (array<int>): the bucket of each 1-, 2- and 3-word feature, repeats kept."""
-    words = F.regexp_extract_all(F.translate(F.coalesce(F.col(column).cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORDS), 0)
-    # the words pass through a generator, so the optimizer cannot copy the pattern match into every lambda call below
-    found = docs.select(F.inline(F.array(F.struct(F.col("doc_id").cast("long").alias("doc_id"), words.alias("w"))))).withColumn("n", F.size("w"))
-    grams = F.expr(
-        "concat(w, transform(slice(w, 1, greatest(n - 1, 0)), (x, i) -> concat(x, ' ', w[i + 1])),"
-        " transform(slice(w, 1, greatest(n - 2, 0)), (x, i) -> concat(x, ' ', w[i + 1], ' ', w[i + 2])))"
-    )
-    buckets = F.transform(grams, lambda f: (F.crc32(f.cast("binary")) % BUCKETS).cast("int"))
-    return found.select("doc_id", F.col("n").cast("long").alias("n_words"), buckets.alias("buckets"))
+_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_WORD = re.compile(WORDS.encode())
 
 
-def histogram(featured: DataFrame) -> tuple[np.ndarray, int]:
-    """Features per bucket (``BUCKETS`` counts) and their total."""
-    counted = featured.select(F.explode("buckets").alias("b")).groupBy("b").count().collect()  # at most BUCKETS rows
+def feature_buckets(text: str | None) -> tuple[int, np.ndarray]:
+    """Words and the bucket of each 1-, 2- and 3-word feature of a text, repeats kept.
+
+    The pattern excludes only ASCII, so on UTF-8 bytes it finds the same words as on characters. A longer feature's
+    CRC-32 continues its prefix's over a space and the next word, so no feature text is built.
+    """
+    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    one = [zlib.crc32(w) for w in words]
+    spaced = [b" " + w for w in words]
+    two = [zlib.crc32(s, c) for s, c in zip(spaced[1:], one, strict=False)]
+    three = [zlib.crc32(s, c) for s, c in zip(spaced[2:], two, strict=False)]
+    return len(words), np.array(one + two + three, np.int64) % BUCKETS
+
+
+def histogram(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Features per bucket (``BUCKETS`` counts) and their total; each task sends one count per bucket it saw."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in slices(batches, "text", SLICE):
+            for text in batch.column("text").to_pylist():
+                counts += np.bincount(feature_buckets(text)[1], minlength=BUCKETS)
+        seen = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], ["b", "n"])
+
+    read = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "b int, n long")
     counts = np.zeros(BUCKETS, np.int64)
-    for row in counted:
-        counts[row["b"]] = row["count"]
+    for row in read.groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
+        counts[row["b"]] = row["n"]
     return counts, int(counts.sum())
 
 
@@ -75,24 +93,22 @@ def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.floor(1000.0 * np.log(ratio)).astype(np.int64)
 
 
-def weights(featured: DataFrame, gain: np.ndarray) -> DataFrame:
-    """doc_id, n_words, n_features, weight: the sum of the gains of each row's features, a gather and segmented sum."""
-    shared = featured.sparkSession.sparkContext.broadcast(gain)  # BUCKETS numbers
+def weights(docs: DataFrame, gain: np.ndarray) -> DataFrame:
+    """doc_id, n_words, n_features, weight: the sum of the gains of each row's features, one gather a text."""
+    shared = docs.sparkSession.sparkContext.broadcast(gain)  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_of_gains = shared.value
-        for batch in batches:
-            listed = pa.compute.fill_null(batch.column("buckets"), pa.scalar([], batch.column("buckets").type))
-            offsets = listed.offsets.to_numpy().astype(np.int64)
-            values = listed.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            scored = np.concatenate([[0], np.cumsum(table_of_gains[values])])
-            ends = offsets - offsets[0]
+        for batch in slices(batches, "text", SLICE):
+            found = [feature_buckets(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_words"), pa.array(np.diff(ends)), pa.array(scored[ends[1:]] - scored[ends[:-1]])],
+                [batch.column("doc_id"), pa.array([n for n, _ in found], pa.int64()), pa.array([len(b) for _, b in found], pa.int64()),
+                 pa.array([int(table_of_gains[b].sum()) for _, b in found], pa.int64())],
                 ["doc_id", "n_words", "n_features", "weight"],
             )
 
-    return featured.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return read.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
 
 def noise(doc_id: F.Column) -> F.Column:
@@ -137,10 +153,9 @@ def resample(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """doc_id, n_features, weight, score and rank (1.. in drawn order, null if not drawn) of every row of ``docs``."""
     spark = docs.sparkSession
     staged = Staged(spark, "resample")
-    featured = features(docs)
-    corpus, _ = histogram(featured)
-    target, _ = histogram(features(targets))
-    scored = weights(featured, gains(corpus, target)).withColumn("score", F.col("weight") + noise(F.col("doc_id")))
+    corpus, _ = histogram(docs)
+    target, _ = histogram(targets)
+    scored = weights(docs, gains(corpus, target)).withColumn("score", F.col("weight") + noise(F.col("doc_id")))
     kept = staged.write(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     eligible = kept.where((F.col("n_words") >= MIN_WORDS) & F.col("doc_id").isNotNull())
     stats = eligible.agg(F.count("*").alias("n"), F.max("score").alias("top"), F.min("doc_id").alias("low")).first()

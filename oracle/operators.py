@@ -227,6 +227,7 @@ def _hash(name: str, source: str) -> str:
 _LEAK_TEXTS = {
     "leaky": """
 SELECT s.* REPLACE (CASE WHEN CAST(s.cust_id[5:] AS BIGINT) % 97 = 0 THEN 'c/o ' || p.cust_name || ', desk'
+    WHEN CAST(s.cust_id[5:] AS BIGINT) % 89 = 0 THEN 'x_' || p.cust_name || 's'
     ELSE s.sales_poc END AS sales_poc) FROM sales s JOIN pii_vault p USING (cust_id)""",
     "texts": "SELECT table_name, column_name, txt, count(*) AS n FROM (" + _union([
         f"SELECT '{shown}' AS table_name, unnest({words(cols)}) AS column_name, unnest([{', '.join(cols)}]) AS txt "

@@ -13,6 +13,8 @@ from stayline.schemas import TABLES
 
 SAFE_TABLES = ["sales", "service", "insurance", "churn_features", "churn_scores"]
 LEAST_NAME_LENGTH = 4
+#: Characters of the substrings that key the leak scan; at most LEAST_NAME_LENGTH, so every name has one.
+GRAM = 4
 
 
 def vault(raw: DataFrame) -> DataFrame:
@@ -54,14 +56,10 @@ def erase(pii: DataFrame, requests: DataFrame) -> DataFrame:
     return pii.join(requests.select("cust_id").distinct(), "cust_id", "left_anti")
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
-
-
 def _text_values(df: DataFrame, table: str, least_length: Column) -> DataFrame:
     """The distinct texts of each text column with their row counts: repeats are summed before the shuffle.
 
-    Texts shorter than the shortest name cannot hold one and are dropped at once.
+    Texts shorter than the shortest name that is looked for cannot hold one and are dropped at once.
     """
     names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     cells = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("text")) for n in names])
@@ -74,46 +72,36 @@ def _text_values(df: DataFrame, table: str, least_length: Column) -> DataFrame:
     )
 
 
+def _grams(text: Column, q: int) -> Column:
+    """The distinct substrings of ``q`` characters of a (materialised) text; none if it is shorter."""
+    count = F.length(text) - q + 1
+    every = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(text, i, q))
+    return F.when(count > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+
+
 def leak_scan(pii: DataFrame, tables: Mapping[str, DataFrame], names: list[str] | None = None) -> DataFrame:
-    """Raw vault names found in the text columns of the given tables, with the number of rows that hold them.
+    """Raw vault names found anywhere inside the text columns of the given tables, with the number of rows that hold them.
 
-    A name matches on word boundaries. Distinct names and distinct texts meet on one or two consecutive
-    words (the first two of the name), and the whole name is then looked for in the text, so names of any
-    length are handled and no name is compared with every text. Single words are tried only if the vault has
-    names of a single word.
+    A name is found as a substring, also inside a longer word (``x_Rahul Sharmas``). Texts are reduced to distinct
+    values first and cut into their substrings of ``GRAM`` characters; each name is joined only on its rarest such
+    substring (the one held by the fewest texts), and the whole name is then looked for in the texts that hold it.
+    A name with a substring that no text holds is in no text and is dropped before the join. No name meets every text.
     """
-    people = (
-        pii.select(F.col("cust_name").alias("name"))
-        .where(F.length("name") >= LEAST_NAME_LENGTH)
-        .distinct()
-        .withColumn("_nw", _words(F.col("name")))
-        .where(F.size("_nw") > 0)
-        .select(
-            "name", F.array_join("_nw", " ").alias("_whole"), F.array_join(F.slice("_nw", 1, 2), " ").alias("_key")
-        )
+    people = pii.select(F.col("cust_name").alias("name")).where(F.length("name") >= LEAST_NAME_LENGTH).distinct()
+    texts = reduce(DataFrame.unionByName, [_text_values(tables[n], n, F.lit(LEAST_NAME_LENGTH)) for n in names or list(tables)])
+    pieces = texts.select("table_name", "column_name", "text", "rows", F.explode(_grams(F.col("text"), GRAM)).alias("gram"))
+    held = pieces.groupBy("gram").agg(F.count("*").alias("texts"))
+    keyed = people.select("name", F.explode(_grams(F.col("name"), GRAM)).alias("gram"), F.size(_grams(F.col("name"), GRAM)).alias("all"))
+    rarest = (
+        keyed.join(held, "gram")
+        .groupBy("name")
+        .agg(F.count("*").alias("found"), F.max("all").alias("all"), F.min_by("gram", F.struct("texts", "gram")).alias("gram"))
+        .where(F.col("found") == F.col("all"))
+        .select("gram", "name")
     )
-    shortest = people.agg(F.min(F.length("_whole")).alias("n")).scalar()
-    has_single = people.agg(F.bool_or(~F.col("_key").contains(" ")).alias("b")).scalar()
-    texts = reduce(
-        DataFrame.unionByName, [_text_values(tables[n], n, shortest) for n in names or list(tables)]
-    )
-    word = F.col("_w")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(word) - 1, F.lit(1))),
-        lambda i: F.array_join(F.slice(word, i, F.lit(2)), " "),
-    )
-    keys = F.when(has_single, F.concat(word, pairs)).otherwise(pairs)
-    shingled = (
-        texts.withColumn("_w", _words(F.col("text")))
-        .where(F.size("_w") > 0)
-        .withColumn("_all", F.array_join("_w", " "))
-        .withColumn("_key", F.explode(F.array_distinct(keys)))
-        .drop("_w")
-    )
-    padded = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
     return (
-        shingled.join(people, "_key")
-        .where(F.contains(padded("_all"), padded("_whole")))
+        pieces.join(rarest, "gram")
+        .where(F.col("text").contains(F.col("name")))
         .groupBy("table_name", "column_name", "name")
         .agg(F.sum("rows").alias("leaked_rows"))
-    )
+    )
\ No newline at end of file

@@ -493,13 +493,15 @@ class AfterSales:
 
     @cached_property
     def leaky_sales(self) -> DataFrame:
-        """Sales in which some sales contacts were replaced by the customer's raw name."""
+        """Sales in which some sales contacts were replaced by the customer's raw name, some inside a longer word."""
         number = F.substring("cust_id", 5, 20).cast("bigint")
         return (
             self.sales.join(self.pii_vault.select("cust_id", "cust_name"), "cust_id")
             .withColumn(
                 "sales_poc",
-                F.when(number % 97 == 0, F.concat(F.lit("c/o "), F.col("cust_name"), F.lit(", desk"))).otherwise(F.col("sales_poc")),
+                F.when(number % 97 == 0, F.concat(F.lit("c/o "), F.col("cust_name"), F.lit(", desk")))
+                .when(number % 89 == 0, F.concat(F.lit("x_"), F.col("cust_name"), F.lit("s")))  # inside a longer word
+                .otherwise(F.col("sales_poc")),
             )
             .drop("cust_name")
         )

@@ -152,11 +152,12 @@ def test_fallback_match_keeps_every_row(spark, rows):
 def test_leak_scan_handles_names_of_any_length(spark, rows):
     vault = spark.createDataFrame([("Rahul Sharma",), ("Prince",), ("Anna Maria von Berg",), ("Bo",)], "cust_name string")
     facts = spark.createDataFrame(
-        [("call Rahul Sharma now", "x"), ("Rahul K. Sharma", "Bo"), ("Prince", "y"), ("Anna Maria Berg", "y"), ("to Anna Maria von Berg.", "y"), ("Prince", "z")],
+        [("call Rahul Sharma now", "x"), ("Rahul K. Sharma", "Bo"), ("Prince", "y"), ("Anna Maria Berg", "y"), ("to Anna Maria von Berg.", "y"), ("Prince", "z"),
+         ("x_Rahul Sharmas", None), (None, "Princess")],
         "note string, other string",
     )
     assert rows(privacy.leak_scan(vault, {"f": facts})) == [
-        ("f", "note", "Anna Maria von Berg", 1), ("f", "note", "Prince", 2), ("f", "note", "Rahul Sharma", 1)
+        ("f", "note", "Anna Maria von Berg", 1), ("f", "note", "Prince", 2), ("f", "note", "Rahul Sharma", 2), ("f", "other", "Prince", 1)
     ]
 
 

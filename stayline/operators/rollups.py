@@ -59,24 +59,55 @@ def shared_keys(bridge: DataFrame, key: str, other: str) -> DataFrame:
     )
 
 
-def median_by(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Exact median per group from a value-frequency table.
+#: Buckets of a selection round, and the values of one target rank that may be sorted in one task.
+SELECT_BUCKETS = 1024
+SELECT_TAIL = 100_000
 
-    Counting equal values first leaves one row per distinct value and group for the running sum, so a group
-    that holds most of the rows costs no more than its distinct values. ``value`` should be discrete
-    (whole rupees); for continuous data use ``percentile_approx``.
+
+def median_by(df: DataFrame, group: list[str], value: str, buckets: int = SELECT_BUCKETS, tail: int = SELECT_TAIL) -> DataFrame:
+    """Exact median per group, also of continuous values, by distributed selection.
+
+    The median is the mean of the values at ranks floor((n+1)/2) and floor((n+2)/2). Each rank starts with the
+    group's whole range. A round counts the values in each open interval in ``buckets`` equal-width buckets (an
+    aggregate of at most groups x 2 x buckets rows) and narrows the interval to the smallest and largest value of
+    the bucket that holds the rank; the bucket is monotone in the value, so the counts below stay exact. An interval
+    of one value is its answer; one of at most ``tail`` values is sorted in one task. Widths shrink by ``buckets`` a
+    round until they reach the spacing of doubles, so few rounds are needed, and no group is ever gathered whole.
+    Null values are left out; a group without values has no row.
     """
     from pyspark.sql import Window
 
-    running = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    upto, total = F.col("_upto"), F.col("_total")
-    lower, upper = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
-    ranked = counted.withColumn("_upto", F.sum("_n").over(running)).withColumn("_total", F.sum("_n").over(whole))
-    holds = lambda pos: (upto >= pos) & (upto - F.col("_n") < pos)
-    return ranked.groupBy(*group).agg(
-        ((F.max(F.when(holds(lower), F.col(value))) + F.max(F.when(holds(upper), F.col(value)))) / 2.0).alias(
-            f"median_{value}"
-        )
+    from stayline.session import stage
+
+    spark = df.sparkSession
+    data = stage(df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v")), "median-values")
+    sizes = data.groupBy(*group).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ranks = F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2))
+    targets = stage(
+        sizes.select(*group, F.posexplode(ranks).alias("_t", "_k"), "_lo", "_hi", F.col("_n").alias("_in"), F.lit(0).cast("long").alias("_below")),
+        "median-targets",
     )
+    keys = [*group, "_t"]
+    while True:
+        open_ = targets.where((F.col("_lo") < F.col("_hi")) & (F.col("_in") > tail))
+        if open_.isEmpty():
+            break
+        width = F.col("_hi") - F.col("_lo")
+        bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
+        inside = data.join(open_, group).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        counted = inside.groupBy(*keys, bucket.alias("_b")).agg(F.count("*").alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
+        upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most `buckets` rows
+        placed = counted.join(open_.select(*keys, "_k", "_below"), keys).withColumn("_upto", F.col("_below") + F.sum("_c").over(upto))
+        chosen = placed.where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k"))).select(
+            *keys, F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_c").alias("_in"), (F.col("_upto") - F.col("_c")).alias("_below")
+        )
+        targets = stage(
+            targets.join(chosen.select(*keys), keys, "left_anti").unionByName(chosen.join(targets.select(*keys, "_k"), keys)),
+            "median-targets",
+        )
+    single = targets.where(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").alias("_x"))
+    few = targets.where(F.col("_lo") < F.col("_hi"))
+    within = data.join(few, group).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    order = Window.partitionBy(*keys).orderBy("_v")  # at most `tail` rows a target
+    picked = within.withColumn("_at", F.col("_below") + F.row_number().over(order)).where(F.col("_at") == F.col("_k")).select(*keys, F.col("_v").alias("_x"))
+    return single.unionByName(picked).groupBy(*group).agg((F.sum("_x") / 2.0).alias(f"median_{value}"))
\ No newline at end of file

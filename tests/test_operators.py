@@ -269,3 +269,18 @@ def test_long_prefixed_numbers_are_not_cut(spark):
 
     table = spark.createDataFrame([("IRL" + "1" * 1_000_001,)], "raw string")
     assert "1000001" in with_number_check(table, "raw").first().error_msg
+
+
+def test_median_by_selection_rounds(spark):
+    import random
+    import statistics
+
+    random.seed(5)
+    data = [("hot", random.random() * 1e6) for _ in range(3000)]  # a large group of continuous values
+    data += [("ties", float(random.choice([1, 2, 2, 3]))) for _ in range(501)]
+    data += [("same", 7.25)] * 40 + [("one", -3.5), ("pair", 1.0), ("pair", 2.0), ("tiny", 1e-300), ("tiny", 2e-300), ("tiny", 3e-300)]
+    data += [("nulls", None), ("hot", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r.g: r.median_v for r in rollups.median_by(df, ["g"], "v", buckets=4, tail=5).collect()}
+    want = {g: statistics.median([v for h, v in data if h == g and v is not None]) for g in {h for h, v in data if v is not None}}
+    assert got == want

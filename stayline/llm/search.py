@@ -5,9 +5,9 @@ the document (``g = 10**9*tf div (1000*tf+8*m)``, from the term's count and the
 negative, so an item's score on a document is at most the sum, over the item's terms, of the term's weight times the
 largest impact of any of the document's terms in the term's hash bucket.
 
-Index (query-independent, no shuffle). One pass counts terms per row for the corpus's N and L (two numbers). A second
-pass gives every row, in its own task, its sorted terms with their counts and the sketch: the impacts folded into their
-maxima per hash bucket. The index is written once.
+Index (query-independent, no shuffle). One pass gives every row, in its own task, its sorted terms with their counts
+and the sketch: the counts folded into their maxima per hash bucket. Impacts grow with the count, so the sketch's
+impact in a bucket is the largest impact of its terms once N and L (read from the index) fix the length norm.
 
 Search (batched). Items go in blocks of bounded size to the executors. The document frequencies of a block's terms
 are counted over the index (a filter and a partial count, one row per term), which gives their weights; the block
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,53 +69,68 @@ def weight(big_n: int, df: int) -> int:
     return math.floor(1000.0 * math.log((2.0 * big_n + 2) / (2.0 * df + 1)))
 
 
-def stats(docs: DataFrame) -> tuple[int, int]:
-    """N (rows with a term) and L (all their terms)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
-            sizes = [len(terms(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([sum(1 for n in sizes if n)]), pa.array([sum(sizes)])], ["N", "L"])
-
-    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "N long, L long").agg(F.sum("N"), F.sum("L")).first()
-    return int(got[0] or 0), int(got[1] or 0)
-
-
 def build(docs: DataFrame, staged: Staged, buckets: int = BUCKETS) -> tuple[DataFrame, int, int]:
-    """The index (row, doc_id, m, terms sorted, tf, sketch buckets and maxima), N and L."""
-    big_n, big_l = stats(docs)
+    """The index (row, doc_id, n, terms sorted, tf, sketch buckets and their largest tf), N and L.
+
+    ``g`` grows with tf, so the largest tf of a bucket gives its largest impact once N and L are known; the index
+    needs no corpus statistics, and N and L are read from it.
+    """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
         seen = 0
         for batch in slices(batches, "text", SLICE):
-            out = {k: [] for k in ("row", "doc_id", "m", "terms", "tf", "sketch_bucket", "sketch_top")}
+            vocab: dict[str, int] = {}
+            rows, ids, counts, sizes, doc_ids = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 seen += 1
                 found = terms(text)
                 if not found:
                     continue
                 counted = sorted(Counter(found).items())
-                m = 10 + (90 * len(found) * big_n) // big_l
-                tf = np.array([c for _, c in counted], np.int64)
-                impact = (1_000_000_000 * tf) // (1000 * tf + 8 * m)
-                where = np.array([bucket(t, buckets) for t, _ in counted], np.int64)
-                top = np.zeros(buckets, np.int64)
-                np.maximum.at(top, where, impact)
-                used = np.nonzero(top)[0]
-                for key, value in (("row", first + seen), ("doc_id", doc_id), ("m", m), ("terms", [t for t, _ in counted]), ("tf", tf),
-                                   ("sketch_bucket", used.astype(np.int32)), ("sketch_top", top[used])):
-                    out[key].append(value)
-            yield pa.RecordBatch.from_pydict(out, schema=INDEX)
+                rows.append(first + seen)
+                doc_ids.append(doc_id)
+                sizes.append(len(found))
+                ids.append([vocab.setdefault(t, len(vocab)) for t, _ in counted])
+                counts.append([c for _, c in counted])
+            where = np.array([bucket(t, buckets) for t in vocab], np.int64)
+            lengths = np.array([len(i) for i in ids], np.int64)
+            owner = np.repeat(np.arange(len(ids)), lengths)
+            flat_ids = np.fromiter((i for one in ids for i in one), np.int64, int(lengths.sum()))
+            flat_tf = np.fromiter((c for one in counts for c in one), np.int64, int(lengths.sum()))
+            top = np.zeros(len(ids) * buckets, np.int64)
+            np.maximum.at(top, owner * buckets + where[flat_ids], flat_tf)
+            filled = np.nonzero(top)[0]
+            per_row = np.bincount(filled // buckets, minlength=len(ids))
+            offsets = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)
+            names = list(vocab)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows, pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(sizes, pa.int64()),
+                pa.array([[names[i] for i in one] for one in ids], pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array((filled % buckets).astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(top[filled])),
+            ], schema=INDEX)
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     written = staged.write(read.mapInArrow(index, INDEX_DDL), "index")
-    return written, big_n, big_l
+    got = written.agg(F.count("*"), F.sum("n")).first()
+    return written, int(got[0] or 0), int(got[1] or 0)
+
+
+INDEX = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int64())),
+                   ("sketch_bucket", pa.list_(pa.int32())), ("sketch_tf", pa.list_(pa.int64()))])
+INDEX_DDL = "row long, doc_id long, n long, terms array<string>, tf array<long>, sketch_bucket array<int>, sketch_tf array<long>"
+
+
+def lengths_norm(n: np.ndarray, big_n: int, big_l: int) -> np.ndarray:
+    """m = 10 + (90*n*N div L), exact also where 90*n*N passes 64 bits."""
+    if len(n) and 90 * int(n.max()) * big_n >= 2**63:
+        return np.array([10 + (90 * int(x) * big_n) // big_l for x in n], np.int64)
+    return 10 + (90 * n * big_n) // big_l
 
 
-INDEX = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("m", pa.int64()), ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int64())),
-                   ("sketch_bucket", pa.list_(pa.int32())), ("sketch_top", pa.list_(pa.int64()))])
-INDEX_DDL = "row long, doc_id long, m long, terms array<string>, tf array<long>, sketch_bucket array<int>, sketch_top array<long>"
+def impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -137,60 +153,82 @@ def blocks(wanted: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
         yield block
 
 
-def frequencies(index: DataFrame, words: set[str]) -> dict[str, int]:
-    """Rows of the index holding each of ``words`` (a bounded set): a filter and a partial count in each task."""
+def frequencies(index: DataFrame, words: list[str]) -> dict[str, int]:
+    """Rows of the index holding each of ``words`` (a bounded list): a filter and a partial count in each task."""
     shared = index.sparkSession.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, seen = shared.value, Counter()
+        wanted = pa.array(shared.value, pa.string())
         for batch in batches:
-            for listed in batch.column("terms").to_pylist():
-                seen.update(t for t in listed if t in wanted)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "df"])
+            flat = batch.column("terms").flatten()
+            counted = pa.compute.value_counts(flat.filter(pa.compute.is_in(flat, value_set=wanted)))
+            yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], ["term", "df"])
 
     counted = index.select("terms").mapInArrow(count, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
     return {r.term: int(r.df) for r in counted.collect()}  # at most one row per word of the block
 
 
-def search_block(index: DataFrame, block: list[tuple[int, list[str]]], big_n: int, buckets: int = BUCKETS, top: int = TOP) -> DataFrame:
+def search_block(index: DataFrame, block: list[tuple[int, list[str]]], big_n: int, big_l: int, buckets: int = BUCKETS, top: int = TOP) -> DataFrame:
     """item_id, row, doc_id, score: each task's ``top`` best rows of each item of ``block`` with a score above 0."""
-    df = frequencies(index, {t for _, words in block for t in words})
-    weights = {t: weight(big_n, n) for t, n in df.items()}
-    matrix = np.zeros((buckets, len(block)), np.float64)
-    asked = []
+    vocab = sorted({t for _, words in block for t in words})
+    df = frequencies(index, vocab)
+    weights = np.array([weight(big_n, df[t]) if t in df else 0 for t in vocab], np.int64)  # absent terms weigh nothing here
+    place = {t: i for i, t in enumerate(vocab)}
+    bound_weights = np.zeros((buckets, len(block)), np.float64)
+    member_item, member_term = [], []
     for j, (_, words) in enumerate(block):
-        present = [(t, weights[t]) for t in words if weights.get(t, 0) > 0]  # absent terms and zero weights add nothing
-        for t, w in present:
-            matrix[bucket(t, buckets), j] += w
-        asked.append(present)
-    shared = index.sparkSession.sparkContext.broadcast(([b[0] for b in block], asked, matrix))
+        for t in words:
+            bound_weights[bucket(t, buckets), j] += weights[place[t]]
+            member_item.append(j)
+            member_term.append(place[t])
+    order = np.argsort(np.array(member_term, np.int64), kind="stable")
+    items_of = np.array(member_item, np.int64)[order]
+    starts = np.searchsorted(np.array(member_term, np.int64)[order], np.arange(len(vocab) + 1))
+    shared = index.sparkSession.sparkContext.broadcast(([b[0] for b in block], vocab, weights, bound_weights, items_of, starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, item_words, bounds_of = shared.value
+        item_ids, words, w, bounds_of, items_by_term, term_starts = shared.value
+        value_set = pa.array(words, pa.string())
         best: list[list[tuple[int, int, int]]] = [[] for _ in item_ids]  # min-heaps of (score, -doc, -row)
         for batch in batches:
+            count = batch.num_rows
+            m = lengths_norm(batch.column("n").to_numpy(), big_n, big_l)
             places = batch.column("sketch_bucket")
             offsets = places.offsets.to_numpy()
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            dense = np.zeros((batch.num_rows, buckets), np.float64)
-            dense[owner, places.values.to_numpy()[offsets[0] : offsets[-1]]] = batch.column("sketch_top").values.to_numpy()[offsets[0] : offsets[-1]]
-            bound = dense @ bounds_of  # rows x items; exact in doubles, far below 2**53
-            docs = np.where(batch.column("doc_id").is_null().to_numpy(zero_copy_only=False), LAST, batch.column("doc_id").fill_null(0).to_numpy())
-            rows, m = batch.column("row").to_numpy(), batch.column("m").to_numpy()
-            held: dict[int, dict[str, int]] = {}
+            owner = np.repeat(np.arange(count), np.diff(offsets))
+            most = np.zeros((count, buckets), np.int64)
+            most[owner, places.values.to_numpy()[offsets[0] : offsets[-1]]] = batch.column("sketch_tf").values.to_numpy()[offsets[0] : offsets[-1]]
+            sketch = np.where(most > 0, impact(most, m[:, None]), 0).astype(np.float64)
+            bound = sketch @ bounds_of  # rows x items; exact in doubles, far below 2**53
+            floors = np.array([heap[0][0] if len(heap) == top else 1 for heap in best], np.float64)
+            wanted = np.nonzero((bound >= floors).any(axis=1))[0]
+            if not len(wanted):
+                continue
+            # exact scores of the rows whose bound reaches some item's threshold, by one scatter of their hits
+            listed, counts = batch.column("terms").take(pa.array(wanted)), batch.column("tf").take(pa.array(wanted))
+            hit = pa.compute.index_in(listed.flatten(), value_set=value_set).to_numpy(zero_copy_only=False)
+            row_of = np.repeat(np.arange(len(wanted)), np.diff(listed.offsets.to_numpy()))
+            found = ~np.isnan(hit) if hit.dtype.kind == "f" else np.ones(len(hit), bool)
+            term = np.nan_to_num(hit).astype(np.int64)[found]
+            row_of = row_of[found]
+            tf = counts.flatten().to_numpy()[found]
+            share = w[term] * impact(tf, m[wanted][row_of])
+            fan = term_starts[term + 1] - term_starts[term]
+            items = items_by_term[np.repeat(term_starts[term], fan) + (np.arange(int(fan.sum())) - np.repeat(np.cumsum(fan) - fan, fan))]
+            exact = np.zeros(len(wanted) * len(item_ids), np.int64)
+            np.add.at(exact, np.repeat(row_of, fan) * len(item_ids) + items, np.repeat(share, fan))
+            exact = exact.reshape(len(wanted), len(item_ids))
+            docs = np.where(batch.column("doc_id").is_null().to_numpy(zero_copy_only=False), LAST, batch.column("doc_id").fill_null(0).to_numpy())[wanted]
+            rows = batch.column("row").to_numpy()[wanted]
+            limits = bound[wanted]
             for j in range(len(item_ids)):
                 heap = best[j]
-                floor = heap[0][0] if len(heap) == top else 1
-                column = bound[:, j]
-                candidates = np.nonzero(column >= floor)[0]
-                for at in candidates[np.argsort(-column[candidates], kind="stable")]:
+                column = limits[:, j]
+                candidates = np.nonzero(column >= floors[j])[0]
+                for at in candidates[np.argsort(-column[candidates], kind="stable")]:  # descending bound, until the threshold
                     if len(heap) == top and column[at] < heap[0][0]:
                         break
-                    counts = held.get(at)
-                    if counts is None:
-                        counts = held[at] = dict(zip(batch.column("terms")[int(at)].as_py(), batch.column("tf")[int(at)].as_py(), strict=True))
-                    mm = int(m[at])
-                    score = sum(w * ((1_000_000_000 * counts[t]) // (1000 * counts[t] + 8 * mm)) for t, w in item_words[j] if t in counts)
+                    score = int(exact[at, j])
                     if score <= 0:
                         continue
                     key = (score, -int(docs[at]), -int(rows[at]))
@@ -198,8 +236,8 @@ def search_block(index: DataFrame, block: list[tuple[int, list[str]]], big_n: in
                         heapq.heappush(heap, key)
                     elif key > heap[0]:
                         heapq.heapreplace(heap, key)
-        found = [(item_ids[j], -r, -d, s) for j, heap in enumerate(best) for s, d, r in heap]
-        yield pa.RecordBatch.from_pylist([{"item_id": i, "row": r, "doc_id": None if d == LAST else d, "score": s} for i, r, d, s in found],
+        found_rows = [(item_ids[j], -r, -d, s) for j, heap in enumerate(best) for s, d, r in heap]
+        yield pa.RecordBatch.from_pylist([{"item_id": i, "row": r, "doc_id": None if d == LAST else d, "score": s} for i, r, d, s in found_rows],
                                          schema=pa.schema([("item_id", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())]))
 
     return index.mapInArrow(run, "item_id long, row long, doc_id long, score long")
@@ -209,11 +247,11 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, buckets: int = BUC
     """item_id, rank (1.. by score, then doc_id), doc_id, score: the ``top`` best documents of each item with a score above 0."""
     spark = docs.sparkSession
     staged = Staged(spark, "search")
-    index, big_n, _ = build(docs, staged, buckets)
+    index, big_n, big_l = build(docs, staged, buckets)
     found = spark.createDataFrame([], "item_id long, row long, doc_id long, score long")
     if big_n:
         for n, block in enumerate(blocks(item_terms(items))):
-            found = found.unionByName(staged.write(search_block(index, block, big_n, buckets, top), f"found-{n}"))
+            found = found.unionByName(staged.write(search_block(index, block, big_n, big_l, buckets, top), f"found-{n}"))
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("item_id", "rank", "doc_id", "score")

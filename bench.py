@@ -41,6 +41,9 @@ HEADLINE = [
     "fuzzy_names",
     "ml_scores",
     "stability_index",
+    "monthly_snapshots",
+    "validation_report",
+    "bill_median",
 ]
 
 

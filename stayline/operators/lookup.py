@@ -26,38 +26,69 @@ def first_rows(decisions: DataFrame, key: Column) -> DataFrame:
 def neighbours(asked: DataFrame, decided: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """For each distinct asked number, the nearest decided numbers strictly ``before`` and ``after`` it.
 
-    Both inputs have a BIGINT ``number``. They are merged to one row per number first, so a bucket's size
-    depends on its width and not on how often a number occurs, and only integers are sorted. A neighbour
-    outside the bucket comes from a table with one row per bucket.
+    Both inputs have a BIGINT ``number``. They are range-partitioned on the number and reduced to one row per number
+    in place (the range partitioning serves the aggregate too), so a partition's size depends on how many distinct
+    numbers it spans, not on how often a number occurs. Each sorted partition finds its rows' neighbours in one pass
+    and is written once with its first and last decided number; a neighbour in another partition is carried over from
+    that table, one row per partition, so no task sees all numbers. ``bucket`` is kept for callers and not used.
     """
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from stayline.session import stage
+
     merged = (
         decided.select("number", F.lit(1).alias("known"), F.lit(0).alias("asked"))
         .unionByName(asked.select("number", F.lit(0).alias("known"), F.lit(1).alias("asked")))
-        .groupBy(F.floor(F.col("number") / bucket).alias("bucket"), "number")
+        .where(F.col("number").isNotNull())
+        .repartitionByRange("number")
+        .groupBy("number")
         .agg(F.max("known").alias("known"), F.max("asked").alias("asked"))
-        .withColumn("mark", F.when(F.col("known") == 1, F.col("number")))
+        .sortWithinPartitions("number")
     )
 
-    def nearest(column: str, *parts, order) -> Column:
-        window = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.last(column, ignorenulls=True).over(window)
-
-    inside = merged.withColumns(
-        {
-            "before": nearest("mark", "bucket", order=F.asc("number")),
-            "after": nearest("mark", "bucket", order=F.desc("number")),
-        }
-    ).where("asked = 1")
-    ends = (
-        merged.groupBy("bucket")
-        .agg(F.max("mark").alias("top"), F.min("mark").alias("bottom"))
-        .select(
-            "bucket",
-            nearest("top", F.lit(0), order=F.asc("bucket")).alias("below"),
-            nearest("bottom", F.lit(0), order=F.desc("bucket")).alias("above"),
+    def fill(batches):
+        parts = [b for b in batches if b.num_rows]
+        part = TaskContext.get().partitionId()
+        if not parts:
+            return
+        number = np.concatenate([b.column("number").to_numpy() for b in parts])
+        known = np.concatenate([b.column("known").to_numpy() for b in parts]) == 1
+        asked_rows = np.concatenate([b.column("asked").to_numpy() for b in parts]) == 1
+        at = np.arange(len(number))
+        last = np.maximum.accumulate(np.where(known, at, -1))
+        before = np.concatenate([[-1], last[:-1]])
+        first = np.minimum.accumulate(np.where(known, at, len(number))[::-1])[::-1]
+        after = np.concatenate([first[1:], [len(number)]])
+        take = lambda where, ok: pa.array(np.where(ok, number[np.clip(where, 0, len(number) - 1)], 0), mask=~ok)
+        keep = asked_rows | (at == np.argmax(known)) | (at == len(number) - 1 - np.argmax(known[::-1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(keep.sum(), part, np.int32)), pa.array(number[keep]), pa.array(known[keep]), pa.array(asked_rows[keep]),
+             take(before, before >= 0).filter(pa.array(keep)), take(after, after < len(number)).filter(pa.array(keep))],
+            ["part", "number", "known", "asked", "before", "after"],
         )
-    )
-    return inside.join(ends, "bucket").select(
+
+    filled = stage(merged.mapInArrow(fill, "part int, number long, known boolean, asked boolean, before long, after long"), "nearest")
+    edges = filled.where("known").groupBy("part").agg(F.min("number").alias("low"), F.max("number").alias("high")).orderBy("part").collect()
+    carry, below = [], None  # at most one row per partition
+    for row in edges:
+        carry.append([row["part"], below, None])
+        below = row["high"]
+    above = None
+    for entry, row in zip(reversed(carry), reversed(edges), strict=True):
+        entry[2] = above
+        above = row["low"]
+    spark = asked.sparkSession
+    parts = filled.select("part").distinct().collect()  # one row per partition
+    listed = {c[0] for c in carry}
+    for row in parts:  # partitions without a decided number take the carry of the nearest ones around them
+        if row["part"] not in listed:
+            lower = max((e for e in edges if e["part"] < row["part"]), key=lambda e: e["part"], default=None)
+            upper = min((e for e in edges if e["part"] > row["part"]), key=lambda e: e["part"], default=None)
+            carry.append([row["part"], lower["high"] if lower else None, upper["low"] if upper else None])
+    edge_table = spark.createDataFrame(carry, "part int, below long, above long")
+    return filled.where("asked").join(F.broadcast(edge_table), "part", "left").select(
         "number", F.coalesce("before", "below").alias("before"), F.coalesce("after", "above").alias("after")
     )
 

@@ -284,3 +284,25 @@ def test_median_by_selection_rounds(spark):
     got = {r.g: r.median_v for r in rollups.median_by(df, ["g"], "v", buckets=4, tail=5).collect()}
     want = {g: statistics.median([v for h, v in data if h == g and v is not None]) for g in {h for h, v in data if v is not None}}
     assert got == want
+
+
+def test_neighbours_carry_across_range_partitions(spark):
+    import bisect
+    import random
+
+    from stayline.operators import lookup
+
+    random.seed(11)
+    digits = [random.randrange(1, 19) for _ in range(300)]
+    decided = [random.randrange(10 ** (d - 1), 10**d) for d in digits] + [5, 5, 10**17]
+    asked = [random.randrange(0, 10**18) for _ in range(400)] + [5, 4, 6, 10**17, 10**17 + 1, 0] + decided[:20]
+    known = sorted(set(decided))
+    got = {r.number: (r.before, r.after) for r in lookup.neighbours(
+        spark.createDataFrame([(a,) for a in asked], "number long"), spark.createDataFrame([(d,) for d in decided], "number long")).collect()}
+    for a in set(asked):
+        at = bisect.bisect_left(known, a)
+        before = known[at - 1] if at > 0 else None
+        after_at = bisect.bisect_right(known, a)
+        after = known[after_at] if after_at < len(known) else None
+        assert got[a] == (before, after), a
+    assert len(got) == len(set(asked))

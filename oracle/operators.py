@@ -429,3 +429,12 @@ FROM (SELECT page_id, url, generate_subscripts(a, 1) AS pos, unnest(h) AS href,
 WHERE contains(text, 'e') AND contains(text, 'n') GROUP BY page_id, url""",
 }
 assert set(_MARKED) & set(TABLES) == set()
+
+SQL["load_report"] = statement("""
+SELECT 'sales' AS table_name, 'mfd_year' AS item, 'cast column' AS finding, 'string to int' AS detail
+UNION ALL SELECT 'sales', 'sales', 'rows', CAST(count(*) AS VARCHAR) FROM sales
+UNION ALL SELECT 'service', 'part-99999-broken.parquet', 'unreadable file', 'left out'
+UNION ALL SELECT 'service', 'service', 'rows', CAST(count(*) AS VARCHAR) FROM service
+UNION ALL SELECT 'insurance', 'insurance', 'rows', CAST(count(*) AS VARCHAR) FROM insurance
+UNION ALL SELECT 'customer', 'customer', 'rows', CAST(count(*) AS VARCHAR) FROM master
+UNION ALL SELECT 'vehicle', 'vehicle', 'missing table', 'vehicle.parquet'""")

@@ -482,6 +482,27 @@ def _point_labels(t: AfterSales) -> DataFrame:
     return numbered.select("user_id", "reading_id", F.concat(F.lit("P"), F.col("ordinal").cast("string")).alias("label"))
 
 
+@named("load_report")
+def _load_report(t: AfterSales) -> DataFrame:
+    """The star tables written by Spark to a folder with a broken file, a column of another type and a missing table, then loaded."""
+    from stayline.sources import tables as loading
+
+    folder = staged_path(t.spark, "loaded")
+    for name in ("sales", "service", "insurance", "customer"):
+        df = t[name]
+        if name == "sales":
+            df = df.withColumn("mfd_year", F.col("mfd_year").cast("string"))  # another type than declared
+        df.write.parquet(f"{folder}/{name}.parquet")
+    broken = f"{folder}/service.parquet/part-99999-broken.parquet"
+    t.spark.createDataFrame([("not a parquet file",)], "value string").coalesce(1).write.text(f"{folder}/broken-text")
+    source = loading.data_files(t.spark, f"{folder}/broken-text")[0]
+    jvm = t.spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(source).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    fs.rename(jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(broken))
+    _, report = loading.load_checked(t.spark, folder, ["sales", "service", "insurance", "customer", "vehicle"])
+    return report
+
+
 @named("sql_on_views")
 def _sql_on_views(t: AfterSales) -> DataFrame:
     """Any SQL text over the registered tables; here dealers by premium of their high-risk customers."""

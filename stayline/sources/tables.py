@@ -62,3 +62,73 @@ def register(tables: dict[str, DataFrame]) -> list[str]:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return sorted(tables)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a table: the path itself, or the files in its folder that aren't markers."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
+    if fs.getFileStatus(hadoop_path).isFile():
+        return [path]
+    names = [s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
+def reconcile(df: DataFrame, name: str) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """A table in its declared columns and types, with a finding per difference: cast, missing or extra column.
+
+    A value that doesn't fit the declared type becomes NULL; a missing column is all NULL; extra columns are left out.
+    """
+    declared, own = TABLES[name], dict(df.dtypes)
+    columns, found = [], []
+    for field in declared.fields:
+        kind = field.dataType.simpleString()
+        if field.name not in own:
+            columns.append(F.lit(None).cast(kind).alias(field.name))
+            found.append((field.name, "missing column", kind))
+        elif own[field.name] != kind:
+            columns.append(F.col(field.name).try_cast(kind).alias(field.name))
+            found.append((field.name, "cast column", f"{own[field.name]} to {kind}"))
+        else:
+            columns.append(F.col(field.name))
+    found += [(c, "extra column", own[c]) for c in df.columns if c not in declared.fieldNames()]
+    return df.select(*columns), found
+
+
+def load_checked(spark: SparkSession, folder: str, names: list[str] | None = None, fmt: str = "parquet") -> tuple[dict[str, DataFrame], DataFrame]:
+    """Declared tables of a folder of Parquet or ORC tables, typed as declared, and a report of what didn't fit.
+
+    Files are checked when the table is loaded: a count per file, which reads only footers, with unreadable files
+    skipped; a file that gives no count is unreadable (or empty) and is left out of the table. Each table is then
+    reconciled with its declared schema. The report has a row (table_name, item, finding, detail) per missing table,
+    unreadable file, cast, missing or extra column, and the rows read of each table.
+    """
+    tables, rows = {}, []
+    for name in names or [n for n in TABLES if n not in ref.DIMENSIONS]:
+        path = f"{folder.rstrip('/')}/{name}{EXTENSIONS[fmt]}"
+        files = data_files(spark, path)
+        if not files:
+            rows.append((name, name, "missing table", f"{name}{EXTENSIONS[fmt]}"))
+            continue
+        try:
+            counted = (
+                spark.read.format(fmt).option("ignoreCorruptFiles", "true").load(files)
+                .groupBy(F.input_file_name().alias("file")).count().collect()  # one row per file
+            )
+        except AnalysisException:  # no file has a footer to take a schema from
+            counted = []
+        base = lambda f: f.rstrip("/").rsplit("/", 1)[-1]  # noqa: E731  (file names are unique in a table; path forms differ)
+        readable = {base(r["file"]): r["count"] for r in counted}
+        good = [f for f in files if base(f) in readable]
+        rows += [(name, base(f), "unreadable file", "left out") for f in files if base(f) not in readable]
+        if not good:
+            rows.append((name, name, "missing table", "no readable file"))
+            continue
+        table, found = reconcile(clean_names(spark.read.format(fmt).load(good)), name)
+        tables[name] = table
+        rows += [(name, column, finding, detail) for column, finding, detail in found]
+        rows.append((name, name, "rows", str(sum(readable.values()))))
+    return tables, spark.createDataFrame(rows, "table_name string, item string, finding string, detail string")

@@ -306,3 +306,23 @@ def test_neighbours_carry_across_range_partitions(spark):
         after = known[after_at] if after_at < len(known) else None
         assert got[a] == (before, after), a
     assert len(got) == len(set(asked))
+
+
+def test_checked_load_reports_what_does_not_fit(spark):
+    from stayline.session import staged_path
+    from stayline.sources import tables as loading
+    from stayline.schemas import TABLES
+
+    folder = staged_path(spark, "load")
+    declared = TABLES["customer"]
+    row = {f.name: None for f in declared.fields} | {"cust_id": "C1", "birth_year": "1980"}
+    frame = spark.createDataFrame([row], declared).drop("city").withColumn("nickname", F.lit("x"))
+    frame.write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([("junk",)], "value string").write.text(f"{folder}/vehicle.parquet")  # a folder of text, no Parquet
+    tables, report = loading.load_checked(spark, folder, ["customer", "vehicle", "sales"])
+    got = sorted((r.table_name, r.item, r.finding) for r in report.collect())
+    assert ("customer", "city", "missing column") in got and ("customer", "nickname", "extra column") in got
+    assert ("customer", "customer", "rows") in got and ("sales", "sales", "missing table") in got
+    assert ("vehicle", "vehicle", "missing table") in got and any(t == "vehicle" and f == "unreadable file" for t, _, f in got)
+    assert tables["customer"].columns == declared.fieldNames() and tables["customer"].first().city is None
+    assert set(tables) == {"customer"}

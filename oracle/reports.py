@@ -253,3 +253,10 @@ SELECT user_id, reading_id, 'P' || row_number() OVER (PARTITION BY user_id ORDER
 FROM readings WHERE event_type NOT IN ('error', 'purchase')"""),
 }
 assert not set(_RUNS) & set(TABLES)
+
+SQL["sink_published"] = SQL["publish_ranked"]  # the newest checked version holds exactly what was ranked
+SQL["sink_documents"] = SQL["customer_sections"]
+SQL["sink_csv"] = statement("SELECT ins_id, vin, policy_issue_date, policy_expiry_date, total_premium FROM insurance")
+SQL["sink_tables"] = statement("""
+SELECT 'sales' AS table_name, count(*) AS rows FROM sales UNION ALL SELECT 'insurance', count(*) FROM insurance
+UNION ALL SELECT 'customer', count(*) FROM master""")

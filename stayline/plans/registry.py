@@ -15,7 +15,8 @@ from stayline.plans import air, catalog, features, history, models, publish, rul
 from stayline.session import stage, staged_path, tune
 from stayline.sources import grid, links
 from stayline.sources.projection import AS_OF, AfterSales, _vin
-from stayline.sources.tables import register
+from stayline.sinks import writers
+from stayline.sources.tables import load_table, register
 from stayline.streaming import compaction, outreach, refresh, service_feed
 
 Plan = Callable[[AfterSales], DataFrame]
@@ -371,6 +372,42 @@ def _customer_sections(t: AfterSales) -> DataFrame:
     return view360.sections(t).select("cust_id", "section_no", "section", "item_date", "item_id")
 
 
+@named("sink_published")
+def _sink_published(t: AfterSales) -> DataFrame:
+    """Published results written as a checked version, twice, and read back from the newest."""
+    path = staged_path(t.spark, "published")
+    ranked = publish.ranked_results(t)
+    writers.write_published(ranked, path)
+    writers.write_published(ranked, path)
+    return writers.read_current(t.spark, path).select(*ranked.columns)
+
+
+@named("sink_documents")
+def _sink_documents(t: AfterSales) -> DataFrame:
+    """Every customer's sections written as checked JSON lines and read back."""
+    path = staged_path(t.spark, "documents")
+    sections = view360.sections(t)
+    writers.write_documents(sections, path)
+    return writers.read_current(t.spark, path, "json", schema=sections.schema).select("cust_id", "section_no", "section", "item_date", "item_id")
+
+
+@named("sink_csv")
+def _sink_csv(t: AfterSales) -> DataFrame:
+    """Insurance written as checked CSV, loaded back by name and typed as declared."""
+    folder = staged_path(t.spark, "csv")
+    writers.write_csv(t.insurance, f"{folder}/insurance.csv")
+    return load_table(t.spark, folder, "insurance", "csv").select("ins_id", "vin", "policy_issue_date", "policy_expiry_date", "total_premium")
+
+
+@named("sink_tables")
+def _sink_tables(t: AfterSales) -> DataFrame:
+    """A data set written table by table as checked versions, then its row counts as read back."""
+    folder = staged_path(t.spark, "dataset")
+    names = writers.write_tables({name: t[name] for name in ("sales", "insurance", "customer")}, folder)
+    counts = [load_table(t.spark, folder, name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name in names]
+    return checks.stack(counts)
+
+
 @named("customer_summary")
 def _customer_summary(t: AfterSales) -> DataFrame:
     return view360.summary(t)

@@ -31,7 +31,10 @@ def typed(df: DataFrame, name: str) -> DataFrame:
 
 def load_table(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
     """One table by name. Text formats are read as text against the known columns and typed afterwards."""
+    from stayline.sinks.writers import current_path
+
     path = f"{folder.rstrip('/')}/{name}{EXTENSIONS[fmt]}"
+    path = current_path(spark, path) or path  # a data set written in checked versions is read at its newest one
     if fmt == "csv":
         raw = clean_names(spark.read.option("header", True).csv(path))
         return typed(raw, name) if name in TABLES else raw
@@ -108,8 +111,10 @@ def load_checked(spark: SparkSession, folder: str, names: list[str] | None = Non
     """
     tables, rows = {}, []
     for name in names or [n for n in TABLES if n not in ref.DIMENSIONS]:
+        from stayline.sinks.writers import current_path
+
         path = f"{folder.rstrip('/')}/{name}{EXTENSIONS[fmt]}"
-        files = data_files(spark, path)
+        files = data_files(spark, current_path(spark, path) or path)
         if not files:
             rows.append((name, name, "missing table", f"{name}{EXTENSIONS[fmt]}"))
             continue

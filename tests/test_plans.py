@@ -45,7 +45,7 @@ def test_pipeline_end_to_end(spark, built):
     assert failed <= {("churn_features", "total_service_visits at least 1")}
     steps = {r.step for r in spark.read.parquet(pipeline.path("audit")).collect()}
     assert steps == {"ingest", "check", "star", "features", "scores", "publish", "validate"}
-    results = spark.read.parquet(pipeline.path("churn_results"))
+    results = writers.read_current(spark, pipeline.path("churn_results"))
     n = results.count()
     assert n == pipeline["churn_scores"].count()
     assert results.agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first()[:] == (1, n, n)
@@ -92,7 +92,7 @@ def test_document_files(spark, star):
     path = staged_path(spark, "documents")
     everything = view360.sections(star)
     writers.write_documents(everything, path)
-    assert spark.read.json(path).count() == everything.count()
+    assert writers.read_current(spark, path, "json").count() == everything.count()
 
 
 def test_publish_keeps_scores_without_partner(spark, star):
@@ -171,7 +171,7 @@ def test_a_customer_with_three_vehicles(built):
     assert pipeline["churn_scores"].where(mine).count() == 5
     assert catalog.run("Q1", stored).where(mine).count() == 5
     assert view360.summary(stored).where(mine).count() == 14 * 5
-    ranks = pipeline.spark.read.parquet(pipeline.path("churn_results")).where(mine).select("rank").collect()
+    ranks = writers.read_current(pipeline.spark, pipeline.path("churn_results")).where(mine).select("rank").collect()
     assert len({r.rank for r in ranks}) == len(ranks) == 5
     assert sum(r.customer_count for r in catalog.run("Q5", stored).collect()) == stored["churn_scores"].count()
     worst = pipeline["churn_scores"].where(mine).collect()
@@ -193,3 +193,21 @@ def test_metrics_table_and_stable_segments(spark, star):
     two = {r.vehicle_id: r.segment for r in models.segments(rows.repartition(13, "vehicle_id")).collect()}
     assert one == two and len(one) == rows.count() and 2 <= len(set(one.values())) <= 4
     rows.unpersist()
+
+
+def test_safe_write_publishes_only_whole_versions(spark, rows):
+    import pytest
+
+    path = staged_path(spark, "safe")
+    first = spark.createDataFrame([(1, "x"), (2, "y")], "n int, s string")
+    second = spark.createDataFrame([(3, "z")], "n int, s string")
+    writers.safe_write(first, path)
+    writers.safe_write(second, path)
+    assert rows(writers.read_current(spark, path)) == [(3, "z")]
+    with pytest.raises(writers.WriteCheckFailed):  # written, but it doesn't read back as the rows: not published
+        writers.safe_write(first, path, "csv", schema="n int, s int", header=True)
+    assert rows(writers.read_current(spark, path)) == [(3, "z")]
+    for _ in range(3):
+        writers.safe_write(first, path)
+    assert writers.published_versions(spark, path) == [5, 6]
+    assert rows(writers.read_current(spark, path)) == [(1, "x"), (2, "y")]

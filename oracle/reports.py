@@ -132,6 +132,15 @@ _CURVE_ROWS = "SELECT 'saturation' AS family, 1e0 AS param, 300 AS steps" + "".j
     + [("v", f"{p}e0") for p in (0.8, 0.84, 0.88, 0.92)]
 )
 
+_SECTIONS = """
+SELECT cust_id, 1 AS section_no, 'customer' AS section, CAST(NULL AS DATE) AS item_date, cust_id AS item_id FROM master
+UNION ALL SELECT s.cust_id, 2, 'vehicle', NULL, v.vehicle_id FROM sales s JOIN vehicle v ON v.vin = s.vin
+UNION ALL SELECT cust_id, 3, 'sales', sale_date, sales_id FROM sales
+UNION ALL SELECT cust_id, 4, 'service', visit_date, smr_id FROM service
+UNION ALL SELECT cust_id, 5, 'insurance', policy_issue_date, ins_id FROM insurance
+UNION ALL SELECT cust_id, 6, 'churn_features', NULL, vehicle_id FROM features
+UNION ALL SELECT cust_id, 7, 'churn_scores', NULL, cust_id FROM scores"""
+
 SQL = {
     "publish_ranked": statement(f"""
 SELECT row_number() OVER (ORDER BY CASE s.risk_tier WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END,
@@ -158,14 +167,7 @@ LEFT JOIN (SELECT cust_id, count(*) AS n, max(sale_date) AS d FROM sales GROUP B
 LEFT JOIN (SELECT cust_id, count(*) AS n, max(visit_date) AS d FROM service GROUP BY cust_id) v ON v.cust_id = m.cust_id
 LEFT JOIN (SELECT cust_id, count(*) AS n, max(policy_expiry_date) AS d FROM insurance GROUP BY cust_id) i
   ON i.cust_id = m.cust_id"""),
-    "customer_sections": statement("""
-SELECT cust_id, 1 AS section_no, 'customer' AS section, CAST(NULL AS DATE) AS item_date, cust_id AS item_id FROM master
-UNION ALL SELECT s.cust_id, 2, 'vehicle', NULL, v.vehicle_id FROM sales s JOIN vehicle v ON v.vin = s.vin
-UNION ALL SELECT cust_id, 3, 'sales', sale_date, sales_id FROM sales
-UNION ALL SELECT cust_id, 4, 'service', visit_date, smr_id FROM service
-UNION ALL SELECT cust_id, 5, 'insurance', policy_issue_date, ins_id FROM insurance
-UNION ALL SELECT cust_id, 6, 'churn_features', NULL, vehicle_id FROM features
-UNION ALL SELECT cust_id, 7, 'churn_scores', NULL, cust_id FROM scores"""),
+    "customer_sections": statement(_SECTIONS),
     "customer_summary": statement(
         "SELECT cust_id, unnest([" + ", ".join(f"'{field}'" for field in SUMMARY_FIELDS) + "]) AS field, unnest(["
         + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in SUMMARY_FIELDS.values()) + "]) AS value FROM wide_row",
@@ -260,3 +262,8 @@ SQL["sink_csv"] = statement("SELECT ins_id, vin, policy_issue_date, policy_expir
 SQL["sink_tables"] = statement("""
 SELECT 'sales' AS table_name, count(*) AS rows FROM sales UNION ALL SELECT 'insurance', count(*) FROM insurance
 UNION ALL SELECT 'customer', count(*) FROM master""")
+SQL["customer_pages"] = statement(
+    "SELECT *, (item_no - 1) // 50 + 1 AS page FROM (SELECT *, row_number() OVER (PARTITION BY cust_id ORDER BY section_no, "
+    "item_date DESC NULLS LAST, item_id) AS item_no FROM items)",
+    {"items": _SECTIONS},
+)

@@ -408,6 +408,11 @@ def _sink_tables(t: AfterSales) -> DataFrame:
     return checks.stack(counts)
 
 
+@named("customer_pages")
+def _customer_pages(t: AfterSales) -> DataFrame:
+    return view360.pages(view360.sections(t)).select("cust_id", "section_no", "section", "item_date", "item_id", "item_no", "page")
+
+
 @named("customer_summary")
 def _customer_summary(t: AfterSales) -> DataFrame:
     return view360.summary(t)

@@ -211,3 +211,15 @@ def test_safe_write_publishes_only_whole_versions(spark, rows):
         writers.safe_write(first, path)
     assert writers.published_versions(spark, path) == [5, 6]
     assert rows(writers.read_current(spark, path)) == [(1, "x"), (2, "y")]
+
+
+def test_document_pages_number_items_in_reading_order(spark):
+    day = dt.date(2020, 1, 1)
+    items = [("C1", 4, "service", day + dt.timedelta(days=i), f"S{i:04d}") for i in range(130)]  # a long history
+    items += [("C1", 1, "customer", None, "C1"), ("C2", 3, "sales", day, "A"), ("C2", 3, "sales", None, "B"), ("C2", 3, "sales", day, "C")]
+    frame = spark.createDataFrame(items, "cust_id string, section_no int, section string, item_date date, item_id string")
+    got = {(r.cust_id, r.item_id): (r.item_no, r.page) for r in view360.pages(frame, page_items=50).collect()}
+    assert got[("C1", "C1")] == (1, 1)
+    assert got[("C1", "S0129")] == (2, 1) and got[("C1", "S0000")] == (131, 3)
+    assert sorted(n for (c, _), (n, _) in got.items() if c == "C1") == list(range(1, 132))
+    assert [got[("C2", k)] for k in ("A", "C", "B")] == [(1, 1), (2, 1), (3, 1)]  # newest first, ties by id, undated last

@@ -56,20 +56,11 @@ def erase(pii: DataFrame, requests: DataFrame) -> DataFrame:
     return pii.join(requests.select("cust_id").distinct(), "cust_id", "left_anti")
 
 
-def _text_values(df: DataFrame, table: str, least_length: Column) -> DataFrame:
-    """The distinct texts of each text column with their row counts: repeats are summed before the shuffle.
-
-    Texts shorter than the shortest name that is looked for cannot hold one and are dropped at once.
-    """
+def _text_cells(df: DataFrame, table: str) -> DataFrame:
+    """Every cell of the text columns as (table_name, column_name, text)."""
     names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     cells = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("text")) for n in names])
-    return (
-        df.select(F.inline(cells))
-        .where(F.length("text") >= least_length)
-        .groupBy("column_name", "text")
-        .agg(F.count("*").alias("rows"))
-        .select(F.lit(table).alias("table_name"), "column_name", "text", "rows")
-    )
+    return df.select(F.inline(cells)).select(F.lit(table).alias("table_name"), "column_name", "text")
 
 
 def _grams(text: Column, q: int) -> Column:
@@ -88,7 +79,12 @@ def leak_scan(pii: DataFrame, tables: Mapping[str, DataFrame], names: list[str]
     A name with a substring that no text holds is in no text and is dropped before the join. No name meets every text.
     """
     people = pii.select(F.col("cust_name").alias("name")).where(F.length("name") >= LEAST_NAME_LENGTH).distinct()
-    texts = reduce(DataFrame.unionByName, [_text_values(tables[n], n, F.lit(LEAST_NAME_LENGTH)) for n in names or list(tables)])
+    cells = reduce(DataFrame.unionByName, [_text_cells(tables[n], n) for n in names or list(tables)])
+    texts = (
+        cells.where(F.length("text") >= LEAST_NAME_LENGTH)
+        .groupBy("table_name", "column_name", "text")  # one aggregate for all tables: repeats summed before the shuffle
+        .agg(F.count("*").alias("rows"))
+    )
     pieces = texts.select("table_name", "column_name", "text", "rows", F.explode(_grams(F.col("text"), GRAM)).alias("gram"))
     held = pieces.groupBy("gram").agg(F.count("*").alias("texts"))
     keyed = people.select("name", F.explode(_grams(F.col("name"), GRAM)).alias("gram"), F.size(_grams(F.col("name"), GRAM)).alias("all"))

@@ -186,12 +186,17 @@ def label_rate(features: DataFrame, band: tuple[float, float] = LABEL_BAND) -> D
 
 
 def key_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys on one side only, both directions, and the row counts: equal sets have 0 and 0."""
-    a = left.groupBy(key).agg(F.count("*").alias("a"))
-    b = right.groupBy(key).agg(F.count("*").alias("b"))
-    return a.join(b, key, "full_outer").agg(
-        F.count_if(F.col("b").isNull()).alias("left_only"),
-        F.count_if(F.col("a").isNull()).alias("right_only"),
+    """Keys on one side only, both directions, and the row counts: equal sets have 0 and 0.
+
+    Both sides meet in one aggregate per key (one shuffle). A null key matches nothing, so it counts on each side
+    that has it.
+    """
+    sides = left.select(key, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(right.select(key, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    per_key = sides.groupBy(key).agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
+    unmatched = F.col(key).isNull()
+    return per_key.agg(
+        F.count_if((F.col("a") > 0) & ((F.col("b") == 0) | unmatched)).alias("left_only"),
+        F.count_if((F.col("b") > 0) & ((F.col("a") == 0) | unmatched)).alias("right_only"),
         F.coalesce(F.sum("a"), F.lit(0)).alias("left_rows"),
         F.coalesce(F.sum("b"), F.lit(0)).alias("right_rows"),
     )

@@ -326,3 +326,10 @@ def test_checked_load_reports_what_does_not_fit(spark):
     assert ("vehicle", "vehicle", "missing table") in got and any(t == "vehicle" and f == "unreadable file" for t, _, f in got)
     assert tables["customer"].columns == declared.fieldNames() and tables["customer"].first().city is None
     assert set(tables) == {"customer"}
+
+
+def test_key_sets_count_null_keys_on_each_side(spark):
+    left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    right = spark.createDataFrame([("a",), ("c",), (None,), (None,)], "k string")
+    got = checks.key_sets(left, right, "k").first()
+    assert (got.left_only, got.right_only, got.left_rows, got.right_rows) == (2, 2, 4, 4)  # b and null; c and null

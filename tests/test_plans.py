@@ -223,3 +223,18 @@ def test_document_pages_number_items_in_reading_order(spark):
     assert got[("C1", "S0129")] == (2, 1) and got[("C1", "S0000")] == (131, 3)
     assert sorted(n for (c, _), (n, _) in got.items() if c == "C1") == list(range(1, 132))
     assert [got[("C2", k)] for k in ("A", "C", "B")] == [(1, 1), (2, 1), (3, 1)]  # newest first, ties by id, undated last
+
+
+def test_safe_write_computes_the_rows_once(spark, rows):
+    path, seen = staged_path(spark, "once"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = spark.range(50).selectExpr("cast(id as int) n", "cast(id % 3 as string) s").mapInArrow(count, "n int, s string")
+    writers.safe_write(counted, path)
+    assert seen.value == 50 and writers.read_current(spark, path).count() == 50
+    writers.safe_write(counted.where("n < 0"), path, "json", schema=counted.schema)  # no rows are a set too
+    assert writers.published_versions(spark, path) == [1, 2]

@@ -238,3 +238,13 @@ def test_safe_write_computes_the_rows_once(spark, rows):
     assert seen.value == 50 and writers.read_current(spark, path).count() == 50
     writers.safe_write(counted.where("n < 0"), path, "json", schema=counted.schema)  # no rows are a set too
     assert writers.published_versions(spark, path) == [1, 2]
+
+
+def test_service_deals_visits_by_order_key_once(star):
+    plan = star.service._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 2 and not any("vin" in line for line in joins)
+    sold = star.sales.select("vin", "sale_date")
+    feed = star.service_feed
+    want = feed.join(sold, "vin").where("visit_date >= sale_date").select(*feed.columns)
+    assert star.service.count() == want.count() and star.service.exceptAll(want).isEmpty()

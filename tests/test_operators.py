@@ -333,3 +333,17 @@ def test_key_sets_count_null_keys_on_each_side(spark):
     right = spark.createDataFrame([("a",), ("c",), (None,), (None,)], "k string")
     got = checks.key_sets(left, right, "k").first()
     assert (got.left_only, got.right_only, got.left_rows, got.right_rows) == (2, 2, 4, 4)  # b and null; c and null
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_leak_scan_shuffles_no_text(spark, rows):
+    vault = spark.createDataFrame([("Zoë Ünal",), ("名前山田",), ("Customer 1",), ("Customer 12",), (None,)], "cust_name string")
+    facts = spark.createDataFrame([("x名前山田y", 1), ("zoë ünal Zoë Ünal Zoë Ünal", 2), ("Customer 123", 3), ("Customer 123", 4), ("", 5), (None, 6)], "note string, n int")
+    found = privacy.leak_scan(vault, {"f": facts, "numbers": facts.select("n")})
+    assert rows(found, "column_name", "name", "leaked_rows") == [
+        ("note", "Customer 1", 2), ("note", "Customer 12", 2), ("note", "Zoë Ünal", 1), ("note", "名前山田", 1)
+    ]
+    assert "gram" not in _plan(found) and "Explode" not in _plan(found)

@@ -347,3 +347,11 @@ def test_leak_scan_shuffles_no_text(spark, rows):
         ("note", "Customer 1", 2), ("note", "Customer 12", 2), ("note", "Zoë Ünal", 1), ("note", "名前山田", 1)
     ]
     assert "gram" not in _plan(found) and "Explode" not in _plan(found)
+
+
+def test_orphan_keys_broadcast_no_side(spark, rows):
+    fact = spark.createDataFrame([("a",), ("a",), ("b",), (" ",), (None,)], "k string")
+    target = spark.createDataFrame([("b",), ("c",), (None,)], "k string")
+    found = checks.orphan_keys(fact, "k", target, "k")
+    assert rows(found) == [("a",)]
+    assert "Join" not in _plan(found)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stayline.functions.scalar import blank_to_null
 from stayline.operators.rollups import median_by
 from stayline.reference_data import FREE_WORK_TYPES
+from stayline.session import stage
 
 # Formats.
 VIN_FORMAT = r"^[A-Za-z0-9]{17}$"
@@ -61,7 +62,8 @@ def rule_counts(marked: DataFrame, table: str) -> DataFrame:
 def with_copies(df: DataFrame, key: str) -> DataFrame:
     """Add ``copies``, the number of rows with the same key. Only keys that occur more than once are joined back.
 
-    A row without a key is spread by its content; it would otherwise meet all others without one.
+    A row without a key is spread by its place; it would otherwise meet all others without one. (Not by its content,
+    which would carry every column through the join, also those that nobody reads.)
     """
     repeated = (
         df.where(F.col(key).isNotNull())
@@ -69,12 +71,12 @@ def with_copies(df: DataFrame, key: str) -> DataFrame:
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")
     )
-    spread = F.concat(F.lit("~"), F.xxhash64(*df.columns).cast("string"))
+    place = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     return (
-        df.withColumn("_key", F.coalesce(F.col(key), spread))
-        .join(repeated, F.col("_key") == F.col("_repeated"), "left")
+        df.withColumns({"_key": F.coalesce(F.col(key).cast("string"), F.lit("")), "_place": F.coalesce(place, F.lit(-1))})
+        .join(repeated.withColumn("_at", F.lit(-1).cast("long")), (F.col("_key") == F.col("_repeated").cast("string")) & (F.col("_place") == F.col("_at")), "left")
         .withColumn("copies", F.coalesce("copies", F.lit(1)))
-        .drop("_key", "_repeated")
+        .drop("_key", "_place", "_repeated", "_at")
     )
 
 
@@ -148,8 +150,10 @@ def check_mobiles(vault: DataFrame) -> DataFrame:
 def impute_bills(service: DataFrame) -> DataFrame:
     """Missing bills: 0 for free services, the median of the work type otherwise.
 
-    The medians table has one row per work type, a fixed vocabulary, so it is broadcast.
+    The rows are read by the medians and again here, so they are computed and written once. The medians table has one
+    row per work type, a fixed vocabulary, so it is broadcast.
     """
+    service = stage(service, "bills")
     medians = F.broadcast(median_by(service.select("work_type_id", "bill_amount"), ["work_type_id"], "bill_amount"))
     filled = (
         F.when(F.col("bill_amount").isNotNull(), F.col("bill_amount"))

@@ -141,7 +141,8 @@ def _dq_accepted(t: AfterSales) -> DataFrame:
 @named("dq_imputed_bills")
 def _dq_imputed(t: AfterSales) -> DataFrame:
     ok = quality.accepted(quality.check_service(t.service_defects, t["dim_work_type"]))
-    return quality.impute_bills(ok).select("smr_id", "work_type_id", "bill_amount", "imputed")
+    bills = quality.impute_bills(ok.select("smr_id", "work_type_id", "bill_amount"))
+    return bills.select("smr_id", "work_type_id", "bill_amount", "imputed")
 
 
 @named("dq_vocabulary")

@@ -355,3 +355,10 @@ def test_orphan_keys_broadcast_no_side(spark, rows):
     found = checks.orphan_keys(fact, "k", target, "k")
     assert rows(found) == [("a",)]
     assert "Join" not in _plan(found)
+
+
+def test_copies_carry_no_unread_column(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "x"), (None, "x"), ("", "x")], "k string, wide string")
+    counted = quality.with_copies(df, "k")
+    assert rows(counted.select(F.coalesce("k", F.lit("-")), "copies")) == [("", 1), ("-", 1), ("-", 1), ("a", 2), ("a", 2), ("b", 1)]
+    assert "wide" not in counted.select("copies")._jdf.queryExecution().optimizedPlan().toString()

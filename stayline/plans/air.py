@@ -209,8 +209,11 @@ def mix(streams: DataFrame, by: list[str], mass: str = "mass") -> DataFrame:
 def curve_points(charts: DataFrame) -> DataFrame:
     """The points of all curve families inside each chart (``dbt_min``, ``dbt_max``).
 
-    Points are generated row by row from the chart, without joining it to a table of steps.
+    Points are generated row by row from the chart, without joining it to a table of steps. A chart is a small row that
+    gives some 7,000 points, so the charts are first dealt over all of the session's shuffle partitions: by their own
+    size they would be read in one task.
     """
+    parts = int(charts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = F.array(
         *[
             F.struct(F.lit(f).alias("family"), F.lit(p).alias("param"), F.lit(s).alias("steps"))
@@ -226,11 +229,13 @@ def curve_points(charts: DataFrame) -> DataFrame:
         .when(family == "v", air.w_from_volume(t, param))
     )
     return (
-        charts.select("*", F.inline(lines))
+        charts.repartition(parts)
+        .select("*", F.inline(lines))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("steps"))).alias("i"))
         .withColumn("dbt", low + F.col("i") * (F.col("dbt_max") - low) / F.col("steps"))
         .where((family != "wbt") | (t >= param))
-        .withColumn("w", w)
+        # Generated as one row per row, so that the limits below read the ratio and don't compute it again.
+        .select("*", F.inline(F.array(F.struct(w.alias("w")))))
         .where(F.col("w").between(*CHART_W))
         .drop("steps")
     )

@@ -84,3 +84,10 @@ def test_saturation_is_continuous_at_zero(spark):
     df = spark.createDataFrame([(-1e-6,), (0.0,)], "t double")
     a, b = (r.p for r in df.select(fn.saturation_pressure(F.col("t")).alias("p")).collect())
     assert abs(a - b) < 0.5
+
+
+def test_charts_are_dealt_over_the_partitions(spark):
+    charts = spark.createDataFrame([(f"u{i}", 0.0, 30.0) for i in range(40)], "user_id string, dbt_min double, dbt_max double").coalesce(1)
+    points = air.curve_points(charts)
+    parts = points.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -94,3 +94,20 @@ def test_outreach_stream_equals_the_rule(spark, rows):
     assert rows(whole, "vin", "smr_id") == want
     assert rows(delivered, "vin", "smr_id") == want  # all three decided by the stream itself once the watermark passed
     assert rows(whole, "smr_id", "due_at") == [("c", at(3)), ("f", at(5)), ("g", at(6))]
+
+
+def test_outreach_groups_hold_many_vehicles(spark, rows, monkeypatch):
+    from stayline.streaming import outreach
+
+    source, table, checkpoint = (staged_path(spark, n) for n in ("events", "outreach", "ckpt"))
+    schema = "smr_id string, vin string, ts timestamp, cancelled boolean"
+    at = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(hours=n)
+    events = [(f"{v}-{i}", f"V{v}" if v else None, at((v * 31 + i * 29 * (1 + v % 3)) % 400), (v + i) % 2 == 0) for v in range(30) for i in range(9)]
+    monkeypatch.setattr(outreach, "GROUPS", 2)
+    for data in (events, [("z", "V99", at(2000), False)]):
+        spark.createDataFrame(data, schema).write.mode("append").parquet(source)
+        outreach.run(spark.readStream.schema(schema).parquet(source), table, checkpoint).awaitTermination()
+    delivered = spark.read.schema(outreach.OUTPUT).parquet(table)
+    want = outreach.needing_outreach(spark.createDataFrame(events, schema))
+    key = lambda df: sorted((r.smr_id, r.vin or "", r.cancelled_at, r.due_at) for r in df.collect())
+    assert key(delivered) == key(want) and len(key(want)) > 20

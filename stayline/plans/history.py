@@ -5,9 +5,9 @@ summed per vehicle and month first, then carried forward by running sums over th
 the features as of every month end without a range join. A vehicle holding a large share of all visits still meets as
 at most one row per month. Only what is known at a month end counts: visits up to it, policies issued up to it.
 
-History. Labels are refreshed for each month. Version 1 is trained on the first month that has both classes; each
-month the champion is loaded from its stored version and scored, and its AUC on the test split is compared with the
-AUC it had when it became champion. If the AUC fell by more than the tolerance, a challenger is trained on that month
+History. Labels are refreshed for each month. Version 1 is trained on the first month that has both classes; a
+champion is loaded from its stored version and scores its own and all later months in one pass, and each month its AUC
+on the test split is compared with the AUC it had when it became champion. If the AUC fell by more than the tolerance, a challenger is trained on that month
 and replaces the champion only if it scores better there. Versions are MLlib models saved in the shared folder.
 """
 
@@ -105,23 +105,23 @@ def monthly_snapshots(sales: DataFrame, service: DataFrame, insurance: DataFrame
     return labelled.select(*SNAPSHOT_COLUMNS)
 
 
-def _test_auc(scored: DataFrame) -> tuple[int, int, float | None]:
-    """Rows, churned rows and AUC of the test split (counts per score value, see ``models.auc_by_period``)."""
-    test = scored.where("NOT is_train").withColumn("period", F.lit(0))
-    row = models.auc_by_period(test, "period").first()
-    return (0, 0, None) if row is None else (int(row["customers"]), int(row["churned"]), row["auc"])
+def _test_aucs(scored: DataFrame) -> dict[dt.date, float | None]:
+    """AUC of the test split per month end (counts per score value, see ``models.auc_by_period``); a row a month."""
+    return {r["month_end"]: r["auc"] for r in models.auc_by_period(scored.where("NOT is_train"), "month_end").collect()}
 
 
 def model_history(snapshots: DataFrame, tolerance: float = models.AUC_TOLERANCE) -> DataFrame:
     """One row per month end: label rate, champion version and its test AUC, the gate, a challenger's AUC and whether it won.
 
-    ``snapshots`` should be staged (it is read once per month). Months before the first with both classes have no model.
+    ``snapshots`` should be staged (it is read for each version and challenger, not for each month). Months before the
+    first with both classes have no model.
     """
     spark = snapshots.sparkSession
     ends = [r["month_end"] for r in snapshots.select("month_end").distinct().orderBy("month_end").collect()]  # one row a month
     rates = {r["month_end"]: r for r in snapshots.groupBy("month_end").agg(F.count("*").alias("rows"), F.sum("churn_label").alias("churned")).collect()}
     stored: dict[int, str] = {}
     champion, version, baseline = None, 0, None
+    aucs: dict[dt.date, float | None] = {}  # of the champion, from its first month on
     out = []
     for end in ends:
         month = snapshots.where(F.col("month_end") == F.lit(end))
@@ -132,21 +132,23 @@ def model_history(snapshots: DataFrame, tolerance: float = models.AUC_TOLERANCE)
             if 0 < churned < rows:
                 champion, version = models.fit(month), 1
                 stored[version] = _save(spark, champion, version)
-                _, _, baseline = _test_auc(models.score(_load(champion, stored[version]), month))
+                aucs = _test_aucs(models.score(_load(champion, stored[version]), snapshots.where(F.col("month_end") >= F.lit(end))))
+                baseline = aucs.get(end)
                 record["promoted"] = 1
             else:
                 out.append(record)
                 continue
-        _, _, auc = _test_auc(models.score(_load(champion, stored[version]), month))
+        auc = aucs.get(end)
         record.update(version=version, auc=auc, baseline_auc=baseline)
         if auc is not None and baseline is not None and auc < baseline * (1.0 - tolerance):
             record["retrain"] = 1
             challenger = models.fit(month)
-            _, _, rival = _test_auc(models.score(challenger, month))
+            rival = _test_aucs(models.score(challenger, month)).get(end)
             record["challenger_auc"] = rival
             if rival is not None and rival > auc:
                 champion, version, baseline = challenger, version + 1, rival
                 stored[version] = _save(spark, challenger, version)
+                aucs = _test_aucs(models.score(_load(champion, stored[version]), snapshots.where(F.col("month_end") > F.lit(end))))
                 record["promoted"] = 1
         out.append(record)
     schema = (

@@ -75,3 +75,15 @@ def test_history_retrains_only_on_drift(spark):
     first = models.fit(snapshots.where(F.col("month_end") == ends[1]))
     scored = models.score(first, snapshots.where(F.col("month_end") == ends[2])).where("NOT is_train").collect()
     assert abs(auc([(r.churn_probability, r.churn_label) for r in scored]) - got[ends[2]].auc) < 1e-6
+
+
+def test_a_version_scores_its_months_in_one_pass(spark, monkeypatch):
+    schema = ", ".join(f"{c} {t}" for c, t in zip(history.SNAPSHOT_COLUMNS, [
+        "date", "string", "string", "int", "string", "long", "int", "double", "double", "int", "int", "int", "int", "double", "int", "int", "int", "int"]))
+    ends = [dt.date(1999, m, 28) for m in (1, 2, 3)]
+    snapshots = spark.createDataFrame([r for n, end in enumerate(ends) for r in _month(end, 300, False, n)], schema)
+    scored, plain = [], models.score
+    monkeypatch.setattr(models, "score", lambda fitted, rows: scored.append(1) or plain(fitted, rows))
+    got = history.model_history(snapshots).collect()
+    assert [r.version for r in got] == [1, 1, 1] and all(r.auc is not None for r in got)
+    assert len(scored) == 1 + sum(r.retrain for r in got) + sum(r.promoted for r in got[1:])

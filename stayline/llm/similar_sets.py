@@ -5,21 +5,25 @@ In a band two similar sets differ in at most ``k`` shingles. The shingles' domai
 there is a group in which they differ in one shingle at most; each group is cut into ``second`` parts, and the subsets of its
 parts that leave one part out are enumerated, so the two agree in a whole subset. Each subset's content is a
 signature: similar sets share one. Spare groups make up for those in which a set has an empty subset, which says
-nothing. Sets with a common signature form a cluster, whose sets are compared exactly.
+nothing. Sets with a common signature form a cluster. Common phrases make clusters of sets that have little else in
+common, so a cluster is first cut by sketches, bits that tell how many of a set's shingles of each hash are odd in number:
+two sketches differ in no more bits than the sets in shingles, so no similar pair is lost. What stays together is compared
+exactly.
 
 What keeps large groups apart: equal sets are one set from the start; a signature links each of its sets to the one
-before, so a signature of n sets costs n links and not all pairs; a large cluster is compared in blocks of bounded size, and
-only a spanning forest of each comparison leaves the task.
+before, so a signature of n sets costs n links and not all pairs; a large cluster is compared in blocks of bounded size, by
+sketches only with blocks of like size, and only a spanning forest of each comparison leaves the task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import Staged, components, row_key, slices, table
@@ -30,7 +34,9 @@ SHINGLE, PERCENT = 3, 90
 #: Sets of a cluster that are compared in one task, and shingles that they may have together.
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Parts of a group; with more of them a signature covers more of a set, and there are more signatures.
-SECOND = 2
+SECOND = 3
+#: Shingles that the sets of a block may have together when only their sketches are compared, of 2 bits a shingle at most.
+BLOCK_SKETCHED = 32 * BLOCK_SHINGLES
 SLICE = 2 << 20
 #: Attempts to cut the domain so that a set has no more empty subsets than spare groups; the last one also signs empty ones.
 CUTS = 6
@@ -140,13 +146,28 @@ def set_ids(value: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return mixed(total[ptr[1:]] - total[ptr[:-1]] + np.diff(ptr).astype(U64)).view(np.int64)
 
 
+def sketches(value: np.ndarray, ptr: np.ndarray) -> pa.Array:
+    """Each set's sketch: whether the number of its shingles is odd at each of as many places as it has shingles, or up to twice.
+
+    The number of places is a power of two. Folded by exclusive or, a sketch is that of fewer places.
+    """
+    sizes = np.diff(ptr)
+    places = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    base = np.concatenate(([0], np.cumsum(places)))
+    at = (mixed(value ^ U64(0x5CE7C4)) & np.repeat(places - 1, sizes).astype(U64)).astype(np.int64)
+    odd = np.bincount(np.repeat(base[:-1], sizes) + at, minlength=base[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((base >> 3).astype(np.int32)), pa.py_buffer(packed)])
+
+
 def _sets(keyed: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             value, ptr = shingle_sets(batch.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), pa.array(np.diff(ptr)), pa.array(set_ids(value, ptr))], ["row_key", "doc_id", "n_shingles", "vertex"])
+            columns = [batch.column("row_key"), batch.column("doc_id"), pa.array(np.diff(ptr)), pa.array(set_ids(value, ptr)), sketches(value, ptr)]
+            yield pa.RecordBatch.from_arrays(columns, ["row_key", "doc_id", "n_shingles", "vertex", "sketch"])
 
-    return keyed.mapInArrow(run, "row_key long, doc_id long, n_shingles long, vertex long")
+    return keyed.mapInArrow(run, "row_key long, doc_id long, n_shingles long, vertex long, sketch binary")
 
 
 def _signed(keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -195,6 +216,94 @@ def _neighbours(signed: DataFrame) -> DataFrame:
     return signed.repartition("signature").sortWithinPartitions("signature", "vertex").mapInArrow(run, "a long, b long").distinct()
 
 
+def spanning(linked: np.ndarray, left: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links of a symmetric matrix; with ``left``, of those between the first ``left`` and the others."""
+    if left:
+        linked[:left, :left] = linked[left:, left:] = False
+    links: list[tuple[int, int]] = []
+    unseen = np.ones(len(linked), bool)
+    for start in range(len(linked)):
+        todo = [start] if unseen[start] else []
+        unseen[start] = False
+        while todo:
+            i = todo.pop()
+            new = np.flatnonzero(linked[i] & unseen)
+            unseen[new] = False
+            links += [(i, j) for j in new.tolist()]
+            todo += new.tolist()
+    return links
+
+
+def alike(sizes: np.ndarray, sketched: list[bytes], left: int, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that may be similar by their sizes and sketches; ``left`` as in ``spanning``.
+
+    Of sizes a and b with a similarity of p % or more at most (a + b) * (100 - p) / (100 + p) shingles differ, and no more
+    bits of the sketches.
+    """
+    total = sizes[:, None] + sizes[None, :]
+    linked = 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
+    length = np.array([len(s) for s in sketched])
+    for level in np.unique(length).tolist():
+        # Sketches of one length with each other and with longer ones, folded.
+        cols = np.flatnonzero(length >= level)
+        rows = np.flatnonzero(length[cols] == level)
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketched[c], np.uint8).reshape(-1, level), axis=0) for c in cols.tolist()])
+        agree = np.zeros((len(rows), len(cols)), np.float32)
+        for at in range(0, level, 512):
+            bits = np.unpackbits(folded[:, at : at + 512], axis=1).astype(np.float32) * 2 - 1
+            agree += bits[rows] @ bits.T
+        near = (8 * level - agree) / 2 <= total[np.ix_(cols[rows], cols)] * (100 - percent) // (100 + percent)
+        linked[np.ix_(cols[rows], cols)] &= near
+        linked[np.ix_(cols, cols[rows])] &= near.T
+    return spanning(linked, left)
+
+
+def _sketched_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links between sets of each cluster that may be similar, so that all similar ones stay connected.
+
+    A cluster of more than one block is cut into bands of sizes, of which two in a row hold all similar pairs, and these
+    into blocks; a block is compared with those of its own band and of the bands beside it.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SKETCHED)).cast("int").alias("blocks")
+    large = members.groupBy("cluster").agg(blocks).where("blocks > 1").select("cluster", F.lit(True).alias("large"))
+    # A little wider than the ratio of sizes, so rounding parts no similar pair.
+    band = F.floor(F.log("n_shingles") / (math.log(100 / percent) + 1e-3)).cast("int")
+    banded = members.join(large, "cluster", "left").withColumn("band", F.when(F.col("large"), band).otherwise(0)).drop("large")
+    near = Window.partitionBy("cluster").orderBy("band")
+    beside = lambda move, step: F.coalesce(F.when(move("band").over(near) == F.col("band") + step, move("blocks").over(near)), F.lit(0))
+    extent = banded.groupBy("cluster", "band").agg(blocks).withColumns({"below": beside(F.lag, -1), "above": beside(F.lead, 1)})
+    own = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
+    placed = banded.join(extent, ["cluster", "band"]).withColumn("block", own)
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    here, there = F.col("band"), F.col("block")
+    pair = lambda low, one, high, two: F.struct(low.alias("low"), one.alias("one"), high.alias("high"), two.alias("two"))
+    every = F.concat(
+        F.transform(upto("blocks"), lambda x: pair(here, F.least(there, x), here, F.greatest(there, x))),
+        F.transform(upto("above"), lambda x: pair(here, there, here + 1, x)),
+        F.transform(upto("below"), lambda x: pair(here - 1, x, here, there)),
+    )
+    pairs = placed.select("cluster", F.explode(every).alias("p"), "band", "block", "vertex", "n_shingles", "sketch")
+    order = ["cluster", "low", "one", "high", "two"]
+    pairs = pairs.select("cluster", "p.*", "band", "block", "vertex", "n_shingles", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True))
+        out: list[tuple[int, int]] = []
+        for (_, low, one, high, two), group in groupby(rows, key=lambda r: r[:5]):
+            held = sorted(group, key=lambda r: r[5:8])
+            left = sum(r[5:7] == (low, one) for r in held) if (low, one) != (high, two) else 0
+            if left < len(held):
+                links = alike(np.array([r[8] for r in held]), [r[9] for r in held], left, percent)
+                out += [(held[i][7], held[j][7]) for i, j in links]
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return pairs.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
+
+
 def forest(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets``; with ``left``, of those between the first ``left`` and the others.
 
@@ -213,15 +322,6 @@ def forest(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, i
     # A set with too many shingles of its own is similar to none.
     inside = np.bincount(row, minlength=n)
     alive = np.flatnonzero(100 * inside >= percent * sizes)
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links: list[tuple[int, int]] = []
     place = np.full(n, -1)
     place[alive] = np.arange(len(alive))
     held = place[row] >= 0
@@ -240,15 +340,7 @@ def forest(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, i
         common += dense @ dense.T
     size = sizes[alive]
     linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
-    for i in range(len(alive)):
-        for j in np.flatnonzero(linked[i, :i]).tolist():
-            if left and (alive[i] < left) == (alive[j] < left):
-                continue
-            a, b = root(int(alive[i])), root(int(alive[j]))
-            if a != b:
-                parent[a] = b
-                links.append((int(alive[i]), int(alive[j])))
-    return links
+    return [(int(alive[i]), int(alive[j])) for i, j in spanning(linked, int(np.searchsorted(alive, left)))]
 
 
 def _compare(blocks: DataFrame, percent: int) -> DataFrame:
@@ -291,9 +383,14 @@ def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: in
     edges = staged.write(_neighbours(_signed(keyed, shingle, percent)), "edges")
     clusters = components(staged, edges, "clusters")
     # One row of each set of a cluster. A cluster of one block is compared at once, another in all pairs of its blocks.
-    groups = sets.where("n_shingles > 0").groupBy("vertex").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"))
+    groups = sets.where("n_shingles > 0").groupBy("vertex").agg(
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"), F.first("sketch").alias("sketch")
+    )
     groups = staged.write(groups, "groups")
-    members = staged.write(clusters.join(groups, "vertex").select("row_key", "vertex", F.col("root").alias("cluster"), "n_shingles"), "members")
+    rough = staged.write(clusters.join(groups, "vertex").select("vertex", F.col("root").alias("cluster"), "n_shingles", "sketch"), "rough")
+    clusters = components(staged, staged.write(_sketched_links(rough, percent), "alike"), "alike-cc")
+    members = clusters.join(groups, "vertex").select("row_key", "vertex", F.col("root").alias("cluster"), "n_shingles")
+    members = staged.write(members, "members")
     most = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
     extent = members.groupBy("cluster").agg(most.cast("int").alias("blocks"))
     placed = members.join(extent, "cluster").select("row_key", "vertex", "cluster", "blocks", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("block"))
@@ -313,7 +410,7 @@ def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: in
         "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vertex", "shingles"
     )
     links = staged.write(_compare(pairs, percent), "links")
-    staged.drop("edges", "members")
+    staged.drop("edges", "rough", "alike", "members")
     roots = components(staged, links, "links-cc")
     reached = staged.write(groups.select("vertex", "least").join(roots, "vertex", "left").select("vertex", "least", F.coalesce("root", "vertex").alias("root")), "reached")
     named = reached.groupBy("root").agg(F.min("least").alias("component_id"))

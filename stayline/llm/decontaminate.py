@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ BLOCK = 8 << 20
 SLICE = 4 << 20
 #: Pairs of a word's place and an item that are sorted at once.
 PAIRS = 2_000_000
+#: Stretches that are looked over at once before the alignment.
+STRETCHES = 4096
 ALIGNED = "row_key long, doc_id long, item_id long, similarity double, first_word long, last_word long"
 
 
@@ -62,7 +65,7 @@ class Items:
         self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64) for _, words in split]
         limits = [bounds(len(words), similarity) for words in self.words]
         self.need, self.width = (np.array([x[i] for x in limits], np.int64) for i in (0, 1))
-        self.least = [x[2] for x in limits]
+        self.least = np.array([x[2] for x in limits], np.float64)
         self.widest = int(self.width.max(initial=1))
         kinds = [np.unique(words) for words in self.words]
         often = np.bincount(np.concatenate([*kinds, np.empty(0, np.int64)]), minlength=len(self.vocabulary))
@@ -80,6 +83,9 @@ class Items:
         word, item = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (word, item))
         self.item = item[np.argsort(word, kind="stable")]
         self.ptr = np.concatenate(([0], np.cumsum(np.bincount(word, minlength=len(self.vocabulary)))))
+        #: Which words an item has, as one ascending number for item and word.
+        own = [number * (len(self.vocabulary) + 1) + words for number, words in enumerate(kinds)]
+        self.held = np.concatenate([*own, np.empty(0, np.int64)]).astype(np.int64)
 
     def stretches(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end) of every stretch that may hold a passage; unknown words are -1.
@@ -129,17 +135,35 @@ class Items:
                 a += 3 * width
             yield number, a, b
 
+    def promising(self, ids: np.ndarray, found: list[tuple[int, int, int]]) -> np.ndarray:
+        """Which of the stretches may hold a passage that reaches the threshold.
+
+        In an alignment a word of the item adds ``MATCH`` at most and another one takes one away, so no passage scores
+        more than the largest sum of such steps over consecutive words. All stretches are summed at once.
+        """
+        item, low, high = np.array(found, np.int64).T
+        size = high - low
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(low - first, size)
+        word = ids[place]
+        key = np.repeat(item * (len(self.vocabulary) + 1), size) + np.where(word < 0, len(self.vocabulary), word)
+        own = self.held[np.minimum(np.searchsorted(self.held, key), len(self.held) - 1)] == key
+        step = np.where(own, MATCH, max(OTHER, GAP))
+        total = np.cumsum(step)
+        # Sums of a later stretch lie below all of an earlier one, so the running minimum starts anew in each.
+        shift = np.repeat(np.arange(len(found)) * (2 * (MATCH + 1) * len(step) + 1), size)
+        gain = total - shift - np.minimum.accumulate(total - step - shift)
+        return np.flatnonzero(np.maximum.reduceat(gain, first) >= self.least[item])
+
     def passages(self, ids: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
         """(item, similarity, first word, last word) of the best passage of each stretch, if it reaches the threshold."""
-        for number, low, high in self.stretches(ids):
-            words, item, width = ids[low:high], self.words[number], int(self.width[number])
-            total = np.concatenate(([0], np.cumsum(np.isin(words, item))))
-            ahead = total[np.minimum(np.arange(len(words)) + width, len(words))] - total[:-1]
-            if ahead.max() < self.need[number]:
-                continue
-            best, first, last = align(item, words)
-            if best >= self.least[number]:
-                yield number, best / (MATCH * len(item)), low + first, low + last
+        every = self.stretches(ids)
+        while found := list(islice(every, STRETCHES)):
+            for number, low, high in (found[i] for i in self.promising(ids, found).tolist()):
+                item = self.words[number]
+                best, first, last = align(item, ids[low:high])
+                if best >= self.least[number]:
+                    yield number, best / (MATCH * len(item)), low + first, low + last
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -196,7 +220,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, staged: Staged, similarity: f
                 out: list[tuple] = []
                 # All texts of a slice are looked through at once; no stretch reaches over the gaps between them.
                 gap = np.full(2 * items.widest + 2, -1, np.int64)
-                parts = [np.array([number_of(w, -1) for w in words_of(text)], np.int64) for text in batch.column("text").to_pylist()]
+                parts = [np.fromiter(map(number_of, words_of(text), repeat(-1)), np.int64) for text in batch.column("text").to_pylist()]
                 starts = np.concatenate(([0], np.cumsum([len(p) + len(gap) for p in parts])))
                 docs, keys = batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist()
                 for number, share, first, last in items.passages(np.concatenate([x for p in parts for x in (p, gap)])):

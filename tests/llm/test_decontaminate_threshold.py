@@ -40,3 +40,16 @@ def test_against_alignment_of_everything(spark, docs, monkeypatch, pairs_at_once
                 want[d, n] = best
     assert (len(texts) - 7, 2) in want and len(want) > 40
     assert pairs(spark, docs(*enumerate(texts)), items) == want
+
+
+def test_few_stretches_of_common_words_are_aligned(monkeypatch):
+    rng = random.Random(4)
+    item = prose(rng, 30).split()
+    items = dec.Items([(0, " ".join(item))], dec.SIMILARITY)
+    # Half of the item's words, scattered so that the words between cost more than they add, and one whole copy.
+    words = [w for n in range(2000) for w in (item[n * 7 % 30], *["other"] * 3)] + item
+    ids = dec.np.array([items.vocabulary.get(w, -1) for w in words], dec.np.int64)
+    align, calls = dec.align, []
+    monkeypatch.setattr(dec, "align", lambda *a: calls.append(1) or align(*a))
+    assert list(items.passages(ids)) == [(0, 1.0, 8000, 8029)]
+    assert len(calls) < 5

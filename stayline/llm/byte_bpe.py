@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,14 @@ from pyspark.sql import functions as F
 from stayline.llm.common import slices, table, worker_store
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-SLICE = 4 << 20
-#: A worker keeps the ids of pieces up to this many bytes, up to this many bytes of pieces and ids in all.
+SLICE = 1 << 20
+#: A worker keeps the ids of pieces up to this many bytes, in up to this much memory.
 CACHED_PIECE = 64
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 32 << 20
+#: Memory of a cached piece beside its own and its ids' objects.
+CACHE_ENTRY = 120
+#: Cells of a matrix of pieces, if it has more than one row.
+CELLS = 1 << 18
 #: Rank of a pair that joins to no token.
 NONE = np.int64(2**62)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -130,7 +135,7 @@ class Codec:
         for token, rank in order:
             buffer[self.starts[rank] : self.starts[rank] + len(token)] = token
         self.buffer = np.frombuffer(bytes(buffer), np.uint8)
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, bytes] = {}
         self.cached_bytes = 0
 
     # -- merges ---------------------------------------------------------------------------------------------------
@@ -194,18 +199,23 @@ class Codec:
                 continue
             known = self.cache.get(piece)
             if known is not None:
-                out[at] = known
+                out[at] = np.frombuffer(known, np.int32)
                 continue
             buckets.setdefault(max(0, len(piece) - 1).bit_length(), []).append(at)
-        for members in buckets.values():
-            for at, ids in zip(members, self.merge_rows([pieces[m] for m in members]), strict=True):
-                out[at] = ids
-                piece = pieces[at]
-                if len(piece) <= CACHED_PIECE:
-                    if self.cached_bytes > CACHE_BYTES:
-                        self.cache, self.cached_bytes = {}, 0
-                    self.cache[piece] = ids
-                    self.cached_bytes += len(piece) + 8 * len(ids) + 100
+        for width, bucket in buckets.items():
+            rows = max(1, CELLS >> width)
+            for start in range(0, len(bucket), rows):
+                members = bucket[start : start + rows]
+                for at, ids in zip(members, self.merge_rows([pieces[m] for m in members]), strict=True):
+                    out[at] = ids
+                    piece = pieces[at]
+                    if len(piece) <= CACHED_PIECE:
+                        kept = ids.astype(np.int32).tobytes()
+                        size = getsizeof(piece) + getsizeof(kept) + CACHE_ENTRY
+                        if self.cached_bytes + size > CACHE_BYTES:
+                            self.cache, self.cached_bytes = {}, 0
+                        self.cache[piece] = kept
+                        self.cached_bytes += size
         return out  # type: ignore[return-value]
 
     def encode_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

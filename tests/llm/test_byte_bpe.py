@@ -75,3 +75,24 @@ def test_registered_query(spark, library):
     assert len(rows) == len(texts)
     for row in rows:
         assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == expected(library, texts[row.doc_id])
+
+
+def test_memory_of_cache_and_matrices(monkeypatch):
+    from sys import getsizeof
+
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 200_000)
+    coder = byte_bpe.Codec({bytes([b]): b for b in range(256)} | {b"00": 256, b"11": 257}, r"\S+|\s+")
+    merge, cells = coder.merge_rows, []
+
+    def seen(pieces):
+        cells.append(len(pieces) * max(map(len, pieces)))
+        return merge(pieces)
+
+    monkeypatch.setattr(coder, "merge_rows", seen)
+    for start in range(0, 6000, 3000):
+        texts = [f"{i:07d}" for i in range(start, start + 3000)] + ["x" * 5000 + str(i) for i in range(start, start + 100)]
+        ids, offsets = coder.encode_texts(texts)
+        assert all(coder.decode(ids[a:b]) == t.encode() for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True))
+        held = getsizeof(coder.cache) + sum(getsizeof(k) + getsizeof(v) for k, v in coder.cache.items())
+        assert coder.cache and held <= byte_bpe.CACHE_BYTES
+    assert max(cells) <= byte_bpe.CELLS

@@ -28,6 +28,8 @@ WARC_VERSION = "WARC/1.0"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 # -------------------------------------------------------------------------------------------------------
 CAPTURED = "20240101000000"
+#: Level of the archives' gzip; the usual one takes three times as long for files 4 % smaller.
+GZIP_LEVEL = "FOUR"
 ROWS = 512
 CONVERTED = "page_id long, url string, archive_date string, content_type string, payload binary, payload_bytes long, payload_digest string, record_id string"
 READ_BACK = "page_id long, record_id string, record_type string, refers_record string, payload_bytes long, payload_digest string, url string, warc_date string"
@@ -111,7 +113,7 @@ def write_arc(pages: DataFrame, folder: str, version: int = 1) -> None:
 
     read = pages.select(F.col("page_id").cast("long"), "url", "html")
     texts = read.mapInArrow(lines, "value binary").select(F.col("value").cast("string"))
-    texts.write.option("lineSep", "\n").option("compression", "gzip").text(folder)
+    texts.write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL).text(folder)
 
 
 def arc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -229,7 +231,7 @@ def write_warc(records: DataFrame, folder: str) -> None:
         yield from _rows(found(), "value binary")
 
     texts = records.mapInArrow(lines, "value binary").select(F.col("value").cast("string"))
-    texts.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+    texts.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL).text(folder)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

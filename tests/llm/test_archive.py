@@ -64,3 +64,18 @@ def test_record_headers(spark):
     (response,), (revisit,) = by_type["response"], by_type["revisit"]
     assert by_type["warcinfo"] and revisit["warc-refers-to"] == response["warc-record-id"]
     assert revisit["warc-payload-digest"] == response["warc-payload-digest"] and revisit["warc-profile"].endswith("identical-payload-digest")
+
+
+def test_archives_are_written_at_the_given_level(spark, monkeypatch):
+    html = " ".join(str(i * i % 977) for i in range(40_000))
+    sizes = []
+    for level in ("BEST_SPEED", archive.GZIP_LEVEL, "BEST_COMPRESSION"):
+        monkeypatch.setattr(archive, "GZIP_LEVEL", level)
+        staged = Staged(spark, "test")
+        arc, warc = staged.path("arc"), staged.path("warc")
+        archive.write_arc(pages(spark, (1, "http://a", html)), arc)
+        archive.convert(spark, arc, warc)
+        sizes.append([sum(f.length for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).collect()) for folder in (arc, warc)])
+        assert archive.read_warc(spark, warc).first().payload_bytes == len(html)
+    for fast, used, small in zip(*sizes, strict=True):
+        assert fast > used > small

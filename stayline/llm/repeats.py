@@ -25,7 +25,7 @@ from stayline.llm.words import runs, words
 
 #: Words of a window, and of the n-grams that anchor it.
 LENGTH, ANCHOR = 35, 10
-#: Stretches of one anchor that make a block.
+#: Distinct stretches of one anchor that make a block.
 BLOCK = 2048
 SLICE = 2 << 20
 STRETCHES = "anchor long, row_key long, first int, windows int"
@@ -72,36 +72,28 @@ def _stretches(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _repeated_anchors(stretches: DataFrame) -> DataFrame:
-    """Stretches whose anchor occurs again, with the block that each falls into; rows come sorted and are streamed."""
+    """Stretches whose anchor occurs again; rows come sorted and are streamed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row so far: its columns, its place in its group, whether it has a fellow before it
-        names = ["anchor", "row_key", "first", "windows", "block"]
+        held, before = None, False  # the last row so far, and whether it has a fellow before it
+        names = ["anchor", "row_key", "first", "windows"]
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy() for i in range(4)]
-            place, before = 0, False
             if held:
-                columns = [np.concatenate((h, c)) for h, c in zip(held[0], columns, strict=True)]
-                place, before = held[1], held[2]
-            anchor = columns[0]
-            same = np.concatenate(([before], anchor[1:] == anchor[:-1]))
-            start = np.where(same, 0, np.arange(len(anchor)))
-            index = np.arange(len(anchor)) - np.maximum.accumulate(start)
-            opening = np.cumsum(~same[1:]) == 0
-            index[0] = place
-            index[1:][opening] += place
+                columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
+            same = np.concatenate(([before], columns[0][1:] == columns[0][:-1]))
             keep = same.copy()
             keep[:-1] |= same[1:]
-            held = [c[-1:] for c in columns], int(index[-1]), bool(same[-1])
+            held, before = [c[-1:] for c in columns], bool(same[-1])
             keep[-1] = False
             chosen = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[chosen]) for c in columns), pa.array((index[chosen] // BLOCK).astype(np.int32))], names)
-        if held and held[2]:
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in held[0]), pa.array(np.array([held[1] // BLOCK], np.int32))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c[chosen]) for c in columns], names)
+        if held and before:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names)
 
-    return stretches.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, STRETCHES + ", block int")
+    return stretches.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, STRETCHES)
 
 
 class Automaton:
@@ -247,8 +239,7 @@ def remove_repeats(docs: DataFrame, staged: Staged, length: int = LENGTH, gram:
     """
     keyed = row_key(docs)
     found = staged.write(_repeated_anchors(_stretches(keyed, length, gram)), "anchors")
-    split = found.where("block = 1").select("anchor").distinct()
-    places = found.groupBy("row_key").agg(F.collect_set(F.struct("first", "windows", "anchor", "block")).alias("places"))
+    places = found.groupBy("row_key").agg(F.collect_set(F.struct("first", "windows", "anchor")).alias("places"))
     texts_of = staged.write(keyed.join(places, "row_key").select("row_key", "text", "places"), "texts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,19 +249,24 @@ def remove_repeats(docs: DataFrame, staged: Staged, length: int = LENGTH, gram:
                 parts = text.encode().split()
                 for s in stretches:
                     stretch = b" ".join(parts[s["first"] : s["first"] + s["windows"] + length - 1])
-                    out.append((key, s["first"], s["anchor"], s["block"], hashlib.blake2b(stretch, digest_size=16).hexdigest(), stretch))
+                    out.append((key, s["first"], s["anchor"], hashlib.blake2b(stretch, digest_size=16).hexdigest(), stretch))
             if out:
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["row_key", "first", "anchor", "block", "content", "stretch"])
-
-    pieces = texts_of.mapInArrow(cut, "row_key long, first int, anchor long, block int, content string, stretch binary")
-    # Equal stretches of a block are one, with their number.
-    contents = pieces.groupBy("anchor", "block", "content").agg(F.first("stretch").alias("stretch"), F.count("*").alias("times"))
-    contents = staged.write(contents.select("anchor", "block", "content", "stretch", "times"), "contents")
-    repeated = _search_shards(contents, length).union(_search_blocks(contents.join(split, "anchor", "left_semi"), length))
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["row_key", "first", "anchor", "content", "stretch"])
+
+    pieces = texts_of.mapInArrow(cut, "row_key long, first int, anchor long, content string, stretch binary")
+    # Equal stretches of an anchor are one, with their number, before they are dealt over blocks.
+    contents = pieces.groupBy("anchor", "content").agg(F.first("stretch").alias("stretch"), F.count("*").alias("times"))
+    contents = staged.write(contents, "contents")
+    split = contents.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    split = staged.write(split, "split")  # one row for more than a block of stretches
+    block = F.coalesce(F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"), F.lit(0)).alias("block")
+    dealt = contents.join(split, "anchor", "left")
+    several = _search_blocks(dealt.where("blocks > 1").select("anchor", block, "content", "stretch", "times"), length)
+    repeated = _search_shards(dealt.select("anchor", block, "content", "stretch", "times"), length).union(several).drop("block")
     repeated = staged.write(repeated, "repeated")
-    staged.drop("contents")
-    hit = pieces.select("row_key", "first", "anchor", "block", "content").distinct().join(repeated, ["anchor", "block", "content"])
+    staged.drop("contents", "split")
+    hit = pieces.select("row_key", "first", "anchor", "content").distinct().join(repeated, ["anchor", "content"])
     spans = hit.select("row_key", F.explode(F.arrays_zip((F.transform("starts", lambda x: x + F.col("first"))).alias("a"), (F.transform("ends", lambda x: x + F.col("first"))).alias("b"))).alias("s"))
     removed = staged.write(spans.groupBy("row_key").agg(F.collect_set(F.struct(F.col("s.a").alias("a"), (F.col("s.b") + length).alias("b"))).alias("removed")), "removed")
     staged.drop("texts", "repeated", "anchors")

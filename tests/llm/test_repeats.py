@@ -83,3 +83,17 @@ def test_automaton_counts_every_substring():
             for w in words:
                 want = [i for i in range(len(w) - length + 1) if seen[tuple(w[i : i + length])] > 1]
                 assert shard.repeated(w, length) == want
+
+
+def test_copies_of_a_stretch_make_no_further_block(spark, docs, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK", 4)
+    search, several = repeats._search_blocks, []
+
+    def seen(contents, length):
+        several.append(contents.count())
+        return search(contents, length)
+
+    monkeypatch.setattr(repeats, "_search_blocks", seen)
+    text = " ".join(str(i) for i in range(30))
+    check(spark, docs, [(i, text) for i in range(40)] + [(50, "a b " * 100), (51, text + " more")], 8, 3)
+    assert several == [0, 0]

@@ -45,11 +45,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest doc_id; of rows that repeat in whole, one."""
-    kept = exact.deduplicated(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("stayline_id"), F.col("text_sha256").alias("stayline_sha")).distinct()
+    # One key of both, so the texts move once: the join and the choice of one row are dealt alike.
+    key = lambda doc_id, sha: F.concat_ws(" ", sha, F.coalesce(doc_id.cast("long").cast("string"), F.lit("null"))).alias("stayline_key")
+    kept = exact.deduplicated(docs.select("doc_id", "text")).where("kept").select(key(F.col("doc_id"), F.col("text_sha256"))).distinct()
     text = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), exact.SPACE, " ")
-    keyed = docs.withColumns({"stayline_id": docs["doc_id"].cast("long"), "stayline_sha": F.sha2(text, 256)})
-    found = keyed.join(kept, keyed["stayline_id"].eqNullSafe(kept["stayline_id"]) & (keyed["stayline_sha"] == kept["stayline_sha"]), "left_semi")
-    return found.dropDuplicates(["stayline_id", "stayline_sha"]).drop("stayline_id", "stayline_sha")
+    keyed = docs.withColumn("stayline_key", key(docs["doc_id"], F.sha2(text, 256)))
+    return keyed.join(kept.hint("merge"), "stayline_key", "left_semi").dropDuplicates(["stayline_key"]).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

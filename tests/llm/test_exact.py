@@ -41,3 +41,13 @@ def test_a_second_batch_meets_the_first_in_the_index(spark, docs, got):
 def test_long_text(docs, got, size):
     table = docs((1, "w " * size), (2, "w  " * size))
     assert got(exact.deduplicated(table), "doc_id", "keep_id") == {1: (1,), 2: (1,)}
+
+
+def test_stage_moves_texts_once(spark, docs):
+    import corpus_pipeline
+
+    table = docs((3, "a  b"), (1, "a b"), (1, "a b"), (None, "c"), (None, "c"), (5, None), (4, ""))
+    kept = corpus_pipeline.exact_copies(spark, table, None)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("LeftSemi")[0]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 4), (True, 0)]

@@ -22,7 +22,8 @@ def digests(docs: DataFrame) -> DataFrame:
 class DigestIndex:
     """Digests seen so far: ``text_sha256`` and ``keep_id``, the document that stays for it.
 
-    Every batch appends one sorted file per bucket at most; ``buckets`` is fixed when the table is made.
+    Every batch appends one sorted file per bucket at most, as its rows are dealt by their bucket whatever the
+    session's number of shuffle partitions; ``buckets`` is fixed when the table is made.
     """
 
     def __init__(self, spark: SparkSession, name: str, buckets: int = 64, path: str | None = None):
@@ -41,9 +42,10 @@ class DigestIndex:
         return groups.hint("merge").join(self.read().hint("merge"), "text_sha256", "left_anti")
 
     def append(self, groups: DataFrame) -> None:
+        bucket = F.pmod(F.hash("text_sha256"), F.lit(self.buckets))  # as Spark's bucketed writer computes it
         writer = (
             groups.select("text_sha256", "keep_id")
-            .repartition(self.buckets, "text_sha256")
+            .repartitionById(self.buckets, bucket)
             .write.format("parquet")
             .mode("append")
             .bucketBy(self.buckets, "text_sha256")

@@ -51,3 +51,18 @@ def test_stage_moves_texts_once(spark, docs):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.split("LeftSemi")[0]
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 4), (True, 0)]
+
+
+def test_a_batch_writes_a_file_a_bucket_however_keys_are_dealt(spark, docs, got, monkeypatch):
+    from pathlib import Path
+
+    dealt = type(spark.range(0)).repartition  # a session that deals keys over more partitions than asked for
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, n, *cols: dealt(self, max(n, 13) if cols else n, *cols))
+    staged = Staged(spark, "test")
+    index = exact.DigestIndex(spark, unique_name("digest_index"), buckets=4, path=staged.path("index"))
+    for first in (0, 300):
+        found = exact.deduplicate(docs(*((i, f"text {i % 250}") for i in range(first, first + 300))), index, Staged(spark, "test"))
+        assert all(keep == doc_id % 250 for doc_id, (keep,) in got(found, "doc_id", "keep_id").items())
+    files = [p.name for p in Path(staged.paths["index"].removeprefix("file:")).glob("part-*")]
+    assert len({name.split("_")[1][:5] for name in files}) == 4 and len(files) == 4  # the second batch has no new text
+    index.drop()

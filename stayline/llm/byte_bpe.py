@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 from sys import getsizeof
 
 import numpy as np
@@ -34,12 +35,12 @@ SLICE = 1 << 20
 #: A worker keeps the ids of pieces up to this many bytes, in up to this much memory.
 CACHED_PIECE = 64
 CACHE_BYTES = 32 << 20
-#: Memory of a cached piece beside its own and its ids' objects.
-CACHE_ENTRY = 120
+#: Memory of a cached piece beside its own and its ids.
+CACHE_ENTRY = 160
 #: Cells of a matrix of pieces, if it has more than one row.
 CELLS = 1 << 18
 #: Rank of a pair that joins to no token.
-NONE = np.int64(2**62)
+NONE = np.int32(2**31 - 1)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,10 +74,10 @@ class PairTable:
                 if a is not None and b is not None:
                     keys.append((a << self.shift) | b)
                     values.append(rank)
-        self.bits = max(4, (2 * len(keys) + 1).bit_length())
+        self.bits = max(4, (4 * len(keys) + 1).bit_length())
         self.mask = (1 << self.bits) - 1
         self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.zeros(1 << self.bits, np.int64)
+        self.values = np.full(1 << self.bits, NONE, np.int32)
         self.longest = 0
         slots = self._slots(np.array(keys, np.int64)) if keys else []
         for key, value, slot in zip(keys, values, slots, strict=True):
@@ -90,27 +91,48 @@ class PairTable:
         return ((keys.astype(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank of each pair (a, b); ``NONE`` where there is none or either side is padding (negative)."""
-        out = np.full(a.shape, NONE, np.int64)
-        real = (a >= 0) & (b >= 0)
-        if not real.any():
-            return out
-        key = (a[real].astype(np.int64) << self.shift) | b[real].astype(np.int64)
+        """Rank of each pair (a, b); ``NONE`` where there is none or either side is padding (-1)."""
+        key = (a.astype(np.int64) << self.shift) | b  # negative with padding, as no key held but that of empty slots
         slot = self._slots(key)
-        found = np.full(key.shape, NONE, np.int64)
-        pending = np.ones(key.shape, bool)
-        for _ in range(self.longest + 1):
-            held = self.keys[slot]
-            hit = pending & (held == key)
-            found[hit] = self.values[slot[hit]]
-            pending &= ~hit & (held != -1)
-            if not pending.any():
+        held = self.keys[slot]
+        out = np.where(held == key, self.values[slot], NONE)
+        pending = np.nonzero((held != key) & (held != -1) & (key >= 0))[0]
+        for _ in range(self.longest):
+            if not len(pending):
                 break
-            slot = (slot + 1) & self.mask
-        out[real] = found
+            slot[pending] = next_slot = (slot[pending] + 1) & self.mask
+            held, wanted = self.keys[next_slot], key[pending]
+            hit = held == wanted
+            out[pending[hit]] = self.values[next_slot[hit]]
+            pending = pending[~hit & (held != -1)]
         return out
 
 
+class IdLists:
+    """Lists of ids in one array: list i is ``flat[starts[i] : starts[i] + counts[i]]``."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray):
+        self.flat, self.starts, self.counts = flat, starts, counts
+
+    @classmethod
+    def empty(cls, lists: int = 0) -> IdLists:
+        return cls(np.zeros(0, np.int32), np.zeros(lists, np.int64), np.zeros(lists, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return (self.flat[start : start + count] for start, count in zip(self.starts, self.counts, strict=True))
+
+    def take(self, lists: np.ndarray) -> IdLists:
+        counts = self.counts[lists]
+        return IdLists(gather(self.flat, self.starts[lists], counts), np.cumsum(counts) - counts, counts)
+
+    def plus(self, other: IdLists) -> IdLists:
+        join = np.concatenate
+        return IdLists(join([self.flat, other.flat]), join([self.starts, other.starts + len(self.flat)]), join([self.counts, other.counts]))
+
+
 class Codec:
     """Encoder and decoder of one rank file."""
 
@@ -120,10 +142,12 @@ class Codec:
         self.ranks = ranks
         self.split = regex.compile(split)
         self.pairs = PairTable(ranks)
-        self.byte_rank = np.full(256, -1, np.int64)
+        self.byte_rank = np.full(256, -1, np.int32)
         for token, rank in ranks.items():
             if len(token) == 1:
                 self.byte_rank[token[0]] = rank
+        #: Rank of each pair of bytes, at first byte * 256 + second byte.
+        self.byte_pairs = self.pairs.lookup(np.repeat(self.byte_rank, 256), np.tile(self.byte_rank, 256))
         size = max(ranks.values()) + 1
         lengths = np.zeros(size, np.int64)
         order = sorted(ranks.items(), key=lambda item: item[1])
@@ -135,111 +159,141 @@ class Codec:
         for token, rank in order:
             buffer[self.starts[rank] : self.starts[rank] + len(token)] = token
         self.buffer = np.frombuffer(bytes(buffer), np.uint8)
-        self.cache: dict[bytes, bytes] = {}
-        self.cached_bytes = 0
+        #: Place of a cached piece in ``known``; ``uses`` and ``sizes`` (bytes of memory) go by the same places.
+        self.cache: dict[str, int] = {}
+        self.known = IdLists.empty()
+        self.uses = self.sizes = np.zeros(0, np.int64)
 
     # -- merges ---------------------------------------------------------------------------------------------------
 
-    def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces of one length bucket: one padded matrix, one merge per row and round."""
-        width = max(len(p) for p in pieces)
-        parts = np.full((len(pieces), width), -1, np.int64)
-        for row, piece in enumerate(pieces):
-            parts[row, : len(piece)] = self.byte_rank[np.frombuffer(piece, np.uint8)]
-        if (parts[:, :1] < 0).any() or any((self.byte_rank[np.frombuffer(p, np.uint8)] < 0).any() for p in pieces):
+    def merge_rows(self, pieces: list[bytes]) -> IdLists:
+        """Ids of pieces of one length bucket: one padded matrix, one merge per piece and round.
+
+        A piece is a column of the matrices, so that the least pair of all pieces is one pass over contiguous rows.
+        ``pair`` holds rank and place of the left part in one number: its minimum is the leftmost pair of minimum rank.
+        """
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        singles = self.byte_rank[data]
+        if (singles < 0).any():
             raise ValueError("the rank file has no token for some single byte")
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        done: list[np.ndarray | None] = [None] * len(pieces)
-        rows = np.arange(len(pieces))
-        pair = self.pairs.lookup(parts[:, :-1], parts[:, 1:])
-        while len(rows):
-            if pair.shape[1] == 0:
-                best = np.full(len(rows), NONE)
-                at = np.zeros(len(rows), np.int64)
-            else:
-                at = np.argmin(pair, axis=1)  # the first of equal minima: the leftmost
-                best = pair[np.arange(len(rows)), at]
-            merging = best < NONE
-            for row in np.nonzero(~merging)[0]:
-                done[rows[row]] = parts[row, : sizes[row]].copy()
-            if not merging.any():
-                break
-            keep = np.nonzero(merging)[0]
-            parts, pair, rows, sizes, at, best = parts[keep], pair[keep], rows[keep], sizes[keep], at[keep], best[keep]
-            index = np.arange(len(rows))
-            parts[index, at] = best
-            columns = np.arange(parts.shape[1])
-            source = columns[None, :] + (columns[None, :] > at[:, None])
-            parts = np.take_along_axis(np.concatenate([parts, np.full((len(rows), 1), -1)], axis=1), source, axis=1)
-            if pair.shape[1]:
-                source = columns[None, : pair.shape[1]] + (columns[None, : pair.shape[1]] >= at[:, None])
-                pair = np.take_along_axis(np.concatenate([pair, np.full((len(rows), 1), NONE)], axis=1), source, axis=1)
-            sizes = sizes - 1
-            left = at - 1
-            has_left = left >= 0
-            if has_left.any():
-                rows_left = index[has_left]
-                pair[rows_left, left[has_left]] = self.pairs.lookup(parts[rows_left, left[has_left]], parts[rows_left, at[has_left]])
-            has_right = at + 1 < sizes
-            if has_right.any():
-                rows_right = index[has_right]
-                pair[rows_right, at[has_right]] = self.pairs.lookup(parts[rows_right, at[has_right]], parts[rows_right, at[has_right] + 1])
-            wide = int(sizes.max())
-            parts, pair = parts[:, :wide], pair[:, : max(wide - 1, 0)]
-        return done  # type: ignore[return-value]
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of distinct pieces, in their order; pieces that are tokens or cached take no merge."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        buckets: dict[int, list[int]] = {}
-        for at, piece in enumerate(pieces):
-            rank = self.ranks.get(piece)
-            if rank is not None:
-                out[at] = np.array([rank], np.int64)
-                continue
-            known = self.cache.get(piece)
-            if known is not None:
-                out[at] = np.frombuffer(known, np.int32)
+        width, rows = int(sizes.max()), np.arange(len(pieces))
+        row = np.repeat(rows, sizes)
+        place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        shift = width.bit_length()
+        kind = np.int32 if self.pairs.shift + shift <= 30 else np.int64
+        stop, low = np.iinfo(kind).max, (1 << shift) - 1
+        parts = np.full((width + 1, len(pieces)), -1, np.int32)  # the last place stays empty: beside either end
+        parts[place, row] = singles
+        pair = np.full((width + 1, len(pieces)), stop, kind)
+        rank = self.byte_pairs[(data[:-1].astype(np.int64) << 8) | data[1:]]
+        real = np.nonzero((rank != NONE) & (place[1:] > 0))[0]
+        pair[place[real], row[real]] = (rank[real].astype(kind) << shift) | place[real]
+        after, before = links(width, len(pieces))
+        out, where = IdLists.empty(), []
+        while True:
+            least = pair[:width].min(axis=0, initial=stop)
+            going = np.nonzero(least != stop)[0]
+            longest = int(sizes[going].max(initial=0))
+            if 2 * len(going) * longest <= len(rows) * width:  # finished pieces leave, the others move together
+                over = np.nonzero(least == stop)[0]
+                ids = parts[:width, over].T
+                counts = (ids >= 0).sum(axis=1)
+                out = out.plus(IdLists(ids[ids >= 0], np.cumsum(counts) - counts, counts))
+                where.append(rows[over])
+                if not len(going):
+                    break
+                parts, pair = parts[:width, going], pair[:width, going]
+                old, row = np.nonzero(parts >= 0)
+                place = (np.cumsum(parts >= 0, axis=0) - 1)[old, row]
+                ids, ranks = parts[old, row], pair[old, row]
+                rows, sizes, width = rows[going], sizes[going], longest
+                parts = np.full((width + 1, len(rows)), -1, np.int32)
+                parts[place, row] = ids
+                pair = np.full((width + 1, len(rows)), stop, kind)
+                pair[place, row] = np.where(ranks == stop, stop, (ranks & ~low) | place)
+                after, before = links(width, len(rows))
                 continue
-            buckets.setdefault(max(0, len(piece) - 1).bit_length(), []).append(at)
+            least, stride = least[going], len(rows)
+            at, rank = (least & low).astype(np.int64), (least >> shift).astype(np.int32)
+            here = at * stride + going
+            gone = after.ravel()[here] * stride + going
+            right, left = after.ravel()[gone], before.ravel()[here]
+            behind, ahead = right * stride + going, left * stride + going
+            parts.ravel()[here], parts.ravel()[gone], pair.ravel()[gone] = rank, -1, stop
+            after.ravel()[here], before.ravel()[behind] = right, at
+            beside = np.concatenate([parts.ravel()[behind], parts.ravel()[ahead]])
+            found = self.pairs.lookup(np.concatenate([rank, beside[len(rank) :]]), np.concatenate([beside[: len(rank)], rank]))
+            found = np.where(found == NONE, stop, (found.astype(kind) << shift) | np.concatenate([at, left]))
+            pair.ravel()[here], pair.ravel()[ahead] = found[: len(rank)], found[len(rank) :]
+            sizes[going] -= 1
+        return out.take(np.argsort(np.concatenate(where)))
+
+    def encode_pieces(self, pieces: list[bytes]) -> IdLists:
+        """Ids of pieces, in their order; pieces that are tokens take no merge."""
+        ranks = np.fromiter(map(self.ranks.get, pieces, repeat(-1)), np.int32, len(pieces))
+        whole = np.nonzero(ranks >= 0)[0]
+        out, where = IdLists(ranks[whole], np.arange(len(whole)), np.ones(len(whole), np.int64)), [whole]
+        buckets: dict[int, list[int]] = {}
+        for at in np.nonzero(ranks < 0)[0].tolist():
+            buckets.setdefault(max(0, len(pieces[at]) - 1).bit_length(), []).append(at)
         for width, bucket in buckets.items():
             rows = max(1, CELLS >> width)
             for start in range(0, len(bucket), rows):
                 members = bucket[start : start + rows]
-                for at, ids in zip(members, self.merge_rows([pieces[m] for m in members]), strict=True):
-                    out[at] = ids
-                    piece = pieces[at]
-                    if len(piece) <= CACHED_PIECE:
-                        kept = ids.astype(np.int32).tobytes()
-                        size = getsizeof(piece) + getsizeof(kept) + CACHE_ENTRY
-                        if self.cached_bytes + size > CACHE_BYTES:
-                            self.cache, self.cached_bytes = {}, 0
-                        self.cache[piece] = kept
-                        self.cached_bytes += size
-        return out  # type: ignore[return-value]
+                out = out.plus(self.merge_rows([pieces[m] for m in members]))
+                where.append(np.array(members, np.int64))
+        return out.take(np.argsort(np.concatenate(where)))
 
     def encode_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts and the offsets of each text's ids (one more than texts)."""
-        index: dict[str, int] = {}
-        order: list[int] = []
+        pieces: list[str] = []
         bounds = [0]
         for text in texts:
-            order.extend([index.setdefault(piece, len(index)) for piece in self.split.findall(text or "")])
-            bounds.append(len(order))
-        distinct = self.encode_pieces([piece.encode("utf-8") for piece in index])
-        counts = np.array([len(ids) for ids in distinct], np.int64)
-        flat = np.concatenate(distinct) if distinct else np.zeros(0, np.int64)
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        used = np.array(order, np.int64)
-        ids = gather(flat, starts[used], counts[used]) if len(used) else np.zeros(0, np.int64)
-        per_piece = np.concatenate([[0], np.cumsum(counts[used])]) if len(used) else np.zeros(1, np.int64)
-        return ids, per_piece[np.array(bounds, np.int64)]
+            pieces.extend(self.split.findall(text or ""))
+            bounds.append(len(pieces))
+        used = np.fromiter(map(self.cache.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missed = np.nonzero(used < 0)[0]
+        fresh: dict[str, int] = {}
+        used[missed] = [len(self.cache) + fresh.setdefault(pieces[at], len(fresh)) for at in missed.tolist()]
+        encoded = [piece.encode("utf-8") for piece in fresh]
+        lists = self.known.plus(self.encode_pieces(encoded))
+        ids = gather(lists.flat, lists.starts[used], lists.counts[used])
+        ends = np.concatenate([[0], np.cumsum(lists.counts[used])])
+        self.remember(fresh, encoded, lists, np.bincount(used, minlength=len(lists)))
+        return ids, ends[np.array(bounds, np.int64)]
+
+    def remember(self, fresh: dict[str, int], encoded: list[bytes], lists: IdLists, uses: np.ndarray) -> None:
+        """Adds the fresh pieces to the cache; when it is full, the pieces used most stay in half of its memory."""
+        held = len(self.cache)
+        memory = np.fromiter(map(getsizeof, fresh), np.int64, len(fresh)) + lists.counts[held:] * lists.flat.itemsize + CACHE_ENTRY
+        short = np.fromiter(map(len, encoded), np.int64, len(encoded)) <= CACHED_PIECE
+        sizes, uses = np.concatenate([self.sizes, memory]), np.concatenate([self.uses, np.zeros(len(fresh), np.int64)]) + uses
+        stay = np.concatenate([np.arange(held), held + np.nonzero(short)[0]])
+        full = sizes[stay].sum() > CACHE_BYTES
+        if full:
+            stay = stay[np.argsort(-uses[stay], kind="stable")]
+            stay = stay[np.cumsum(sizes[stay]) <= CACHE_BYTES // 2]
+            uses = uses // 2  # so that pieces of long ago make room
+        names = [*self.cache, *fresh] if full else list(fresh)
+        added = stay if full else stay[held:] - held
+        self.cache = {} if full else self.cache
+        self.cache.update(zip([names[at] for at in added.tolist()], range(len(self.cache), len(stay)), strict=True))
+        self.known, self.sizes, self.uses = lists.take(stay), sizes[stay], uses[stay]
 
     def decode(self, ids: np.ndarray) -> bytes:
         ids = np.asarray(ids, np.int64)
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or (self.lengths[ids] == 0).any()):
             raise ValueError("an id that is no token of the rank file")
-        return self.buffer[gather(np.arange(len(self.buffer)), self.starts[ids], self.lengths[ids])].tobytes()
+        return gather(self.buffer, self.starts[ids], self.lengths[ids]).tobytes()
+
+
+def links(width: int, pieces: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place after and place before each place of each piece; before the first one is the empty last one."""
+    after = np.repeat(np.arange(1, width + 2)[:, None], pieces, axis=1)
+    before = np.repeat(np.arange(-1, width)[:, None], pieces, axis=1)
+    before[0] = width
+    return after, before
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

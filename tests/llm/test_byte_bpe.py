@@ -96,3 +96,42 @@ def test_memory_of_cache_and_matrices(monkeypatch):
         held = getsizeof(coder.cache) + sum(getsizeof(k) + getsizeof(v) for k, v in coder.cache.items())
         assert coder.cache and held <= byte_bpe.CACHE_BYTES
     assert max(cells) <= byte_bpe.CELLS
+
+
+def test_calls_grow_with_rounds_not_with_pieces(library):
+    import random
+    import sys
+
+    coder = byte_bpe.Codec(byte_bpe.read_ranks(byte_bpe.ranks_path()), byte_bpe.pattern())
+    draw = random.Random(3)
+
+    def calls(pieces):
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(1) if event in ("call", "c_call") else None)
+        try:
+            found = coder.merge_rows(pieces)
+        finally:
+            sys.setprofile(None)
+        assert [x.tolist() for x in found] == [library.encode_ordinary(p.decode()) for p in pieces]
+        return len(seen)
+
+    words = ["".join(draw.choices("aeinrst", k=draw.randint(9, 16))).encode() for _ in range(2200)]
+    assert calls(words[200:]) < 3 * calls(words[:200])
+
+
+def test_frequent_pieces_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 100_000)
+    coder = byte_bpe.Codec({bytes([b]): b for b in range(256)} | {b"aa": 256}, r"\S+|\s+")
+    merge, merged = coder.merge_rows, []
+
+    def seen(pieces):
+        merged.extend(pieces)
+        return merge(pieces)
+
+    monkeypatch.setattr(coder, "merge_rows", seen)
+    for start in range(0, 5000, 250):
+        text = " ".join(f"often aab {i:05d}" for i in range(start, start + 250))
+        ids, _ = coder.encode_texts([text, None, ""])
+        assert coder.decode(ids) == text.encode()
+    assert merged.count(b"often") == merged.count(b"aab") == 1
+    assert len(merged) == 5002

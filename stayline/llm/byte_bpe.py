@@ -1,12 +1,13 @@
 """Byte-level BPE encoding and decoding by rank files, on length-bucketed padded numpy matrices.
 
 A text is split by the rank file's pattern; each match (a piece) is encoded on its own. A piece that is itself a
-token is that token. The others are grouped by byte length into buckets; a bucket is a matrix, one padded row per
-piece, holding the ranks of its current parts. Every round, each row merges its leftmost pair of minimum rank: the
-ranks of adjacent pairs are kept in a second matrix, found in a hash table of all pairs whose bytes join to a token,
-and after a merge only the two pairs beside it are looked up again. The row's tail moves one place left, finished
-rows leave the matrix and the width shrinks to the longest row still merging (compaction). This is the merge rule of
-the rank-file libraries, so ids equal theirs.
+token is that token. The others are grouped by byte length into buckets; a bucket is a matrix, a padded piece beside
+the other, holding the ranks of its current parts. Every round, each piece merges its leftmost pair of minimum rank:
+the ranks of adjacent pairs are kept in a second matrix, found in a hash table of all pairs whose bytes join to a
+token, and after a merge only the two pairs beside it are looked up again. A merged part stays at the place of its
+first byte, and links lead to the parts beside it. When half of the cells are idle, finished pieces leave the matrix,
+the parts of the others move together and the width shrinks to the longest piece still merging (compaction). This is
+the merge rule of the rank-file libraries, so ids equal theirs.
 
 Decoding gathers the bytes of each id from one buffer of all tokens.
 
@@ -39,6 +40,8 @@ CACHE_BYTES = 32 << 20
 CACHE_ENTRY = 160
 #: Cells of a matrix of pieces, if it has more than one row.
 CELLS = 1 << 18
+#: Values gathered at once, if they are of more than one list.
+BLOCK = 1 << 15
 #: Rank of a pair that joins to no token.
 NONE = np.int32(2**31 - 1)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -279,7 +282,8 @@ class Codec:
         added = stay if full else stay[held:] - held
         self.cache = {} if full else self.cache
         self.cache.update(zip([names[at] for at in added.tolist()], range(len(self.cache), len(stay)), strict=True))
-        self.known, self.sizes, self.uses = lists.take(stay), sizes[stay], uses[stay]
+        self.known = lists.take(stay) if full else self.known.plus(lists.take(stay[held:]))
+        self.sizes, self.uses = sizes[stay], uses[stay]
 
     def decode(self, ids: np.ndarray) -> bytes:
         ids = np.asarray(ids, np.int64)
@@ -297,13 +301,17 @@ def links(width: int, pieces: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """values[starts[0]:starts[0]+lengths[0]] + values[starts[1]:...] + ..., without a loop."""
-    total = int(lengths.sum())
-    if total == 0:
-        return values[:0]
+    """values[starts[0]:starts[0]+lengths[0]] + values[starts[1]:...] + ..., in blocks whose places stay in the CPU's cache."""
     ends = np.cumsum(lengths)
-    shift = np.repeat(starts - (ends - lengths), lengths)
-    return values[np.arange(total) + shift]
+    total = int(ends[-1]) if len(ends) else 0
+    out = np.empty(total, values.dtype)
+    shift, done, first = starts - (ends - lengths), 0, 0
+    while done < total:
+        last = max(first + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
+        to = int(ends[last - 1])
+        out[done:to] = values[np.arange(done, to) + np.repeat(shift[first:last], lengths[first:last])]
+        done, first = to, last
+    return out
 
 
 def codec(path: str) -> Codec:

@@ -5,14 +5,15 @@ In a band two similar sets differ in at most ``k`` shingles. The shingles' domai
 there is a group in which they differ in one shingle at most; each group is cut into ``second`` parts, and the subsets of its
 parts that leave one part out are enumerated, so the two agree in a whole subset. Each subset's content is a
 signature: similar sets share one. Spare groups make up for those in which a set has an empty subset, which says
-nothing. Sets with a common signature form a cluster. Common phrases make clusters of sets that have little else in
-common, so a cluster is first cut by sketches, bits that tell how many of a set's shingles of each hash are odd in number:
-two sketches differ in no more bits than the sets in shingles, so no similar pair is lost. What stays together is compared
-exactly.
-
-What keeps large groups apart: equal sets are one set from the start; a signature links each of its sets to the one
-before, so a signature of n sets costs n links and not all pairs; a large cluster is compared in blocks of bounded size, by
-sketches only with blocks of like size, and only a spanning forest of each comparison leaves the task.
+nothing. Common phrases are signatures of sets that have little else in common, so sets with a common signature are first
+looked at by sketches, bits that tell how many of a set's shingles of each hash are odd in number: two sketches differ in no
+more bits than the sets in shingles, so no similar pair is lost. What sketches link forms a cluster and is compared exactly.
+
+What keeps large groups apart: equal sets are one set from the start; sets that only a chain of phrases connects never meet,
+since a signature of up to ``BLOCK`` sets is looked at by itself, in pairs if it has few sets and else at once, unless its
+consecutive sets are already connected; one of more sets links each to the one before, so it costs n links and not all pairs;
+a large cluster is compared in blocks of bounded size, by sketches only with blocks of like size, and only a spanning forest of
+each comparison leaves the task.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ SHINGLE, PERCENT = 3, 90
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Parts of a group; with more of them a signature covers more of a set, and there are more signatures.
 SECOND = 3
+#: Sets with a common signature of which all pairs are looked at one by one.
+PAIRS = 8
+#: What a row of ``_candidates`` is: two sets, a group and a set of it, two sets of a cluster.
+PAIR, MEMBER, LINK = 0, 1, 2
 #: Shingles that the sets of a block may have together when only their sketches are compared, of 2 bits a shingle at most.
 BLOCK_SKETCHED = 32 * BLOCK_SHINGLES
 SLICE = 2 << 20
@@ -197,23 +203,108 @@ def _signed(keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     return keyed.select("text").mapInArrow(run, "signature long, vertex long")
 
 
-def _neighbours(signed: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` between consecutive sets of each signature; rows come sorted by signature and are streamed."""
+def _grouped(sign: np.ndarray, sets: np.ndarray, open_end: bool, long: bool) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray, bool]]:
+    """Rows (kind, a, b) of the groups of equal signatures, and what the next rows may go on with; rows are sorted.
+
+    ``long``: the first group goes on from earlier rows and is one of more than ``BLOCK`` sets.
+    """
+    new = np.ones(len(sign), bool)
+    new[1:] = (sign[1:] != sign[:-1]) | (sets[1:] != sets[:-1])
+    sign, sets = sign[new], sets[new]
+    starts = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1]))) if len(sign) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(sign))
+    count = ends - starts
+    large = count > BLOCK
+    if long and len(large):
+        large[0] = True
+    kept = sign[:0], sets[:0], False
+    if open_end and len(starts):
+        at = starts[-1] if not large[-1] else len(sign) - 1
+        kept = sign[at:], sets[at:], bool(large[-1])
+        if not large[-1]:
+            starts, ends, count, large = starts[:-1], ends[:-1], count[:-1], large[:-1]
+    out = []
+    for n in range(2, PAIRS + 1):
+        first = starts[(count == n) & ~large]
+        if len(first):
+            i, j = np.triu_indices(n, 1)
+            out.append((PAIR, sets[first[:, None] + i].ravel(), sets[first[:, None] + j].ravel()))
+    chained = (count > PAIRS) | large
+    inside = np.repeat(chained, count)
+    follows = np.flatnonzero(inside)[~np.isin(np.flatnonzero(inside), starts)]
+    out.append((PAIR, sets[follows - 1], sets[follows]))
+    of_large = np.repeat(large, count)[follows]
+    out.append((LINK, sets[follows - 1][of_large], sets[follows][of_large]))
+    middle = (count > PAIRS) & ~large
+    if middle.any():
+        rows = np.flatnonzero(np.repeat(middle, count))
+        # Groups of the same sets are one.
+        name = mixed(np.add.reduceat(mixed(sets[rows].view(U64)), np.concatenate(([0], np.cumsum(count[middle])[:-1]))))
+        out.append((MEMBER, np.repeat(name, count[middle]).view(np.int64), sets[rows]))
+    return out, kept
+
+
+def _candidates(signed: DataFrame) -> DataFrame:
+    """Rows ``kind``, ``a``, ``b`` of the groups of sets with a common signature; sorted rows are streamed.
+
+    A group of up to ``PAIRS`` sets gives all its pairs. A larger one gives its consecutive sets as pairs, and its members (``a``
+    is the group) or, with more than ``BLOCK`` sets, the consecutive sets as links of a cluster that is compared in blocks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign, sets, long = np.empty(0, np.int64), np.empty(0, np.int64), False
+        held: list[pa.RecordBatch] = []
+
+        def result(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal sign, sets, long
+            out, (sign, sets, long) = _grouped(
+                np.concatenate((sign, *(b.column(0).to_numpy() for b in held))), np.concatenate((sets, *(b.column(1).to_numpy() for b in held))), not last, long
+            )
+            held.clear()
+            for kind, a, b in out:
+                rows = np.unique(np.stack((a, b), axis=1), axis=0)
+                for at in range(0, len(rows), 1 << 17):
+                    part = rows[at : at + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int8)), pa.array(part[:, 0]), pa.array(part[:, 1])], ["kind", "a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 1 << 16:
+                yield from result(False)
+        yield from result(True)
+
+    return signed.repartition("signature").sortWithinPartitions("signature", "vertex").mapInArrow(run, "kind byte, a long, b long").distinct()
+
+
+def near_pairs(n_a: np.ndarray, n_b: np.ndarray, sketch_a: pa.Array, sketch_b: pa.Array, percent: int) -> np.ndarray:
+    """Whether the sets of each pair may be similar by their sizes and sketches, as in ``alike``."""
+    near = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    room = (n_a + n_b) * (100 - percent) // (100 + percent)
+    length = [pa.compute.binary_length(s).to_numpy(zero_copy_only=False).astype(np.int64) for s in (sketch_a, sketch_b)]
+    for one, two in np.unique(np.stack((length[0][near], length[1][near]), axis=1), axis=0).tolist():
+        rows = np.flatnonzero(near & (length[0] == one) & (length[1] == two))
+        level = min(one, two)
+        bits = [
+            np.bitwise_xor.reduce(np.frombuffer(b"".join(s.take(pa.array(rows)).to_pylist()), np.uint8).reshape(len(rows), -1, level), axis=1)
+            for s in (sketch_a, sketch_b)
+        ]
+        near[rows] = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64) <= room[rows]
+    return near
+
+
+def _near_pairs(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` that may be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.int64), np.empty(0, np.int64))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sign = np.concatenate((last[0], batch.column(0).to_numpy()))
-            sets = np.concatenate((last[1], batch.column(1).to_numpy()))
-            same = (sign[1:] == sign[:-1]) & (sets[1:] != sets[:-1])
-            pairs = np.unique(np.stack((sets[1:][same], sets[:-1][same]), axis=1), axis=0)
-            last = sign[-1:], sets[-1:]
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            if batch.num_rows:
+                n = [batch.column(i).to_numpy() for i in (2, 4)]
+                near = near_pairs(*n, batch.column(3), batch.column(5), percent)
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in (0, 1)], ["a", "b"])
 
-    return signed.repartition("signature").sortWithinPartitions("signature", "vertex").mapInArrow(run, "a long, b long").distinct()
+    side = lambda c: groups.select(F.col("vertex").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def spanning(linked: np.ndarray, left: int) -> list[tuple[int, int]]:
@@ -380,15 +471,23 @@ def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: in
     """
     keyed = row_key(docs)
     sets = staged.write(_sets(keyed, shingle), "sets")
-    edges = staged.write(_neighbours(_signed(keyed, shingle, percent)), "edges")
-    clusters = components(staged, edges, "clusters")
+    candidates = staged.write(_candidates(_signed(keyed, shingle, percent)), "candidates")
     # One row of each set of a cluster. A cluster of one block is compared at once, another in all pairs of its blocks.
     groups = sets.where("n_shingles > 0").groupBy("vertex").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"), F.first("sketch").alias("sketch")
     )
     groups = staged.write(groups, "groups")
-    rough = staged.write(clusters.join(groups, "vertex").select("vertex", F.col("root").alias("cluster"), "n_shingles", "sketch"), "rough")
-    clusters = components(staged, staged.write(_sketched_links(rough, percent), "alike"), "alike-cc")
+    paired = components(staged, staged.write(_near_pairs(candidates.where(F.col("kind") == PAIR).select("a", "b"), groups, percent), "paired"), "paired-cc")
+    # Of the groups that are no pairs, those count whose sets the pairs haven't connected.
+    listed = candidates.where(F.col("kind") == MEMBER).select(F.col("a").alias("cluster"), F.col("b").alias("vertex"))
+    reached = listed.join(paired, "vertex", "left").groupBy("cluster").agg(F.min(F.coalesce("root", "vertex")).alias("low"), F.max(F.coalesce("root", "vertex")).alias("high"))
+    listed = listed.join(reached.where("low <> high").select("cluster"), "cluster", "left_semi")
+    links = candidates.where(F.col("kind") == LINK).select("a", "b")
+    clusters = components(staged, links, "clusters").select(F.col("root").alias("cluster"), "vertex")
+    rough = staged.write(listed.union(clusters).join(groups, "vertex").select("vertex", "cluster", "n_shingles", "sketch"), "rough")
+    staged.drop("candidates", "paired")
+    found = _sketched_links(rough, percent).union(paired.where("vertex <> root").select(F.col("vertex").alias("a"), F.col("root").alias("b")))
+    clusters = components(staged, staged.write(found, "alike"), "alike-cc")
     members = clusters.join(groups, "vertex").select("row_key", "vertex", F.col("root").alias("cluster"), "n_shingles")
     members = staged.write(members, "members")
     most = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
@@ -410,7 +509,7 @@ def similar(docs: DataFrame, staged: Staged, shingle: int = SHINGLE, percent: in
         "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vertex", "shingles"
     )
     links = staged.write(_compare(pairs, percent), "links")
-    staged.drop("edges", "rough", "alike", "members")
+    staged.drop("rough", "alike", "members")
     roots = components(staged, links, "links-cc")
     reached = staged.write(groups.select("vertex", "least").join(roots, "vertex", "left").select("vertex", "least", F.coalesce("root", "vertex").alias("root")), "reached")
     named = reached.groupBy("root").agg(F.min("least").alias("component_id"))

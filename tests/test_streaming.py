@@ -111,3 +111,21 @@ def test_outreach_groups_hold_many_vehicles(spark, rows, monkeypatch):
     want = outreach.needing_outreach(spark.createDataFrame(events, schema))
     key = lambda df: sorted((r.smr_id, r.vin or "", r.cancelled_at, r.due_at) for r in df.collect())
     assert key(delivered) == key(want) and len(key(want)) > 20
+
+
+def test_outreach_state_is_kept_on_disk(spark, rows):
+    """Ids and states go to a store with bounded memory; the session's own store stays as it was."""
+    from stayline.streaming import outreach
+
+    source, table, checkpoint = (staged_path(spark, n) for n in ("events", "outreach", "ckpt"))
+    schema = "smr_id string, vin string, ts timestamp, cancelled boolean"
+    at = lambda n: dt.datetime(2020, 1, n)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    data = [("a", "V1", at(1), True), ("a", "V1", at(1), True), ("b", "V2", at(2), True), ("c", "V2", at(3), False), ("z", None, at(20), False)]
+    spark.createDataFrame(data, schema).write.parquet(source)
+    query = outreach.run(spark.readStream.schema(schema).parquet(source), table, checkpoint)
+    query.awaitTermination()
+    assert spark.conf.get(key) == before
+    assert all("rocksdbGetCount" in s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"])
+    assert rows(spark.read.schema(outreach.OUTPUT).parquet(table), "vin", "smr_id") == [("V1", "a")]

@@ -83,7 +83,11 @@ def fit(features: DataFrame, inputs: list[str] | None = None, kind: str = "logis
         else GBTClassifier(maxIter=20, maxDepth=4, seed=42, **columns)
     )
     means = train.agg(*[F.avg(c).alias(c) for c in inputs]).first().asDict()
-    return Fitted(learner.fit(assembled), inputs, means)
+    model = learner.fit(assembled)
+    if kind == "logistic":
+        # The training summary holds the session, which no task can take along once something was observed in it.
+        model._java_obj.setSummary(features.sparkSession._jvm.scala.Option.empty())
+    return Fitted(model, inputs, means)
 
 
 def score(fitted: Fitted, features: DataFrame) -> DataFrame:
